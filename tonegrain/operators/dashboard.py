@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tonegrain.functions.text import as_column
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
+from tonegrain.operators.stats import mean_score
 
 LABELS = ("positive", "negative", "neutral")
 
@@ -82,33 +83,45 @@ def score_trend(records: DataFrame, points: int = 20) -> DataFrame:
         .agg(
             F.min(rank).alias("first_chunk"),
             F.count(F.lit(1)).alias("n"),
-            F.avg("sentiment_score").alias("avg_score"),
+            mean_score().alias("avg_score"),
         )
     )
 
 
+def fixed(value: Column, decimals: int) -> Column:
+    """A number with a fixed count of decimals, rounded by its exact binary value, exact
+    halves away from zero."""
+    size = F.abs(value).cast("double")
+    # Only multiples of a power of two can be exact halves; a nudge decides those.
+    half = (size * 2 ** (decimals + 1)) % 1 == 0
+    nudged = F.when(half, size + 10.0 ** -(decimals + 4)).otherwise(size)
+    text = F.replace(F.format_number(nudged, decimals), F.lit(","), F.lit(""))
+    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
+
+
 def score_text_form(score: Column | str) -> Column:
     """Sign and three decimals."""
-    return F.format_string("%+.3f", as_column(score) + F.lit(0.0))
+    s = as_column(score)
+    return F.concat(F.when(s >= 0, F.lit("+")).otherwise(F.lit("")), fixed(s, 3))
 
 
 def gauge_percent(score: Column | str) -> Column:
     """Position of a score on a 0-100 gauge, one decimal."""
-    return F.round((as_column(score) + 1) / 2 * 100, 1)
+    return fixed((as_column(score) + 1) / 2 * 100, 1).cast("double")
 
 
 def bytes_text(n_bytes: Column | str) -> Column:
     n = as_column(n_bytes)
     return (
         F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B")))
-        .when(n < 1024 ** 2, F.format_string("%.1f KB", n / 1024))
-        .otherwise(F.format_string("%.2f MB", n / 1024 ** 2))
+        .when(n < 1024 ** 2, F.concat(fixed(n / 1024, 1), F.lit(" KB")))
+        .otherwise(F.concat(fixed(n / 1024 ** 2, 2), F.lit(" MB")))
     )
 
 
 def duration_text(millis: Column | str) -> Column:
     ms = as_column(millis)
     return (
-        F.when(ms < 1000, F.format_string("%.0f ms", ms.cast("double")))
-        .otherwise(F.format_string("%.2f s", ms / 1000))
+        F.when(ms < 1000, F.concat(fixed(ms, 0), F.lit(" ms")))
+        .otherwise(F.concat(fixed(ms / 1000, 2), F.lit(" s")))
     )

@@ -12,6 +12,15 @@ from tonegrain.operators.topn import top_n
 KEYWORD_PATTERN = r"(?<![A-Za-z0-9_])[a-z]{3,}+(?![A-Za-z0-9_])"
 
 
+def mean_score(col: str = "sentiment_score") -> Column:
+    """Average of scores kept to four decimals.
+
+    They are added up as whole numbers, so the result does not depend on the order in
+    which tasks finish; a sum of doubles would.  NULL for no rows.
+    """
+    return F.try_divide(F.sum(F.round(F.col(col) * 10_000).cast("long")), F.count(col)) / 10_000
+
+
 def _count_label(label: str) -> Column:
     # sum, not count_if: no rows must give NULL.
     return F.sum(F.when(F.col("sentiment_label") == label, 1).otherwise(0))
@@ -22,7 +31,7 @@ def statistics(records: DataFrame, by: list[str] | None = None, batch_id: str |
     rows = records if not batch_id else records.filter(F.col("batch_id") == batch_id)
     return rows.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("total_chunks"),
-        F.avg("sentiment_score").alias("avg_score"),
+        mean_score().alias("avg_score"),
         F.max("sentiment_score").alias("max_score"),
         F.min("sentiment_score").alias("min_score"),
         F.coalesce(F.sum("word_count"), F.lit(0)).alias("total_words"),

@@ -195,7 +195,9 @@ EXPORT = f"""batch_id, file_name, chunk_index, chunk_text, sentiment_score, sent
   word_count, char_count, {TS}"""
 HIT = f"batch_id, file_name, chunk_index, sentiment_score, sentiment_label, {TS}"
 
-STATS = """count(*) AS total_chunks, round(avg(sentiment_score), 4) AS avg_score,
+MEAN = "round(sum(round(sentiment_score * 10000)::BIGINT)::DOUBLE / count(*)) / 10000"
+
+STATS = f"""count(*) AS total_chunks, {MEAN} AS avg_score,
   max(sentiment_score) AS max_score, min(sentiment_score) AS min_score,
   coalesce(sum(word_count), 0)::BIGINT AS total_words,
   sum(CASE WHEN sentiment_label = 'positive' THEN 1 ELSE 0 END)::BIGINT AS positive_count,
@@ -245,7 +247,7 @@ FROM (SELECT source, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13)
   trim(concat_ws(' ', p_partkey, p_name, p_brand, p_type, CASE WHEN p_size > 10 THEN p_size END)) AS line FROM part""",
         "q_json_values_line": """SELECT event_id, CASE WHEN json_extract_string(props, '$.k') = '0' THEN '' ELSE json_extract_string(props, '$.k') END AS props_line,
   event_type || CASE WHEN event_id % 3 = 0 THEN '' ELSE ' ' || (event_id % 3)::VARCHAR END
-    || CASE WHEN event_id % 2 = 0 THEN ' True' ELSE '' END || ' 0 ' || event_id::VARCHAR AS row_line FROM events""",
+    || CASE WHEN event_id % 2 = 0 THEN ' True' ELSE '' END || ' 0' || CASE WHEN event_id = 0 THEN '' ELSE ' ' || event_id::VARCHAR END AS row_line FROM events""",
         "q_html_sentences": rf"""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS sentence_no, sentence FROM (
   SELECT page_id, k, {strip("piece")} AS sentence FROM (
     SELECT page_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM (
@@ -293,7 +295,7 @@ SELECT t AS word, CASE WHEN t IN {words(LEX.positive)} THEN 'positive' WHEN t IN
         "q_stats_one_batch": over("lines", f"SELECT {STATS} FROM records WHERE batch_id = 'b1'"),
         "q_stats_by_batch": over("lines", f"SELECT batch_id, {STATS} FROM records GROUP BY batch_id"),
         "q_stats_by_file": over("chunks", f"SELECT file_name, {STATS} FROM records GROUP BY file_name"),
-        "q_summary": over("lines", """SELECT count(*) AS total_chunks, round(avg(sentiment_score), 4) AS avg_score,
+        "q_summary": over("lines", f"""SELECT count(*) AS total_chunks, {MEAN} AS avg_score,
   max(sentiment_score) AS max_score, min(sentiment_score) AS min_score,
   count(*) FILTER (WHERE sentiment_label = 'positive') AS positive_count,
   count(*) FILTER (WHERE sentiment_label = 'negative') AS negative_count,
@@ -320,15 +322,16 @@ FROM ({_word_counts("negative_words")}) QUALIFY rank <= 8"""),
 FROM {labels} LEFT JOIN records r USING (sentiment_label) GROUP BY l.sentiment_label"""),
         "q_score_histogram": over("lines", f"""SELECT position, bucket, count(batch_id) AS n
 FROM {buckets} LEFT JOIN records ON position = {bucket_no} GROUP BY position, bucket"""),
-        "q_score_trend": over("chunks", """SELECT batch_id, point::INTEGER AS point, min(r) AS first_chunk, count(*) AS n, round(avg(sentiment_score), 4) AS avg_score FROM (
+        "q_score_trend": over("chunks", f"""SELECT batch_id, point::INTEGER AS point, min(r) AS first_chunk, count(*) AS n, {MEAN} AS avg_score FROM (
   SELECT *, floor(r / ceil(c / 20.0)) AS point FROM (
     SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY file_name, chunk_index) - 1 AS r, count(*) OVER (PARTITION BY batch_id) AS c FROM records))
 GROUP BY batch_id, point"""),
         "q_domain_freq": over("documents", f"""SELECT d.domain, count(x) AS n FROM (SELECT unnest({listed(LEX.domains)}) AS domain) d
 LEFT JOIN (SELECT unnest(tag_list) AS x FROM records) ON x = d.domain GROUP BY d.domain"""),
         "q_score_format": over("lines", """SELECT chunk_index AS event_id,
-  CASE WHEN sentiment_score >= 0 THEN '+' ELSE '' END || printf('%.3f', sentiment_score) AS score_text,
-  round((sentiment_score + 1) / 2 * 100, 1) AS gauge_pct FROM records"""),
+  CASE WHEN sentiment_score >= 0 THEN '+' ELSE '' END || printf('%.3f', sentiment_score + CASE WHEN (sentiment_score * 16) % 1 = 0 THEN sign(sentiment_score) * 1e-7 ELSE 0 END) AS score_text,
+  printf('%.1f', g + CASE WHEN (g * 4) % 1 = 0 THEN 1e-5 ELSE 0 END)::DOUBLE AS gauge_pct
+FROM (SELECT *, (sentiment_score + 1) / 2 * 100 AS g FROM records)"""),
         # search
         "q_search_keyword": over("lines", f"SELECT {HIT} FROM records WHERE contains({_fold_ascii('chunk_text')}, 'not very')"),
         "q_search_wildcard": rows_of("documents", f"""SELECT file_name, chunk_index, left(text, 5000) AS chunk_text FROM rows
@@ -360,8 +363,8 @@ ORDER BY {KEY_DESC} LIMIT 999999)"""),
         "q_batch_progress": f"""WITH {DOCUMENT_LINES}, per_file AS (
   SELECT source AS batch_id, doc_id, ceil(max(total_lines)::DOUBLE / max({chunk_size("total_lines")}))::BIGINT AS c FROM document_lines GROUP BY source, doc_id)
 SELECT batch_id, sum(c)::BIGINT AS expected_chunks, sum(c)::BIGINT AS completed_chunks, 100::BIGINT AS percent, 'completed' AS status FROM per_file GROUP BY batch_id""",
-        "q_batch_report": over("lines", """SELECT 'b1' AS batch_id, 'Batch ID: b1' || chr(10) || 'Total Chunks: ' || count(*) || chr(10)
-  || 'Average Sentiment Score: ' || printf('%.4f', avg(sentiment_score)) || chr(10)
+        "q_batch_report": over("lines", f"""SELECT 'b1' AS batch_id, 'Batch ID: b1' || chr(10) || 'Total Chunks: ' || count(*) || chr(10)
+  || 'Average Sentiment Score: ' || printf('%.4f', {MEAN}) || chr(10)
   || 'Positive: ' || count(*) FILTER (WHERE sentiment_label = 'positive') || chr(10)
   || 'Negative: ' || count(*) FILTER (WHERE sentiment_label = 'negative') || chr(10)
   || 'Neutral: ' || count(*) FILTER (WHERE sentiment_label = 'neutral') AS report FROM records WHERE batch_id = 'b1'"""),
@@ -373,6 +376,6 @@ QUALIFY row_number() OVER (PARTITION BY file_name, chunk_text ORDER BY processed
         "q_archive_kept": over("lines", f"SELECT {HIT} FROM records WHERE processed_at >= TIMESTAMP '2024-01-16'"),
         "q_archive_union": over("lines", f"SELECT {HIT} FROM records"),
         # time
-        "q_sentiment_by_day": over("lines", """SELECT strftime(date_trunc('day', processed_at), '%Y-%m-%d') AS day, file_name, count(*) AS n,
-  round(avg(sentiment_score), 4) AS avg_score FROM records GROUP BY 1, 2"""),
+        "q_sentiment_by_day": over("lines", f"""SELECT strftime(date_trunc('day', processed_at), '%Y-%m-%d') AS day, file_name, count(*) AS n,
+  {MEAN} AS avg_score FROM records GROUP BY 1, 2"""),
     }

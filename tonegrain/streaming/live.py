@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
 from tonegrain.operators.chunking import explode_chunks
 from tonegrain.operators.records import chunk_records
+from tonegrain.operators.stats import mean_score
 from tonegrain.session import checkpoint_dir
 from tonegrain.sources.formats import FORMATS
 
@@ -58,7 +59,7 @@ def score_by_window(records: DataFrame, width: str, late: str | None = None) ->
     rows = records.withWatermark("processed_at", late) if late else records
     return (
         rows.groupBy(F.window("processed_at", width).alias("w"), "file_name")
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("sentiment_score").alias("avg_score"))
+        .agg(F.count(F.lit(1)).alias("n"), mean_score().alias("avg_score"))
         .select(F.col("w.start").alias("window_start"), "file_name", "n", "avg_score")
     )
 
