@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tonegrain.functions.text import as_column, let
 from tonegrain.lexicon import CHUNK_SIZES, LARGEST_CHUNK_SIZE
+from tonegrain.operators.unnest import each_struct
 
 
 def chunk_size(total_lines: Column | str) -> Column:
@@ -60,13 +61,9 @@ def chunk_array(lines: Column) -> Column:
 
 def explode_chunks(df: DataFrame, lines: Column, keep: list[str]) -> DataFrame:
     """One row per chunk out of one row per file; ``lines`` is an array of its lines."""
-    # Outer, then drop the empty rows: for a plain inline the planner adds a filter on the
-    # size of the array, which would build the whole array a second time.
-    return (
-        df.select(*keep, chunk_array(lines).alias("_chunks"))
-        .select(*keep, F.size("_chunks").cast("long").alias("total_chunks"), F.inline_outer("_chunks"))
-        .filter(F.col("chunk_index").isNotNull())
-    )
+    chunked = df.select(*keep, chunk_array(lines).alias("_chunks"))
+    total = F.size("_chunks").cast("long").alias("total_chunks")
+    return each_struct(chunked, [*keep, total], "_chunks", "chunk_index")
 
 
 def assemble_chunks(numbered: DataFrame, file_cols: list[str], carry: dict[str, Column] | None = None) -> DataFrame:

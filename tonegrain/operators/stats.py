@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
 from tonegrain.operators.records import ORDER_KEY
 from tonegrain.operators.topn import top_n
+from tonegrain.operators.unnest import each, each_struct
 
 # ASCII words of three or more letters; the border is ASCII too.
 KEYWORD_PATTERN = r"(?<![A-Za-z0-9_])[a-z]{3,}+(?![A-Za-z0-9_])"
@@ -61,7 +62,7 @@ def summary(records: DataFrame) -> DataFrame:
 def frequency(records: DataFrame, list_col: str, name: str) -> DataFrame:
     """Chunks per element of a list column (lists are distinct within a chunk)."""
     return (
-        records.select(F.explode(list_col).alias(name))
+        each(records, [], list_col, name)
         .groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -100,7 +101,7 @@ def word_panel(records: DataFrame, k: int = 8) -> DataFrame:
         F.transform("positive_words", lambda w: F.struct(F.lit("positive").alias("polarity"), w.alias("word"))),
         F.transform("negative_words", lambda w: F.struct(F.lit("negative").alias("polarity"), w.alias("word"))),
     )
-    counts = records.select(F.inline(both)).groupBy("polarity", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = each_struct(records, [], both, "word").groupBy("polarity", "word").agg(F.count(F.lit(1)).alias("n"))
     # One row per lexicon word is left here, so ranking inside a polarity is small.
     rank = F.row_number().over(Window.partitionBy("polarity").orderBy(F.desc("n"), F.asc("word")))
     return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
@@ -117,7 +118,7 @@ def keyword_counts(
     rows = records if newest_n is None else top_n(records, [F.desc(c) for c in ORDER_KEY], newest_n)
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(KEYWORD_PATTERN), F.lit(0))
     return (
-        rows.select(F.explode(words).alias("word"))
+        each(rows, [], words, "word")
         .filter(~F.col("word").isin(*sorted(lexicon.stopwords)))
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )

@@ -13,6 +13,7 @@ from tonegrain.functions.sql import is_in
 from tonegrain.lexicon import DEFAULT_LEXICON as LEX
 from tonegrain.operators import dashboard, jobs, maintain, search, stats
 from tonegrain.operators.chunking import chunk_index, chunk_size
+from tonegrain.operators.unnest import each, each_struct
 from tonegrain.plans.tables import (
     document_chunks, document_chunks_scored, documents, feedback, feedback_chunks_scored,
     feedback_lines_scored, feedback_numbered, table,
@@ -26,7 +27,8 @@ _REGISTERED: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _REGISTERED["q_" + fn.__name__] = fn
+    # A trailing underscore only keeps a name apart from an import.
+    _REGISTERED["q_" + fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -102,7 +104,7 @@ def json_values_line(spark, sf):
         '{"type": "%s", "rest": %d, "even": %s, "gone": null, "zero": "0", "none": [], "id": %d}',
         "event_type", event % 3, F.when(event % 2 == 0, "true").otherwise("false"), event,
     )
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events").select("event_id", "event_type", "props")).select(
         "event_id", structured.object_to_line("props").alias("props_line"),
         structured.object_to_line(row).alias("row_line"),
     )
@@ -111,7 +113,7 @@ def json_values_line(spark, sf):
 @query
 def html_sentences(spark, sf):
     pages = spread(table(spark, sf, "pages").select("page_id", "html"))
-    sentences = pages.select("page_id", F.posexplode(tx.html_sentences("html")).alias("sentence_no", "sentence"))
+    sentences = each(pages, ["page_id"], tx.html_sentences("html"), "sentence", "sentence_no")
     return sentences.withColumn("sentence_no", F.col("sentence_no").cast("long"))
 
 
@@ -125,9 +127,6 @@ def chunk_size_(spark, sf):
     return docs.unionByName(feeds).withColumn("chunk_size", chunk_size("total_lines"))
 
 
-_REGISTERED["q_chunk_size"] = _REGISTERED.pop("q_chunk_size_")
-
-
 @query
 def chunk_index_(spark, sf):
     return feedback_numbered(spark, sf).select(
@@ -135,9 +134,6 @@ def chunk_index_(spark, sf):
     )
 
 
-_REGISTERED["q_chunk_index"] = _REGISTERED.pop("q_chunk_index_")
-
-
 @query
 def chunk_text(spark, sf):
     return document_chunks(spark, sf).select("file_name", "chunk_index", "chunk_text")
@@ -146,7 +142,7 @@ def chunk_text(spark, sf):
 # ---------------------------------------------------------------------- scoring
 @query
 def tokens(spark, sf):
-    words = documents(spark, sf).select(F.explode(tx.lower_tokens("text")).alias("token"))
+    words = each(documents(spark, sf), [], tx.lower_tokens("text"), "token")
     return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -160,7 +156,7 @@ def counts(spark, sf):
 @query
 def modifiers(spark, sf):
     words = feedback(spark, sf).select("event_id", F.expr(words_sql("line")).alias("words"))
-    hits = words.select("event_id", F.explode(F.expr(hits_sql("words", LEX))).alias("h"))
+    hits = each(words, ["event_id"], F.expr(hits_sql("words", LEX)), "h")
     two = F.col("h.m2") > 0
     return hits.filter(two | (F.col("h.m1") > 0)).select(
         "event_id", F.col("h.i").alias("position"), F.col("h.t").alias("word"),
@@ -174,7 +170,7 @@ def negation(spark, sf):
     looked = f"""transform(words, (t, i) -> struct(i AS position, t AS word,
         exists(slice(words, greatest(i - 2, 1), least(i, 3)), b -> {is_in("b", LEX.negations)}) AS negated))"""
     words = feedback(spark, sf).select("event_id", F.expr(words_sql("line")).alias("words"))
-    return words.select("event_id", F.inline(F.expr(looked))).filter(F.expr(is_in("word", LEX.sentiment)))
+    return each_struct(words, ["event_id"], F.expr(looked), "word").filter(F.expr(is_in("word", LEX.sentiment)))
 
 
 @query
@@ -184,7 +180,7 @@ def lexicon_hits(spark, sf):
         **{w: "positive" for w in LEX.positive},
     }
     lexicon = spark.createDataFrame(sorted(kinds.items()), "word string, kind string")
-    words = document_chunks(spark, sf).select(F.explode(tx.lower_tokens("chunk_text")).alias("word"))
+    words = each(document_chunks(spark, sf), [], tx.lower_tokens("chunk_text"), "word")
     found = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     # The lexicon is a constant of about 200 rows.
     return found.join(F.broadcast(lexicon), "word")
@@ -217,13 +213,13 @@ def score_label_documents(spark, sf):
 
 @query
 def patterns(spark, sf):
-    return feedback(spark, sf).select("event_id", F.explode(pattern_matches("line")).alias("pattern"))
+    return each(feedback(spark, sf), ["event_id"], pattern_matches("line"), "pattern")
 
 
 @query
 def patterns_documents(spark, sf):
     chunks = document_chunks(spark, sf)
-    return chunks.select("file_name", "chunk_index", F.explode(pattern_matches("chunk_text")).alias("pattern"))
+    return each(chunks, ["file_name", "chunk_index"], pattern_matches("chunk_text"), "pattern")
 
 
 @query
@@ -231,9 +227,6 @@ def tags_(spark, sf):
     return feedback(spark, sf).select("event_id", F.array_join(tags("line"), ",").alias("tags"))
 
 
-_REGISTERED["q_tags"] = _REGISTERED.pop("q_tags_")
-
-
 @query
 def tags_documents(spark, sf):
     chunks = document_chunks(spark, sf)
@@ -261,9 +254,6 @@ def stats_(spark, sf):
     return _rounded(stats.statistics(document_chunks_scored(spark, sf)))
 
 
-_REGISTERED["q_stats"] = _REGISTERED.pop("q_stats_")
-
-
 @query
 def stats_one_batch(spark, sf):
     return _rounded(stats.statistics(feedback_lines_scored(spark, sf), batch_id="b1"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tonegrain.functions.text import clean_lines
 from tonegrain.operators.chunking import assemble_chunks, explode_chunks
 from tonegrain.operators.numbering import piece_offsets
+from tonegrain.operators.unnest import each
 from tonegrain.session import pin_file_splits
 from tonegrain.sources.formats import BY_SUFFIX, FORMATS, LineFormat, format_of
 
@@ -127,9 +128,8 @@ def read_lines(
     parts = []
     for f, glob, limit in scans:
         whole = _whole_files(spark, paths, glob, f, encoding, limit)
-        parts.append(whole.select(
-            *FILE_COLS, F.size("lines").cast("long").alias("total_lines"), F.posexplode("lines").alias("line_no", "line")
-        ).select(*FILE_COLS, F.col("line_no").cast("long").alias("line_no"), "line", "total_lines"))
+        total = F.size("lines").cast("long").alias("total_lines")
+        parts.append(each(whole, [*FILE_COLS, total], "lines", "line", "line_no").select(*FILE_COLS, F.col("line_no").cast("long").alias("line_no"), "line", "total_lines"))
         if limit is not None:
             parts.append(_numbered_lines(spark, paths, glob, f, encoding, limit))
     return _union(parts)
@@ -170,7 +170,7 @@ def lines_from_text(spark: SparkSession, text: str, file_name: str = "raw_input.
 
 def lines_from_column(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """Stripped, non-blank lines of a text column: ``keep`` columns, line_no, line."""
-    return df.select(*keep, F.posexplode(clean_lines(text_col)).alias("line_no", "line"))
+    return each(df, keep, clean_lines(text_col), "line", "line_no")
 
 
 def file_list(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
