@@ -8,6 +8,8 @@ character it cannot do without.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from tonegrain.functions.sql import let, name, regex_literal, text_literal
@@ -40,6 +42,9 @@ _ANY_WORD = rf"{_STARTS}[{_ASCII_LETTERS}]{{2,}}{_ENDS}"
 _CAPS_WORD = rf"{_STARTS}[A-Z]{{2,}}{_ENDS}"
 
 
+_LETTERS_ONLY = re.compile("[a-z]+").fullmatch
+
+
 def pattern_tests(text_col: str, *, strict_caps: bool = False) -> dict[str, str]:
     """One SQL test per pattern name, in the fixed order."""
     t = name(text_col)
@@ -95,8 +100,13 @@ def tags(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON, *, whole_word: bool
     def test(keywords: tuple[str, ...]) -> str:
         if whole_word:
             return f"rlike(lowered, {regex_literal(_STARTS + '(?:' + '|'.join(keywords) + ')' + _ENDS)})"
-        return " OR ".join(f"contains(lowered, {text_literal(k)})" for k in _shortest(keywords))
+        return " OR ".join(
+            f"contains({'runs' if _LETTERS_ONLY(k) else 'lowered'}, {text_literal(k)})" for k in _shortest(keywords)
+        )
 
-    # Lower-cased once and bound to a name: dozens of tests read it.
+    # Lower-cased once and bound to a name: dozens of tests read it.  A keyword of plain
+    # letters lies within one run of letters, so the distinct runs stand for the text.
     hits = _names_found({domain: test(keywords) for domain, keywords in lexicon.domains.items()})
-    return _unless_blank(text_col, let("lowered", f"lower({name(text_col)})", hits))
+    runs = "array_join(array_distinct(split(lowered, '[^a-z]+')), ' ')"
+    tests = hits if whole_word else let("runs", runs, hits)
+    return _unless_blank(text_col, let("lowered", f"lower({name(text_col)})", tests))

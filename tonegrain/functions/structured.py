@@ -90,9 +90,8 @@ def plain_float(text: Column) -> Column:
     expanded = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
     mantissa = F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
     power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
-    short = F.concat(
-        mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), 2, "0")
-    )
+    sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    short = F.concat(mantissa, sign, F.format_string("%02d", F.abs(power)))
     exponent = F.when((value >= 1e-4) & (value < 1e16), expanded).otherwise(short)
     return F.when(text.contains("E"), exponent).otherwise(text)
 

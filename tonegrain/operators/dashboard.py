@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tonegrain.functions.text import as_column
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
+from tonegrain.operators.numbering import number_lines
 from tonegrain.operators.stats import mean_score
 
 LABELS = ("positive", "negative", "neutral")
@@ -61,23 +62,23 @@ def domain_frequency(records: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) ->
 def score_trend(records: DataFrame, points: int = 20) -> DataFrame:
     """Average score at ``points`` positions along each batch.
 
-    A chunk's position in its batch is its index plus the chunks of the files before it,
-    so only the small per-file table is ordered, never the chunks themselves.
+    A chunk's position is its rank within its file, gaps in the index closed, plus the
+    chunks of the files before it.  Only the small per-file table is ordered as a whole;
+    chunks are ranked in pieces, so a batch with a third of all rows is no hot spot.
     """
-    files = records.groupBy("batch_id", "file_name").agg(
-        F.count(F.lit(1)).alias("file_chunks"), F.min("chunk_index").alias("first_index"),
-    )
+    narrow = records.select("batch_id", "file_name", "chunk_index", "sentiment_score")
+    files = records.groupBy("batch_id", "file_name").agg(F.count(F.lit(1)).alias("file_chunks"))
     batch = Window.partitionBy("batch_id")
     before = batch.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select(
-        "batch_id", "file_name", "first_index",
+        "batch_id", "file_name",
         F.coalesce(F.sum("file_chunks").over(before), F.lit(0)).alias("chunks_before"),
         F.sum("file_chunks").over(batch).alias("batch_chunks"),
     )
-    rank = F.col("chunks_before") + F.col("chunk_index") - F.col("first_index")
+    rank = F.col("chunks_before") + F.col("line_no")
     width = F.ceil(F.col("batch_chunks") / points)
     return (
-        records.select("batch_id", "file_name", "chunk_index", "sentiment_score")
+        number_lines(narrow, ["batch_id", "file_name"], "chunk_index")
         .join(offsets, ["batch_id", "file_name"])
         .groupBy("batch_id", F.floor(rank / width).cast("int").alias("point"))
         .agg(

@@ -36,10 +36,16 @@ def pin_file_splits(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a scratch folder only if unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where none is named, a local session gets a scratch folder; a cluster must name one,
+    since a folder of one machine is lost with it.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    made = tempfile.mkdtemp(prefix="tonegrain-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tonegrain-"))
+    return context.getCheckpointDir()
