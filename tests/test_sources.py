@@ -243,6 +243,16 @@ def test_numbering_with_a_hot_file(spark):
     assert text.split() == [str(i) for i in range(20_000) if i % 10 < 8]
 
 
+@pytest.mark.parametrize("span", [1, 7, 1 << 16])
+def test_numbering_of_sparse_keys(spark, span):
+    # Keys far apart: nearly every row is a piece of its own.
+    rnd = random.Random(11)
+    keys = sorted(rnd.sample(range(-(1 << 40), 1 << 62), 500) + list(range(100)))
+    df = spark.createDataFrame([("f", k) for k in keys], "file_name string, k long").repartition(5)
+    rows = number_lines(df, ["file_name"], "k", span=span).orderBy("k").collect()
+    assert [(r.k, r.line_no, r.total_lines) for r in rows] == [(k, i, 600) for i, k in enumerate(keys)]
+
+
 def test_stored_lists_are_decoded(spark):
     df = spark.createDataFrame([('["a","b"]', None, "oops", "[]")], "positive_words string, negative_words string, tags string, pattern_matches string")
     assert list(decode_lists(df).collect()[0]) == [["a", "b"], [], [], []]

@@ -2,40 +2,73 @@
 
 ``row_number()`` over a file puts the whole file into one task, and one file may hold
 a third of all rows.  Here rows are numbered inside small pieces, the pieces are
-counted, and a running sum over the (small) piece table gives every piece its offset.
+counted, and running sums over the counts give every piece its offset.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+# A piece covers this many values of the order column, and so do the levels above it:
+# with 2**16, three levels cover every 64-bit key and no window group exceeds 2**16 rows.
+SPAN = 1 << 16
+LEVELS = 3
+
+
+def _sum_before(group: list[str], order: str, count: str) -> Column:
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(count).over(earlier), F.lit(0))
 
 
 def piece_offsets(counts: DataFrame, file_cols: list[str], piece_col: str) -> DataFrame:
-    """Add ``lines_before`` and ``total_lines`` to a table of line counts per piece."""
-    per_file = Window.partitionBy(*file_cols)
-    earlier = per_file.orderBy(piece_col).rowsBetween(Window.unboundedPreceding, -1)
+    """Add ``lines_before`` and ``total_lines`` to ``piece_lines`` per piece of a file.
+
+    For pieces that are few per file, such as the splits of one file.
+    """
     return counts.select(
         *file_cols, piece_col, "piece_lines",
-        F.coalesce(F.sum("piece_lines").over(earlier), F.lit(0)).alias("lines_before"),
-        F.sum("piece_lines").over(per_file).alias("total_lines"),
+        _sum_before(file_cols, piece_col, "piece_lines").alias("lines_before"),
+        F.sum("piece_lines").over(Window.partitionBy(*file_cols)).alias("total_lines"),
     )
 
 
-def number_lines(df: DataFrame, file_cols: list[str], order_col: str, span: int = 1 << 16) -> DataFrame:
+def _nested_offsets(counts: DataFrame, file_cols: list[str], span: int, levels: int) -> DataFrame:
+    """The same for any number of pieces: pieces are summed up within wider pieces, those
+    within wider ones again, and the offsets are added on the way back down."""
+    tables = [counts]
+    for level in range(1, levels):
+        wider = F.floor(F.col(f"_piece{level - 1}") / F.lit(span)).alias(f"_piece{level}")
+        tables.append(
+            tables[-1].groupBy(*file_cols, wider).agg(F.sum("piece_lines").alias("piece_lines"))
+        )
+    out = piece_offsets(tables[-1], file_cols, f"_piece{levels - 1}").drop("piece_lines")
+    for level in range(levels - 2, -1, -1):
+        parent, own = f"_piece{level + 1}", f"_piece{level}"
+        group = [*file_cols, parent]
+        inner = tables[level].withColumn(parent, F.floor(F.col(own) / F.lit(span))).select(
+            *group, own, _sum_before(group, own, "piece_lines").alias("_within")
+        )
+        out = inner.join(out, group).select(
+            *file_cols, own, (F.col("lines_before") + F.col("_within")).alias("lines_before"), "total_lines"
+        )
+    return out
+
+
+def number_lines(df: DataFrame, file_cols: list[str], order_col: str, span: int = SPAN, levels: int = LEVELS) -> DataFrame:
     """Add 0-based ``line_no`` and ``total_lines`` per file, in ``order_col`` order.
 
-    ``order_col`` is an integer, unique within a file; a piece covers ``span`` of its
-    values, which bounds what one window group can hold.  The join and the window use
-    the same keys, so lines are shuffled once whether or not the offsets are broadcast;
-    Spark broadcasts them only when they measure below its threshold.
+    ``order_col`` is an integer, unique within a file, dense or not.  No window group holds
+    more than ``span`` rows.  The join and the window use the same keys, so lines are
+    shuffled once whether or not the offsets are broadcast; Spark broadcasts them only when
+    they measure below its threshold.
     """
-    piece = "_piece"
+    piece = "_piece0"
     keyed = df.withColumn(piece, F.floor(F.col(order_col) / F.lit(span)))
     counts = keyed.groupBy(*file_cols, piece).agg(F.count(F.lit(1)).alias("piece_lines"))
     within = Window.partitionBy(*file_cols, piece).orderBy(order_col)
     return (
         keyed.withColumn("_rank", F.row_number().over(within))
-        .join(piece_offsets(counts, file_cols, piece), [*file_cols, piece])
+        .join(_nested_offsets(counts, file_cols, span, levels), [*file_cols, piece])
         .withColumn("line_no", F.col("lines_before") + F.col("_rank") - 1)
-        .drop(piece, "_rank", "piece_lines", "lines_before")
+        .drop(piece, "_rank", "lines_before")
     )

@@ -322,7 +322,7 @@ FROM ({_word_counts("negative_words")}) QUALIFY rank <= 8"""),
 FROM {labels} LEFT JOIN records r USING (sentiment_label) GROUP BY l.sentiment_label"""),
         "q_score_histogram": over("lines", f"""SELECT position, bucket, count(batch_id) AS n
 FROM {buckets} LEFT JOIN records ON position = {bucket_no} GROUP BY position, bucket"""),
-        "q_score_trend": over("chunks", f"""SELECT batch_id, point::INTEGER AS point, min(r) AS first_chunk, count(*) AS n, {MEAN} AS avg_score FROM (
+        "q_score_trend": over("lines", f"""SELECT batch_id, point::INTEGER AS point, min(r) AS first_chunk, count(*) AS n, {MEAN} AS avg_score FROM (
   SELECT *, floor(r / ceil(c / 20.0)) AS point FROM (
     SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY file_name, chunk_index) - 1 AS r, count(*) OVER (PARTITION BY batch_id) AS c FROM records))
 GROUP BY batch_id, point"""),

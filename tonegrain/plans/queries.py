@@ -332,7 +332,7 @@ def score_histogram(spark, sf):
 
 @query
 def score_trend(spark, sf):
-    return _rounded(dashboard.score_trend(feedback_chunks_scored(spark, sf)))
+    return _rounded(dashboard.score_trend(feedback_lines_scored(spark, sf)))
 
 
 @query
