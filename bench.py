@@ -16,6 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tonegrain.functions.scoring import sentiment  # noqa: E402
+from tonegrain.jobs import score_files  # noqa: E402
 from tonegrain.operators import maintain, search, stats  # noqa: E402
 from tonegrain.operators.store import write_chunks  # noqa: E402
 from tonegrain.plans.queries import queries  # noqa: E402
@@ -62,6 +63,14 @@ def main() -> None:
     timed["score_and_store"] = median_time(lambda: write_chunks(document_chunks_scored(spark, SF_DIR), stored), 1)
     write_chunks(feedback_lines_scored(spark, SF_DIR), f"{scratch}/lines")
     chunks, lines = spark.read.parquet(stored), spark.read.parquet(f"{scratch}/lines")
+
+    # The same text as files: chunked inside their rows, and by splits.
+    files = f"{scratch}/files"
+    spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text").repartition(CPUS).write.text(files)
+    n_bytes = sum(os.path.getsize(f"{files}/{f}") for f in os.listdir(files) if f.endswith(".txt"))
+    timed["files_whole"] = median_time(lambda: drain(score_files(spark, files, "b", "text")), 2)
+    timed["files_by_splits"] = median_time(lambda: drain(score_files(spark, files, "b", "text", whole_file_limit=0)), 2)
+
     timed["stored_stats"] = median_time(lambda: drain(stats.statistics(lines)))
     timed["stored_top_words"] = median_time(lambda: drain(stats.top_words(lines, "positive")))
     timed["stored_search_page"] = median_time(lambda: drain(search.page(search.search(lines, keyword="bank"), 2)))
@@ -71,6 +80,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "total of median query times", "value": round(sum(timed.values()), 3), "unit": "sec",
         "queries": timed, "sf": os.path.basename(SF_DIR.rstrip("/")), "cpus": CPUS, "documents": n_docs,
+        "files_mb_per_sec": {k: round(n_bytes / 1e6 / timed[k], 1) for k in ("files_whole", "files_by_splits")},
     }))
 
 

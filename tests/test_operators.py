@@ -220,7 +220,7 @@ def test_trend_covers_all_chunks(records):
     assert sum(r.n for r in rows) == 120
     assert all(0 <= r.point < 20 for r in rows)
     one = sorted((r.point, r.first_chunk, r.n) for r in rows if r.batch_id == "b0")
-    assert one == [(p, 2 * p, 2) for p in range(20)]
+    assert one == [(p, p, 2) for p in range(20)]      # two files of 20 chunks each
 
 
 def test_line_records_need_no_shuffle(spark):

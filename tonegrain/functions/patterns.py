@@ -42,6 +42,7 @@ _ANY_WORD = rf"{_STARTS}[{_ASCII_LETTERS}]{{2,}}{_ENDS}"
 _CAPS_WORD = rf"{_STARTS}[A-Z]{{2,}}{_ENDS}"
 
 
+_SHORT_TEXT = 400
 _LETTERS_ONLY = re.compile("[a-z]+").fullmatch
 
 
@@ -107,6 +108,10 @@ def tags(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON, *, whole_word: bool
     # Lower-cased once and bound to a name: dozens of tests read it.  A keyword of plain
     # letters lies within one run of letters, so the distinct runs stand for the text.
     hits = _names_found({domain: test(keywords) for domain, keywords in lexicon.domains.items()})
-    runs = "array_join(array_distinct(split(lowered, '[^a-z]+')), ' ')"
+    # A short text is tested as it is.
+    runs = (
+        f"CASE WHEN length(lowered) < {_SHORT_TEXT} THEN lowered "
+        "ELSE array_join(array_distinct(split(lowered, '[^a-z]+')), ' ') END"
+    )
     tests = hits if whole_word else let("runs", runs, hits)
     return _unless_blank(text_col, let("lowered", f"lower({name(text_col)})", tests))

@@ -60,29 +60,19 @@ def domain_frequency(records: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) ->
 
 
 def score_trend(records: DataFrame, points: int = 20) -> DataFrame:
-    """Average score at ``points`` positions along each batch.
+    """Average score at ``points`` positions along the files of each batch.
 
-    A chunk's position is its rank within its file, gaps in the index closed, plus the
-    chunks of the files before it.  Only the small per-file table is ordered as a whole;
-    chunks are ranked in pieces, so a batch with a third of all rows is no hot spot.
+    A chunk's position is its rank within its file, gaps in the index closed, so a file
+    of n chunks gives ceil(n / points) chunks to each point.  Chunks are ranked in pieces:
+    neither a large file nor a batch with a third of all rows meets in one task.
     """
     narrow = records.select("batch_id", "file_name", "chunk_index", "sentiment_score")
-    files = records.groupBy("batch_id", "file_name").agg(F.count(F.lit(1)).alias("file_chunks"))
-    batch = Window.partitionBy("batch_id")
-    before = batch.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select(
-        "batch_id", "file_name",
-        F.coalesce(F.sum("file_chunks").over(before), F.lit(0)).alias("chunks_before"),
-        F.sum("file_chunks").over(batch).alias("batch_chunks"),
-    )
-    rank = F.col("chunks_before") + F.col("line_no")
-    width = F.ceil(F.col("batch_chunks") / points)
+    width = F.ceil(F.col("total_lines") / points)
     return (
         number_lines(narrow, ["batch_id", "file_name"], "chunk_index")
-        .join(offsets, ["batch_id", "file_name"])
-        .groupBy("batch_id", F.floor(rank / width).cast("int").alias("point"))
+        .groupBy("batch_id", F.floor(F.col("line_no") / width).cast("int").alias("point"))
         .agg(
-            F.min(rank).alias("first_chunk"),
+            F.min("line_no").alias("first_chunk"),
             F.count(F.lit(1)).alias("n"),
             mean_score().alias("avg_score"),
         )

@@ -324,7 +324,7 @@ FROM {labels} LEFT JOIN records r USING (sentiment_label) GROUP BY l.sentiment_l
 FROM {buckets} LEFT JOIN records ON position = {bucket_no} GROUP BY position, bucket"""),
         "q_score_trend": over("lines", f"""SELECT batch_id, point::INTEGER AS point, min(r) AS first_chunk, count(*) AS n, {MEAN} AS avg_score FROM (
   SELECT *, floor(r / ceil(c / 20.0)) AS point FROM (
-    SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY file_name, chunk_index) - 1 AS r, count(*) OVER (PARTITION BY batch_id) AS c FROM records))
+    SELECT *, row_number() OVER (PARTITION BY batch_id, file_name ORDER BY chunk_index) - 1 AS r, count(*) OVER (PARTITION BY batch_id, file_name) AS c FROM records))
 GROUP BY batch_id, point"""),
         "q_domain_freq": over("documents", f"""SELECT d.domain, count(x) AS n FROM (SELECT unnest({listed(LEX.domains)}) AS domain) d
 LEFT JOIN (SELECT unnest(tag_list) AS x FROM records) ON x = d.domain GROUP BY d.domain"""),
