@@ -96,12 +96,12 @@ def test_strict_caps(spark):
 
 
 def test_tags(spark):
-    texts = ["Happy", "he said", "machine  learning", "machine learning", "MENTAL HEALTH", "human rights", "humanrights", ""]
+    texts = ["Happy", "he said", "machine  learning", "machine learning", "MENTAL HEALTH", "human rights", "humanrights", "", "saİd", "İ machine, learning", "human, rights"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r.t for r in df.select(tags("text").alias("t")).collect()]
-    assert got == [["technology"], ["technology"], ["education"], ["technology", "education"], ["health"], ["social"], [], []]
+    assert got == [["technology"], ["technology"], ["education"], ["technology", "education"], ["health"], ["social"], [], [], ["technology"], ["education"], []]
     whole = [r.t for r in df.select(tags("text", whole_word=True).alias("t")).collect()]
-    assert whole == [[], [], ["education"], ["technology", "education"], ["health"], ["social"], [], []]
+    assert whole == [[], [], ["education"], ["technology", "education"], ["health"], ["social"], [], [], [], ["education"], []]
 
 
 def test_own_lexicon(spark):

@@ -1,3 +1,6 @@
+import os
+import time
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,11 +20,12 @@ def fingerprint(df):
 def test_stream_equals_batch(spark, tmp_path):
     inbox, out = tmp_path / "in", str(tmp_path / "out")
     inbox.mkdir()
+    name = f"score-{uuid.uuid4()}"      # the checkpoint folder may outlive a test run
     for n in (3, 25, 700):
         (inbox / f"f{n}.txt").write_text("\n\n".join(f"line {i} is very good" if i % 3 else "not good at all" for i in range(n)))
     files = live.arriving_files(spark, str(inbox), max_files_per_trigger=1)
     records = live.with_progress(live.score_stream(files, F.lit("b1")))
-    query = live.start_append(records, out, f"score-{tmp_path.name}")
+    query = live.start_append(records, out, name)
     assert query.awaitTermination(120)
     seen = [p.observedMetrics["progress"].chunks for p in query.recentProgress if "progress" in (p.observedMetrics or {})]
     batch = read_chunks(spark, str(inbox)).withColumns({"batch_id": F.lit("b1"), "processed_at": F.current_timestamp()})
@@ -30,7 +34,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
     # A second run picks up only the new file.
     (inbox / "late.txt").write_text("superb")
-    query = live.start_append(live.score_stream(live.arriving_files(spark, str(inbox)), F.lit("b1")), out, f"score-{tmp_path.name}")
+    query = live.start_append(live.score_stream(live.arriving_files(spark, str(inbox)), F.lit("b1")), out, name)
     assert query.awaitTermination(120)
     assert spark.read.parquet(out).count() == len(expected) + 1
 
@@ -47,7 +51,6 @@ def feed(spark, tmp_path):
         [("f", "late", 1.0, base + timedelta(hours=3)), ("f", "c", -0.5, base + timedelta(days=3, hours=1))],
         [("g", "z", 0.0, base + timedelta(days=9))],
     ]
-    import os, time
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
         time.sleep(1.1)     # files are taken by modification time

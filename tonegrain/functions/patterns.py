@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 from tonegrain.functions.sql import let, name, regex_literal, text_literal
-from tonegrain.functions.text import SPACE_CHARS, WORD_CHARS
+from tonegrain.functions.text import SPACE_CHARS, WORD_CHARS, words_sql
 from tonegrain.lexicon import DEFAULT_LEXICON, PATTERN_NAMES, Lexicon
 
 # Letters that match A-Z or a-z when case is ignored by Unicode rules.
@@ -42,7 +42,6 @@ _ANY_WORD = rf"{_STARTS}[{_ASCII_LETTERS}]{{2,}}{_ENDS}"
 _CAPS_WORD = rf"{_STARTS}[A-Z]{{2,}}{_ENDS}"
 
 
-_SHORT_TEXT = 400
 _LETTERS_ONLY = re.compile("[a-z]+").fullmatch
 
 
@@ -95,23 +94,34 @@ def _shortest(keywords: tuple[str, ...]) -> list[str]:
     return [k for k in keywords if not any(o != k and o in k for o in keywords)]
 
 
-def tags(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON, *, whole_word: bool = False) -> Column:
-    """Domains with a keyword in the lower-cased text; substrings count unless ``whole_word``."""
-
-    def test(keywords: tuple[str, ...]) -> str:
-        if whole_word:
-            return f"rlike(lowered, {regex_literal(_STARTS + '(?:' + '|'.join(keywords) + ')' + _ENDS)})"
-        return " OR ".join(
-            f"contains({'runs' if _LETTERS_ONLY(k) else 'lowered'}, {text_literal(k)})" for k in _shortest(keywords)
-        )
-
-    # Lower-cased once and bound to a name: dozens of tests read it.  A keyword of plain
-    # letters lies within one run of letters, so the distinct runs stand for the text.
-    hits = _names_found({domain: test(keywords) for domain, keywords in lexicon.domains.items()})
-    # A short text is tested as it is.
-    runs = (
-        f"CASE WHEN length(lowered) < {_SHORT_TEXT} THEN lowered "
-        "ELSE array_join(array_distinct(split(lowered, '[^a-z]+')), ' ') END"
-    )
-    tests = hits if whole_word else let("runs", runs, hits)
-    return _unless_blank(text_col, let("lowered", f"lower({name(text_col)})", tests))
+def tags(
+    text_col: str, lexicon: Lexicon = DEFAULT_LEXICON, *, whole_word: bool = False, words_col: str | None = None,
+) -> Column:
+    """Domains with a keyword in the lower-cased text; substrings count unless ``whole_word``.
+
+    A keyword of plain letters lies within one token, so the distinct tokens, joined, stand
+    for the text: they are shorter, and ``words_col`` may name tokens that exist already.
+    """
+    text = name(text_col)
+
+    def whole(keywords: tuple[str, ...]) -> str:
+        return f"rlike(lowered, {regex_literal(_STARTS + '(?:' + '|'.join(keywords) + ')' + _ENDS)})"
+
+    def inside(keyword: str) -> str:
+        if _LETTERS_ONLY(keyword):
+            return f"contains(words, {text_literal(keyword)})"
+        # The text itself is looked at only when all parts of the keyword are there.
+        parts = [p for p in re.split("[^a-z]+", keyword) if p]
+        return " AND ".join([*(f"contains(words, {text_literal(p)})" for p in parts),
+                             f"contains(lower({text}), {text_literal(keyword)})"])
+
+    if whole_word:
+        found = _names_found({domain: whole(keywords) for domain, keywords in lexicon.domains.items()})
+        return _unless_blank(text_col, let("lowered", f"lower({text})", found))
+    found = _names_found({
+        domain: " OR ".join(f"({inside(k)})" for k in _shortest(keywords)) for domain, keywords in lexicon.domains.items()
+    })
+    tokens = name(words_col) if words_col else words_sql(text)
+    # Tokens spell U+0130 differently from plain lower-casing; such a text stands for itself.
+    words = f"CASE WHEN contains({text}, 'İ') THEN lower({text}) ELSE array_join(array_distinct({tokens}), ' ') END"
+    return _unless_blank(text_col, let("words", words, found))

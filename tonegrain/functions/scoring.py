@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tonegrain.functions.patterns import pattern_matches, tags
-from tonegrain.functions.sql import is_in, let, name, regex_literal, weight_of
-from tonegrain.functions.text import TOKEN_PATTERN, as_column, is_blank, tokens
+from tonegrain.functions.sql import is_in, let, name, weight_of
+from tonegrain.functions.text import as_column, is_blank, tokens, words_sql
 from tonegrain.lexicon import (
     DEFAULT_LEXICON, NEGATION_WINDOW, POSITIVE_THRESHOLD, PREVIEW_CHARS, Lexicon,
 )
@@ -28,13 +28,6 @@ def char_count(text: Column | str) -> Column:
     return F.when(is_blank(text), F.lit(0)).otherwise(F.length(as_column(text)))
 
 
-def words_sql(text: str) -> str:
-    """Lower-cased tokens of a text, NULL counting as empty; see ``text.lower_tokens``."""
-    return (
-        f"regexp_extract_all(lower(translate(coalesce({text}, ''), 'İ', 'ı')), {regex_literal(TOKEN_PATTERN)}, 0)"
-    )
-
-
 def hits_sql(words: str, lexicon: Lexicon) -> str:
     """The tokens that matter, with their 0-based position ``i``.
 
@@ -98,7 +91,8 @@ def fold_sql(hits: str) -> str:
         END)"""
 
 
-def sentiment_sql(text: str, lexicon: Lexicon) -> str:
+def sentiment_sql(words: str, lexicon: Lexicon) -> str:
+    """The scorer over an array of lower-cased tokens."""
     score = (
         "CASE WHEN size(words) = 0 THEN 0D "
         "ELSE greatest(-1D, least(1D, tanh(f.raw / (sqrt(size(words)) + 1D)))) END"
@@ -112,7 +106,7 @@ def sentiment_sql(text: str, lexicon: Lexicon) -> str:
         array_sort(f.pos) AS positive_words, array_sort(f.neg) AS negative_words,
         array_sort(f.negated) AS negated_words, size(words) AS word_count)"""
     folded = let("f", fold_sql(hits_sql("words", lexicon)), let("score", score, result))
-    return let("words", words_sql(text), folded)
+    return let("words", words, folded)
 
 
 def sentiment(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
@@ -121,7 +115,7 @@ def sentiment(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
 
     ``sentiment_score`` is not rounded here.  Word lists are distinct and sorted.
     """
-    return F.expr(sentiment_sql(name(text_col), lexicon))
+    return F.expr(sentiment_sql(words_sql(name(text_col)), lexicon))
 
 
 def score_text(
@@ -129,9 +123,11 @@ def score_text(
     *, strict_caps: bool = False, whole_word_tags: bool = False,
 ) -> DataFrame:
     """Add the ten result columns for ``text_col``; unused ones are pruned by the planner."""
-    s = "_sentiment"
+    s, words = "_sentiment", "_words"
     return (
-        df.withColumn(s, sentiment(text_col, lexicon))
+        # Tokens serve the score and the tags; they are cut once.
+        df.withColumn(words, F.expr(words_sql(name(text_col))))
+        .withColumn(s, F.expr(sentiment_sql(words, lexicon)))
         .withColumns({
             "raw_score": F.col(f"{s}.raw_score"),
             "sentiment_score": F.round(F.col(f"{s}.sentiment_score"), 4),
@@ -139,12 +135,12 @@ def score_text(
             "positive_words": F.col(f"{s}.positive_words"),
             "negative_words": F.col(f"{s}.negative_words"),
             "negated_words": F.col(f"{s}.negated_words"),
-            "tags": tags(text_col, lexicon, whole_word=whole_word_tags),
+            "tags": tags(text_col, lexicon, whole_word=whole_word_tags, words_col=words),
             "pattern_matches": pattern_matches(text_col, strict_caps=strict_caps),
             "word_count": F.col(f"{s}.word_count"),
             "char_count": char_count(text_col),
         })
-        .drop(s)
+        .drop(s, words)
     )
 
 

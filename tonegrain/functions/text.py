@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tonegrain.functions.sql import regex_literal
+
 WORD_CHARS = r"A-Za-z0-9_\p{L}\p{N}"      # the ASCII part first: it is tested first
 SPACE_CHARS = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
 # The same white space as SPACE_CHARS, one character after the other.
@@ -58,7 +60,14 @@ def lower_tokens(col: Column | str) -> Column:
     and would change token borders, so it is first replaced by another lower-case,
     non-ASCII letter; no lexicon word holds either of them.
     """
-    return tokens(F.lower(F.translate(as_column(col), "İ", "ı")))
+    c = as_column(col)
+    return tokens(F.lower(F.when(c.contains("İ"), F.translate(c, "İ", "ı")).otherwise(c)))
+
+
+def words_sql(text: str) -> str:
+    """The same as SQL text, NULL counting as empty."""
+    plain = f"CASE WHEN contains({text}, 'İ') THEN translate({text}, 'İ', 'ı') ELSE coalesce({text}, '') END"
+    return f"regexp_extract_all(lower({plain}), {regex_literal(TOKEN_PATTERN)}, 0)"
 
 
 def split_lines(col: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tonegrain.functions import structured, text as tx
 from tonegrain.functions.patterns import pattern_matches, tags
-from tonegrain.functions.scoring import char_count, hits_sql, sentiment, word_count, words_sql
+from tonegrain.functions.scoring import char_count, hits_sql, sentiment, word_count
 from tonegrain.functions.sql import is_in
 from tonegrain.lexicon import DEFAULT_LEXICON as LEX
 from tonegrain.operators import dashboard, jobs, maintain, search, stats
@@ -155,7 +155,7 @@ def counts(spark, sf):
 
 @query
 def modifiers(spark, sf):
-    words = feedback(spark, sf).select("event_id", F.expr(words_sql("line")).alias("words"))
+    words = feedback(spark, sf).select("event_id", F.expr(tx.words_sql("line")).alias("words"))
     hits = each(words, ["event_id"], F.expr(hits_sql("words", LEX)), "h")
     two = F.col("h.m2") > 0
     return hits.filter(two | (F.col("h.m1") > 0)).select(
@@ -169,7 +169,7 @@ def modifiers(spark, sf):
 def negation(spark, sf):
     looked = f"""transform(words, (t, i) -> struct(i AS position, t AS word,
         exists(slice(words, greatest(i - 2, 1), least(i, 3)), b -> {is_in("b", LEX.negations)}) AS negated))"""
-    words = feedback(spark, sf).select("event_id", F.expr(words_sql("line")).alias("words"))
+    words = feedback(spark, sf).select("event_id", F.expr(tx.words_sql("line")).alias("words"))
     return each_struct(words, ["event_id"], F.expr(looked), "word").filter(F.expr(is_in("word", LEX.sentiment)))
 
 
