@@ -113,7 +113,7 @@ def test_pages(records):
 
 def test_top_n_merges_in_steps(spark):
     df = spark.range(0, 5_000, 1, 16).select(((F.col("id") * 7_919) % 5_003).alias("k"))
-    got = [r.k for r in top_n(df, [F.desc("k")], 37, groups=4).collect()]
+    got = [r.k for r in top_n(df, [F.desc("k")], 37, steps=(8, 3)).collect()]
     assert got == sorted(((i * 7_919) % 5_003 for i in range(5_000)), reverse=True)[:37]
     assert plan_of(top_n(df, [F.desc("k")], 37)).count("WindowGroupLimit") == 2
 

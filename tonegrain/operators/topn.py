@@ -9,20 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Groups per merge step.  A small n shrinks the candidates to almost nothing in one step;
+# a large one needs a second step before the last task.
+FEW_ROWS = 1_000
+STEPS_FOR_FEW = (64,)
+STEPS_FOR_MANY = (1_024, 32)
 
-def top_n(df: DataFrame, order: list[Column], n: int, groups: int = 64) -> DataFrame:
-    """Exactly ``df.orderBy(*order).limit(n)`` for a total order, with an intermediate merge.
 
-    Rows are grouped by the task they come from: Spark keeps n rows per task before the
-    shuffle (window group limit), n per group after it, and n at the end.
-    """
-    group = "_group"
-    best = Window.partitionBy(group).orderBy(*order)
+def _best_per_group(df: DataFrame, order: list[Column], n: int, groups: int) -> DataFrame:
+    best = Window.partitionBy("_group").orderBy(*order)
     return (
-        df.withColumn(group, F.spark_partition_id() % groups)
+        df.withColumn("_group", F.spark_partition_id() % groups)
         .withColumn("_rank", F.row_number().over(best))
         .filter(F.col("_rank") <= n)
-        .drop(group, "_rank")
-        .orderBy(*order)
-        .limit(n)
+        .drop("_group", "_rank")
     )
+
+
+def top_n(df: DataFrame, order: list[Column], n: int, steps: tuple[int, ...] | None = None) -> DataFrame:
+    """Exactly ``df.orderBy(*order).limit(n)`` for a total order, with intermediate merges.
+
+    Rows are grouped by the task they come from: Spark keeps n rows per task before the
+    shuffle (window group limit), n per group after it, and n at the end.
+    """
+    for groups in steps or (STEPS_FOR_FEW if n <= FEW_ROWS else STEPS_FOR_MANY):
+        df = _best_per_group(df, order, n, groups)
+    return df.orderBy(*order).limit(n)
