@@ -256,3 +256,12 @@ def test_numbering_of_sparse_keys(spark, span):
 def test_stored_lists_are_decoded(spark):
     df = spark.createDataFrame([('["a","b"]', None, "oops", "[]")], "positive_words string, negative_words string, tags string, pattern_matches string")
     assert list(decode_lists(df).collect()[0]) == [["a", "b"], [], [], []]
+
+
+def test_numbering_counts_the_input_once(spark, small):
+    df = spark.read.parquet(f"{small}/events.parquet").select("event_type", "event_id", "ts")
+    numbered = number_lines(df, ["event_type"], "event_id")
+    numbered.collect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    final = numbered._jdf.queryExecution().explainString(mode).split("Initial Plan")[0]
+    assert final.count("FileScan") == 2 and final.count("ReusedExchange") == 2

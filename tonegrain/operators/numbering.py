@@ -32,22 +32,22 @@ def piece_offsets(counts: DataFrame, file_cols: list[str], piece_col: str) -> Da
     )
 
 
-def _nested_offsets(counts: DataFrame, file_cols: list[str], span: int, levels: int) -> DataFrame:
+def _nested_offsets(counts: DataFrame, file_cols: list[str], pieces: list[str]) -> DataFrame:
     """The same for any number of pieces: pieces are summed up within wider pieces, those
-    within wider ones again, and the offsets are added on the way back down."""
+    within wider ones again, and the offsets are added on the way back down.
+
+    ``pieces`` names the piece columns, the narrowest first.
+    """
     tables = [counts]
-    for level in range(1, levels):
-        wider = F.floor(F.col(f"_piece{level - 1}") / F.lit(span)).alias(f"_piece{level}")
+    for level in range(1, len(pieces)):
         tables.append(
-            tables[-1].groupBy(*file_cols, wider).agg(F.sum("piece_lines").alias("piece_lines"))
+            tables[-1].groupBy(*file_cols, *pieces[level:]).agg(F.sum("piece_lines").alias("piece_lines"))
         )
-    out = piece_offsets(tables[-1], file_cols, f"_piece{levels - 1}").drop("piece_lines")
-    for level in range(levels - 2, -1, -1):
-        parent, own = f"_piece{level + 1}", f"_piece{level}"
+    out = piece_offsets(tables[-1], file_cols, pieces[-1]).drop("piece_lines")
+    for level in range(len(pieces) - 2, -1, -1):
+        own, parent = pieces[level], pieces[level + 1]
         group = [*file_cols, parent]
-        inner = tables[level].withColumn(parent, F.floor(F.col(own) / F.lit(span))).select(
-            *group, own, _sum_before(group, own, "piece_lines").alias("_within")
-        )
+        inner = tables[level].select(*group, own, _sum_before(group, own, "piece_lines").alias("_within"))
         out = inner.join(out, group).select(
             *file_cols, own, (F.col("lines_before") + F.col("_within")).alias("lines_before"), "total_lines"
         )
@@ -57,18 +57,25 @@ def _nested_offsets(counts: DataFrame, file_cols: list[str], span: int, levels:
 def number_lines(df: DataFrame, file_cols: list[str], order_col: str, span: int = SPAN, levels: int = LEVELS) -> DataFrame:
     """Add 0-based ``line_no`` and ``total_lines`` per file, in ``order_col`` order.
 
-    ``order_col`` is an integer, unique within a file, dense or not.  No window group holds
-    more than ``span`` rows.  The join and the window use the same keys, so lines are
-    shuffled once whether or not the offsets are broadcast; Spark broadcasts them only when
-    they measure below its threshold.
+    ``order_col`` is an integer, unique within a file, dense or not; neither it nor the file
+    may be NULL.  No window group holds more than ``span`` rows.  The join and the window use
+    the same keys, so lines are shuffled once whether or not the offsets are broadcast;
+    Spark broadcasts them only when they measure below its threshold.
     """
-    piece = "_piece0"
-    keyed = df.withColumn(piece, F.floor(F.col(order_col) / F.lit(span)))
-    counts = keyed.groupBy(*file_cols, piece).agg(F.count(F.lit(1)).alias("piece_lines"))
-    within = Window.partitionBy(*file_cols, piece).orderBy(order_col)
+    pieces = [f"_piece{level}" for level in range(levels)]
+    keyed, inner = df, order_col
+    for piece in pieces:
+        keyed = keyed.withColumn(piece, F.floor(F.col(inner) / F.lit(span)))
+        inner = piece
+    counts = keyed.groupBy(*file_cols, *pieces).agg(F.count(F.lit(1)).alias("piece_lines"))
+    # All levels start from these counts.  Stating here the null tests that the joins below
+    # imply keeps their plans alike, so that the counting is run once and reused.
+    for col in (*file_cols, *pieces):
+        counts = counts.filter(F.col(col).isNotNull())
+    within = Window.partitionBy(*file_cols, pieces[0]).orderBy(order_col)
     return (
         keyed.withColumn("_rank", F.row_number().over(within))
-        .join(_nested_offsets(counts, file_cols, span, levels), [*file_cols, piece])
+        .join(_nested_offsets(counts, file_cols, pieces), [*file_cols, pieces[0]])
         .withColumn("line_no", F.col("lines_before") + F.col("_rank") - 1)
-        .drop(piece, "_rank", "lines_before")
+        .drop(*pieces, "_rank", "lines_before")
     )
