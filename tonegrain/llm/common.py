@@ -16,6 +16,8 @@ from tonegrain.session import checkpoint_dir
 
 PIECE_BYTES = 4 << 20
 SHINGLE_WORDS = 5
+#: The characters that separate words.
+SPACES = " \t\n\x0b\x0c\r"
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -50,7 +52,7 @@ def write_file(folder: str, name: str, chunks: Iterator[bytes]) -> int:
     system, path = open_folder(folder)
     system.create_dir(path, recursive=True)
     size = 0
-    with system.open_output_stream(f"{path}/{name}") as out:
+    with system.open_output_stream(f"{path}/{name}", compression=None) as out:
         for chunk in chunks:
             size += len(chunk)
             out.write(chunk)
