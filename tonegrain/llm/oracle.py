@@ -22,6 +22,47 @@ links AS (
 {_LINKED}
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(l.b, s.doc_id)) AS component_id
 FROM sets s LEFT JOIN least l ON l.a = s.doc_id""",
+    "op4_line_dedup": r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM split),
+solid AS (SELECT doc_id, line, i FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+runs AS (
+  SELECT doc_id, i AS i1, lead(i, 1) OVER w AS i2, lead(i, 2) OVER w AS i3,
+    line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
+  FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+firsts AS (
+  SELECT run, first(doc_id ORDER BY doc_id, i1) AS d, first(i1 ORDER BY doc_id, i1) AS f1, first(i3 ORDER BY doc_id, i1) AS f3
+  FROM runs WHERE i3 IS NOT NULL GROUP BY run),
+later AS (SELECT r.*, f.d, f.f3 FROM runs r JOIN firsts f USING (run) WHERE r.doc_id <> f.d OR r.i1 <> f.f1),
+gone AS (
+  SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest([i1, i2, i3]) AS i, d, f3 FROM later)
+  WHERE doc_id <> d OR i > f3),
+kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS text, count(g.i) AS n_removed
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id)
+SELECT s.doc_id, CASE WHEN s.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(k.n_removed, 0)::BIGINT AS n_removed
+FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id""",
+    "op6_vector_range_join": rf"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.9),
+{_LINKED},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.b, e.vec_id)) AS component_id,
+  least(e.vec_id, coalesce(l.b, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN least l ON l.a = e.vec_id""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN strlen(html) >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(html) >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM g""",
 }
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,11 +13,79 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.language import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tonegrain.llm.bpe import round_trip
+
+    return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tonegrain.llm.ngram_join import near_duplicate_groups
 
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.line_dedup import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), removed="n_removed")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.mixing import mix
+
+    units = mix(_table(spark, sf_dir, "documents"))
+    rows = units.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def op6_vector_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.vector_join import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"), 0.9)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.decision_list import judge, learn
+
+    docs = _table(spark, sf_dir, "documents")
+    rules = learn(docs, _table(spark, sf_dir, "labels"))
+    return judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tonegrain.llm.records import token_records
+
+    return token_records(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.shards import shard, shard_of
+
+    text = F.coalesce(F.col("record.text"), F.lit(""))
+    return shard(_table(spark, sf_dir, "documents").select("doc_id", "text"), 16).select(
+        "record.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("int").alias("slot"),
+    ).withColumn("grown_shard", shard_of("doc_id", 17))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.warc import archive_pages
+
+    records = archive_pages(_table(spark, sf_dir, "pages"), with_payload=False).where("kind = 'record'")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
