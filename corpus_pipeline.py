@@ -6,12 +6,28 @@ and read again; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tonegrain.llm.bpe import round_trip
 from tonegrain.llm.common import shared_folder
+from tonegrain.llm.language import with_language
+from tonegrain.llm.line_dedup import dedup_lines
+from tonegrain.llm.mixing import mixed_documents
 from tonegrain.llm.ngram_join import drop_near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose text has a language; those without a letter or any likeness to one go."""
+    return with_language(docs).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines of passages that an earlier one has."""
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +35,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_near_duplicates(docs).select(*COLUMNS)
 
 
-STAGES = [("ngram_jaccard_join", near_duplicates)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it."""
+    return mixed_documents(docs).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each document of the mix, with the digest of what they decode to."""
+    return round_trip(docs, RANKS, public_tokenizers.PATTERN, keep_ids=True)
+
+
+STAGES = [
+    ("language_id", language_id), ("line_dedup", line_dedup), ("ngram_jaccard_join", near_duplicates),
+    ("mixing", mixing), ("byte_bpe", tokens),
+]
 
 #: The decisions of learned language profiles and of sampling have no SQL form.
 ORACLE_SQL = None

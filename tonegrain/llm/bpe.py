@@ -195,8 +195,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row: the texts encoded, and the ids decoded."""
+def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row: the texts encoded, and the ids decoded.
+
+    ``keep_ids`` adds the ids as 32-bit little-endian bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = rank_decoder(path)
@@ -208,9 +211,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 rows[0].append(len(ids))
                 rows[1].append(hashlib.sha256(" ".join([digits[i] for i in ids.tolist()]).encode()).hexdigest())
                 rows[2].append(hashlib.sha256(decoder.to_bytes(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(rows[0], pa.int64()), pa.array(rows[1]), pa.array(rows[2])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = [batch.column("doc_id"), pa.array(rows[0], pa.int64()), *[pa.array(r, pa.string()) for r in rows[1:]]]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                columns, names = [*columns, batch.column("ids")], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
     return encode(docs, path, pattern, packed=True).mapInArrow(run, schema)
