@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tonegrain.llm.bpe import round_trip
-from tonegrain.llm.common import shared_folder
+from tonegrain.llm.common import shared_folder, ship_package
 from tonegrain.llm.language import with_language
 from tonegrain.llm.line_dedup import dedup_lines
 from tonegrain.llm.mixing import mixed_documents
@@ -56,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what lies between them goes to the shared folder."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

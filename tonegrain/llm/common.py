@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
@@ -26,7 +29,23 @@ _LOWER[65:91] += 32
 _U = np.uint64
 
 
+_SHIPPED: set[str] = set()
+
+
 # --------------------------------------------------------------------- sessions
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, in case they cannot import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        root = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / "tonegrain_package.zip"  # the driver's own; Spark serves it
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        context.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder path below the shared checkpoint folder, as a URI or a plain path."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

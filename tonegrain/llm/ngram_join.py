@@ -38,7 +38,7 @@ from tonegrain.llm.components import connected_components
 HOT_SHARE = 1 << 16
 HOT_LEAST = 5_000
 #: N-grams that a task gathers before it packs them into blocks, and that a block range should hold.
-FLUSH_GRAMS, RANGE_GRAMS = 2 << 20, 3 << 19
+FLUSH_GRAMS, RANGE_GRAMS = 2 << 20, 3 << 20
 #: Bins of the suffix histograms.
 BINS = 64
 
@@ -109,6 +109,7 @@ def _blocks(part: np.ndarray, cls: np.ndarray, n: np.ndarray, grams: np.ndarray,
     part, cls, n, grams = part[order], cls[order], n[order], grams[order]
     new_part = np.concatenate(([True], part[1:] != part[:-1]))
     new_run = new_part | np.concatenate(([True], cls[1:] != cls[:-1]))
+    new_run[::0xFFFF] = True  # so that a count fits into two bytes
     runs = np.flatnonzero(new_run)
     lens = np.diff(np.append(runs, len(part)))
     rows: list[list] = [[], [], [], [], []]
@@ -117,7 +118,7 @@ def _blocks(part: np.ndarray, cls: np.ndarray, n: np.ndarray, grams: np.ndarray,
         r = slice(*np.searchsorted(runs, [a, b]).tolist())
         for column, value in zip(rows, (
             int(part[a]), cls[runs[r]].tobytes(), n[runs[r]].astype(np.int32).tobytes(),
-            lens[r].astype(np.int32).tobytes(), grams[a:b].tobytes(),
+            lens[r].astype(np.uint16).tobytes(), grams[a:b].tobytes(),
         )):
             column.append(value)
     k = len(rows[0])
@@ -132,7 +133,7 @@ def _unpack(table: pa.Table, keep: list[bool]) -> tuple[np.ndarray, np.ndarray,
         values = [v for v, k in zip(table.column(name).to_pylist(), keep) if k]
         return np.frombuffer(b"".join(values), dtype=kind)
 
-    counts = joined("counts", np.int32)
+    counts = joined("counts", np.uint16)
     return np.repeat(joined("classes", np.int64), counts), np.repeat(joined("sizes", np.int32), counts), joined("grams", np.uint64)
 
 
@@ -254,11 +255,11 @@ def survivors(repeated: DataFrame, threshold: Fraction) -> DataFrame:
 
 
 def _prefix_rows(sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """(gram, class, n, pos): the repeated n-grams of each prefix, with their place in the whole order."""
+    """(gram, class, n, own, pos): the repeated n-grams of each prefix, with their place in the whole order."""
     num, den = threshold.numerator, threshold.denominator
     prefix = F.expr(f"n - cast(ceil(n * {num}L / {den}.0D - 1e-9) as int) + 1 - u")
     rows = sets.select("class", "n", "u", F.posexplode(F.slice("grams", F.lit(1), prefix)).alias("at", "gram"))
-    return rows.select("gram", "class", "n", (F.col("u") + F.col("at")).alias("pos"))
+    return rows.select("gram", "class", "n", F.col("u").alias("own"), (F.col("u") + F.col("at")).alias("pos"))
 
 
 def _overlap(na, nb, threshold: Fraction):
@@ -267,12 +268,16 @@ def _overlap(na, nb, threshold: Fraction):
     return F.ceil((na + nb) * F.lit(num) / F.lit(float(den)) - 1e-9)
 
 
+def _sizes_fit(a: str, b: str, threshold: Fraction):
+    """Length filter."""
+    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
+    return F.least(na, nb) * threshold.denominator >= F.greatest(na, nb) * threshold.numerator
+
+
 def _may_link(a: str, b: str, threshold: Fraction):
-    """Length filter, and positional filter for a shared n-gram at these positions."""
+    """Length filter, and positional filter for the first shared n-gram at these positions."""
     na, nb, pa_, pb = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}pos"), F.col(f"{b}pos")
-    num, den = threshold.numerator, threshold.denominator
-    length = F.least(na, nb) * den >= F.greatest(na, nb) * num
-    return length & (F.least(na - pa_, nb - pb) >= _overlap(na, nb, threshold))
+    return _sizes_fit(a, b, threshold) & (F.least(na - pa_, nb - pb) >= _overlap(na, nb, threshold))
 
 
 def _candidates(rows: DataFrame, threshold: Fraction) -> DataFrame:
@@ -312,16 +317,18 @@ def similar_classes(sets: DataFrame, threshold: Fraction, rounds: int = 2) -> Da
     labels = sets.select("class", F.col("class").alias("label"))
     for turn in range(rounds):
         rows = prefix.join(labels, "class")
-        rank = F.xxhash64(F.lit(turn), "class")
+        # First the set with the fewest n-grams of its own: in a group of copies, the least edited one.
+        rank = F.col("own").cast("long") if turn == 0 else F.xxhash64(F.lit(turn), "class")
         pivots = rows.groupBy("gram").agg(
-            F.min(F.struct(rank.alias("rank"), "class", "n", "pos", "label")).alias("p"),
+            F.min(F.struct(rank.alias("rank"), "class", "n", "label")).alias("p"),
             F.min("label").alias("l0"), F.max("label").alias("l1"),
         ).where("l0 <> l1").select(
-            "gram", F.col("p.class").alias("b"), F.col("p.n").alias("b_n"), F.col("p.pos").alias("b_pos"), F.col("p.label").alias("b_label")
+            "gram", F.col("p.class").alias("b"), F.col("p.n").alias("b_n"), F.col("p.label").alias("b_label")
         )
-        near = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos"), "label").join(pivots, "gram")
-        near = near.where(F.col("label") != F.col("b_label")).where(_may_link("a_", "b_", threshold))
-        found = _verified(_candidates(near, threshold), sets, threshold)
+        near = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("a_n"), "label").join(pivots, "gram")
+        # The shared n-gram need not be the first that both have, so only the length filter holds here.
+        near = near.where(F.col("label") != F.col("b_label")).where(_sizes_fit("a_", "b_", threshold))
+        found = _verified(near.select("a", "b").distinct(), sets, threshold)
         links = cut_lineage(found if links is None else links.union(found))
         labels = _labels(sets, links)
     rows = prefix.join(labels, "class")
@@ -367,7 +374,7 @@ def near_duplicate_groups(
     counted = signed.where("kind = 'hot'").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= limit)
     # At most HOT_SHARE n-grams (times the share of copies that several tasks count) can pass the limit.
     hot = {r["id"]: r["n"] for r in counted.collect()}
-    n_parts = max(48, -(-total // RANGE_GRAMS))
+    n_parts = max(36, -(-total // RANGE_GRAMS))
     sets = survivors(repeated_grams(docs, width, n_parts, hot), threshold)
     links = similar_classes(sets, threshold)
     parts = connected_components(links).select(F.col("node").alias("class"), "component").join(classes, "class")

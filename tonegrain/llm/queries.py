@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tonegrain.llm.common import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -87,5 +89,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _shipped(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {name: fn for name, fn in globals().items() if name.startswith("op")}
+    return {name: _shipped(fn) for name, fn in globals().items() if name.startswith("op")}
