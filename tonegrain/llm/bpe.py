@@ -11,6 +11,7 @@ import base64
 import codecs
 import hashlib
 import os
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -74,12 +75,46 @@ def cut_parts(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
         wide = np.zeros(256, dtype=bool)
         wide[[0xC2, 0xE1, 0xE2, 0xE3]] = True
         before = (b[at - 1] >= 0x80) & (wide[b[np.maximum(at - 2, 0)]] | wide[b[np.maximum(at - 3, 0)]])
-        starts = np.union1d(starts, at[~before & ~wide[b[at + 1]]])
+        begins = np.zeros(len(b), dtype=bool)
+        begins[starts] = True
+        begins[at[~before & ~wide[b[at + 1]]]] = True
+        starts = np.flatnonzero(begins)
     offsets = np.append(starts, len(b)).astype(np.int32)
     parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
     return parts, np.searchsorted(starts, marks)
 
 
+def cut_words(texts: list[bytes], lower: bool) -> tuple[pa.Array, np.ndarray]:
+    """Like ``cut_parts``, for tokenizers that drop white space.
+
+    Cuts at ASCII white space, which goes, and between an ASCII letter and another ASCII
+    character that is no apostrophe; ``lower`` folds A-Z first.
+    """
+    joined = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    marks = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64))).astype(np.int64)
+    kind = _KINDS[joined]
+    begins = np.ones(len(joined), dtype=bool)
+    before, here = kind[:-1], kind[1:]
+    begins[1:] = (before == 0) | (before == 1) & (here == 2) | (before == 2) & (here == 1)
+    begins[marks[:-1][np.diff(marks) > 0]] = True
+    solid = kind > 0
+    starts = np.flatnonzero(begins & solid)
+    kept = joined[solid]
+    if lower:
+        kept = kept + ((kept >= 65) & (kept <= 90)).astype(np.uint8) * np.uint8(32)
+    offsets = np.append(np.flatnonzero(begins[solid]), len(kept)).astype(np.int32)
+    parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept.tobytes())])
+    return parts, np.searchsorted(starts, marks)
+
+
+#: Kinds of bytes: 0 white space, 1 letter, 2 other ASCII, 3 apostrophe, 4 beyond ASCII.
+_KINDS = np.full(256, 4, dtype=np.uint8)
+_KINDS[:128] = 2
+_KINDS[[9, 10, 11, 12, 13, 32]] = 0
+_KINDS[[*range(65, 91), *range(97, 123)]] = 1
+_KINDS[ord("'")] = 3
+
+
 class PartEncoder:
     """Encodes texts part by part, each different part of a batch once."""
 
@@ -88,31 +123,75 @@ class PartEncoder:
         self.tokenizer = tokenizer
         self.known: dict[bytes, bytes] = {}
 
+    def cut(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        return cut_parts(texts)
+
+    def encode_new(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part as bytes, by the library."""
+        encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
+
     def _ids_of(self, parts: list[bytes]) -> list[bytes]:
-        found = [self.known.get(p) for p in parts]
+        found = list(map(self.known.get, parts))
         new = [i for i, f in enumerate(found) if f is None]
         for k in range(0, len(new), 4096):
             some = new[k:k + 4096]
-            encoded = self.tokenizer.encode_batch([parts[i].decode("utf-8", "replace") for i in some], add_special_tokens=False)
-            for i, e in zip(some, encoded):
-                found[i] = np.array(e.ids, dtype=np.uint32).tobytes()
+            for i, ids in zip(some, self.encode_new([parts[i] for i in some])):
+                found[i] = ids
                 if len(parts[i]) <= CACHE_BYTES:
-                    self.known[parts[i]] = found[i]
+                    self.known[parts[i]] = ids
         if len(self.known) > CACHE_PARTS:
             self.known.clear()
         return found
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts behind one another, and the marks of the texts."""
-        parts, marks = cut_parts(texts)
+        parts, marks = self.cut(texts)
         coded = parts.dictionary_encode()
         lists = self._ids_of(coded.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(lists), dtype=np.uint32)
-        offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in lists], dtype=np.int64))).astype(np.int64)
+        offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)) // 4))).astype(np.int64)
         ids, lens = ragged(flat, offsets, coded.indices.to_numpy())
         return ids, np.concatenate(([0], np.cumsum(lens)))[marks]
 
 
+class WordEncoder(PartEncoder):
+    """For tokenizers that drop white space and mark the end of each word, like ``</w>``.
+
+    New parts that are letters only go to the library many at a time, a space between them; the
+    end marks tell their ids apart.  If the marks are not as many as the parts, they go singly.
+    """
+
+    GROUP = 64
+
+    def __init__(self, tokenizer, end: str = "</w>"):
+        super().__init__(tokenizer)
+        self.lower = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("Az") == "az"
+        self.ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(end)]] = True
+
+    def cut(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        return cut_words(texts, self.lower)
+
+    def encode_new(self, parts: list[bytes]) -> list[bytes]:
+        words = [p.decode("utf-8", "replace") for p in parts]
+        plain = [i for i, w in enumerate(words) if w.isalpha()]
+        groups = [plain[k:k + self.GROUP] for k in range(0, len(plain), self.GROUP)]
+        encoded = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
+        out: list[bytes | None] = [None] * len(parts)
+        for group, e in zip(groups, encoded):
+            ids = np.array(e.ids, dtype=np.uint32)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cuts) == len(group):
+                raw, start = ids.tobytes(), 0
+                for i, cut in zip(group, cuts.tolist()):
+                    out[i], start = raw[start:cut], cut
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, super().encode_new([parts[i] for i in rest])):
+            out[i] = ids
+        return out
+
+
 class Decoder:
     """Ids to bytes and text, by the byte table reversed."""
 
@@ -138,6 +217,12 @@ class Decoder:
             yield rest
 
 
+@lru_cache(maxsize=2)
+def rank_encoder(path: str, pattern: str) -> PartEncoder:
+    """A worker's encoder; its cache lives on from task to task."""
+    return PartEncoder(rank_tokenizer(path, pattern))
+
+
 @lru_cache(maxsize=4)
 def rank_decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))
@@ -159,7 +244,7 @@ def encode(docs: DataFrame, path: str, pattern: str, packed: bool = False) -> Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = PartEncoder(rank_tokenizer(path, pattern)), rank_decoder(path)
+        encoder, decoder = rank_encoder(path, pattern), rank_decoder(path)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 texts = texts_of(piece.column("text"))

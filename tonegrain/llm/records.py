@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tonegrain.llm.bpe import PartEncoder
+from tonegrain.llm.bpe import WordEncoder
 from tonegrain.llm.common import open_folder, pieces, shared_folder, temp_name, texts_of
 
 FILE_BYTES = 256 << 20
@@ -126,13 +126,13 @@ def check(frames: list[bytes], where: str) -> list[bytes]:
 
 # ----------------------------------------------------------------------- writing
 @lru_cache(maxsize=2)
-def file_tokenizer(path: str):
-    """The tokenizer of a file; strings of its special tokens are ordinary text."""
+def file_encoder(path: str) -> WordEncoder:
+    """The tokenizer of a file; strings of its special tokens are ordinary text.  Its cache lives on from task to task."""
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True
-    return made
+    return WordEncoder(made)
 
 
 _INDEX = "part int, file string, file_no int, doc_id long, offset long, length long, n_tokens long, start_in_file long"
@@ -149,7 +149,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = PartEncoder(file_tokenizer(tokenizer))
+        encoder = file_encoder(tokenizer)
         wide = encoder.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
         system, path = open_folder(folder)
         system.create_dir(path, recursive=True)
