@@ -76,7 +76,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             often = counts >= max(8, counts.sum() // HOT_SHARE)
             k = int(often.sum())
             return pa.RecordBatch.from_arrays([
-                pa.array(["hot"] * k), pa.array(values[often].view(np.int64)),
+                pa.array(["hot"] * k, pa.string()), pa.array(values[often].view(np.int64)),
                 pa.nulls(k, pa.int64()), pa.array(counts[often].astype(np.int64)),
             ], ["kind", "id", "class", "n"])
 
