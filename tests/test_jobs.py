@@ -24,3 +24,14 @@ def test_files_to_statistics(spark, tmp_path):
     assert sum(r.n for r in panels.trend.collect()) == 4
     total, rows = search_page(records, 1, 50, keyword="FRAUD")
     assert total.collect()[0].total == 1 and rows.collect()[0].chunk_text == "score text 1 fraud, and worse"
+
+
+def test_a_batch_of_blank_files_only(spark, tmp_path):
+    inbox, table = tmp_path / "in", str(tmp_path / "chunks")
+    inbox.mkdir()
+    (inbox / "blank.txt").write_text("\n \n")
+    assert [(r.status, r.total_chunks) for r in process_files(spark, str(inbox), table, "007").collect()] == [("error", 0)]
+    (inbox / "blank.txt").write_text("good")
+    assert [r.status for r in process_files(spark, str(inbox), table, "007").collect()] == ["completed"]
+    (inbox / "blank.txt").write_text(" \n")
+    assert [(r.status, r.total_chunks) for r in process_files(spark, str(inbox), table, "007").collect()] == [("error", 0)]

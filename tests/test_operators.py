@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from tonegrain.functions.scoring import with_preview
 from tonegrain.functions.text import highlight
-from tonegrain.operators import dashboard, jobs, maintain, search, stats, store
+from tonegrain.operators import dashboard, jobs, lookup, maintain, search, stats, store
 from tonegrain.operators.records import ORDER_KEY, RECORD_COLUMNS, chunk_records, line_records
 from tonegrain.operators.topn import top_n
 from tonegrain.sources.tables import read_records
@@ -33,11 +34,14 @@ def test_record_columns(records):
     assert records.columns == RECORD_COLUMNS and records.count() == 120
 
 
-def test_preview_is_cut_after_scoring(spark):
+def test_records_keep_whole_texts(spark):
     text = "x" * 4_999 + " good bad bad"
     df = spark.createDataFrame([("b", "f", 0, text, T0)], "batch_id string, file_name string, chunk_index long, chunk_text string, processed_at timestamp")
     row = chunk_records(df).collect()[0]
-    assert (len(row.chunk_text), row.char_count, row.word_count, row.negative_words) == (5_000, len(text), 4, ["bad"])
+    assert (row.chunk_text, row.char_count, row.word_count, row.negative_words) == (text, len(text), 4, ["bad"])
+    records = chunk_records(df)
+    assert search.search(records, keyword="good bad").count() == 1 and stats.keyword_counts(records).filter("word = 'bad'").count() == 1
+    assert len(with_preview(records).first().preview) == 5_000
 
 
 def test_error_records(spark):
@@ -102,7 +106,8 @@ def test_pages(records):
         if number > 0:
             assert [key(r) for r in rows] == want
             assert [r.result_no for r in rows] == list(range((number - 1) * 50 + 1, (number - 1) * 50 + 1 + len(want)))
-    assert search.page(records, 1, -1).count() == 120
+    everything = search.page(records, 1, -1)
+    assert everything.count() == 120 and everything.columns == search.page(records, 1, 50).columns
     total, first = search.search_page(records, 1, 10, keyword="good")
     assert total.collect()[0].total == 30 and first.count() == 10
     last = dict(zip(ORDER_KEY, newest[49]))
@@ -163,10 +168,55 @@ def test_dedup_keeps_the_first(spark, records):
 def test_dedup_hot_group_is_thinned_before_the_shuffle(spark):
     df = spark.range(0, 30_000, 1, 8).select(
         "id", F.lit("f").alias("source"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
-    rows = maintain.dedup(df, key=["id"], group=("source", "text"))
+    rows = maintain.dedup(df.union(df.limit(3)), key=["id"], group=("source", "text"))
     assert rows.count() == 20_001 and rows.filter("text = 'same'").collect()[0].id == 0
-    plan = plan_of(rows)
-    assert plan.count("Aggregate") == 2 and plan.count("Exchange") == 1
+    assert "partial_min(_key" in plan_of(rows)
+
+
+def test_same_named_files_in_two_folders(spark):
+    schema = "batch_id string, file_path string, file_name string, chunk_index long, chunk_text string, processed_at timestamp"
+    df = chunk_records(spark.createDataFrame([(b, f"{d}/part.txt", "part.txt", i, "good", T0) for d in "12" for i in range(3) for b in ("b",)], schema))
+    assert sorted(r.total_chunks for r in jobs.batch_summary(df).collect()) == [3, 3]
+    first = search.page(df, 1, 1).collect()[0]
+    after = {c: first[c] for c in ORDER_KEY} | {"processed_at": F.lit(first.processed_at)}
+    assert search.page_after(df, after).count() == 5
+    assert maintain.dedup(df).count() == 2 and [r.n for r in dashboard.score_trend(df).collect()] == [2, 2, 2]
+    none = df.withColumn("batch_id", F.lit(None).cast("string"))
+    assert sum(r.n for r in dashboard.score_trend(none).collect()) == 6 and {r.batch_id for r in dashboard.score_trend(none).collect()} == {None}
+
+
+def test_batch_names_keep_their_form(spark, records, tmp_path):
+    path = str(tmp_path / "t")
+    assert read_records(spark, path).count() == 0
+    one = records.filter("batch_id = 'b1'")
+    names = ["007", "7", "2024-05-01", "a/b=c"]
+    for n, name in enumerate(names):
+        store.replace_batch(one.limit(n + 1), path, name)
+    assert {r.batch_id: r["count"] for r in read_records(spark, path).groupBy("batch_id").count().collect()} == dict(zip(names, (1, 2, 3, 4)))
+    assert read_records(spark, path, "007").count() == 1
+    store.replace_batch(one.limit(0), path, "7")
+    store.append_chunks(one.limit(1).drop("batch_id"), path)
+    assert sorted((r.batch_id or "", r["count"]) for r in read_records(spark, path).groupBy("batch_id").count().collect()) == [
+        ("", 1), ("007", 1), ("2024-05-01", 3), ("a/b=c", 4)]
+
+
+def test_archive_keeps_what_it_has(spark, records, tmp_path):
+    live, old = str(tmp_path / "live"), str(tmp_path / "old")
+    store.write_chunks(records.filter("file_name = 'f0.txt'"), live)
+    store.archive(spark, live, old, str(tmp_path / "n1"), "2024-04-02")
+    n = store.read_archive(spark, old).count()
+    store.write_chunks(records.filter("file_name = 'f1.txt'"), str(tmp_path / "live2"))
+    store.archive(spark, str(tmp_path / "live2"), old, str(tmp_path / "n2"), "2024-04-02")
+    store.archive(spark, live, old, str(tmp_path / "n3"), "2024-04-02")
+    moved = maintain.archive_split(records, "2024-04-02", 30)[0]
+    assert 0 < n < store.read_archive(spark, old).count() == moved.count()
+
+
+def test_lexicon_as_a_table(spark):
+    texts = spark.createDataFrame([(1, "a B b"), (2, "c"), (3, None)], "id long, chunk_text string")
+    lexicon = spark.createDataFrame([("b", 2.0), ("a", -1.0), ("z", 9.0)], "word string, weight double")
+    assert {r.word: r.n for r in lookup.lexicon_counts(texts, lexicon).collect()} == {"a": 1, "b": 2}
+    assert {r.id: r.weight for r in lookup.word_scores(texts, ["id"], lexicon).collect()} == {1: 3.0, 2: 0.0, 3: 0.0}
 
 
 def test_archive(spark, records, tmp_path):

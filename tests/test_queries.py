@@ -9,8 +9,8 @@ import pytest
 import __spark_entry__ as entry_points
 from tests.conftest import DATA, plan_of
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {name: run for name, run in entry_points.queries().items() if name.startswith("q_")}
+SQL = {name: sql for name, sql in entry_points.oracle_sql().items() if name.startswith("q_")}
 
 
 @pytest.fixture(scope="module")
@@ -62,3 +62,10 @@ def test_large_tables_are_not_spread(spark):
 def test_scan_reads_only_needed_columns(spark):
     plan = plan_of(QUERIES["q_stats_by_batch"](spark, f"{DATA}/sf0.001"))
     assert "value:double" not in plan and "props" not in plan
+
+
+@pytest.mark.parametrize("name", ["q_search_label", "q_search_score_range", "q_search_combined"])
+def test_filters_on_scores_do_not_score_again(spark, small, name):
+    plan = plan_of(QUERIES[name](spark, small))
+    assert plan.count("aggregate(") == 1
+    assert "aggregate(" not in plan[plan.index("Exchange"):]

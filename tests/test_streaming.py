@@ -6,8 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tonegrain.jobs import process_files
 from tonegrain.operators.records import chunk_records
 from tonegrain.sources.lines import read_chunks
+from tonegrain.sources.tables import read_records
 from tonegrain.streaming import live
 
 COLUMNS = ["file_name", "chunk_index", "chunk_text", "sentiment_score", "sentiment_label", "tags", "word_count"]
@@ -30,13 +32,19 @@ def test_stream_equals_batch(spark, tmp_path):
     seen = [p.observedMetrics["progress"].chunks for p in query.recentProgress if "progress" in (p.observedMetrics or {})]
     batch = read_chunks(spark, str(inbox)).withColumns({"batch_id": F.lit("b1"), "processed_at": F.current_timestamp()})
     expected = fingerprint(chunk_records(batch))
-    assert fingerprint(spark.read.parquet(out)) == expected and sum(seen) == len(expected)
+    assert fingerprint(read_records(spark, out)) == expected and sum(seen) == len(expected)
 
     # A second run picks up only the new file.
     (inbox / "late.txt").write_text("superb")
     query = live.start_append(live.score_stream(live.arriving_files(spark, str(inbox)), F.lit("b1")), out, name)
     assert query.awaitTermination(120)
-    assert spark.read.parquet(out).count() == len(expected) + 1
+    assert read_records(spark, out).count() == len(expected) + 1
+
+    # Batch jobs and streams fill one table.
+    other = tmp_path / "other.txt"
+    other.write_text("a fine day")
+    process_files(spark, str(other), out, "b2")
+    assert read_records(spark, out).count() == len(expected) + 2 and read_records(spark, out, "b2").count() == 1
 
 
 @pytest.fixture()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F
 
 from tonegrain.functions.sql import let, name, regex_literal, text_literal
 from tonegrain.functions.text import SPACE_CHARS, WORD_CHARS, words_sql
-from tonegrain.lexicon import DEFAULT_LEXICON, PATTERN_NAMES, Lexicon
+from tonegrain.lexicon import DEFAULT_LEXICON, PATTERNS, Lexicon
 
 # Letters that match A-Z or a-z when case is ignored by Unicode rules.
 _ASCII_LETTERS = "A-Za-zİıſK"
@@ -45,8 +45,11 @@ _CAPS_WORD = rf"{_STARTS}[A-Z]{{2,}}{_ENDS}"
 _LETTERS_ONLY = re.compile("[a-z]+").fullmatch
 
 
-def pattern_tests(text_col: str, *, strict_caps: bool = False) -> dict[str, str]:
-    """One SQL test per pattern name, in the fixed order."""
+def pattern_tests(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON, *, strict_caps: bool = False) -> dict[str, str]:
+    """One SQL test per pattern of the lexicon, in its order.
+
+    A fixed pattern has a fast form here; any other is searched as it is, whatever the case.
+    """
     t = name(text_col)
 
     def has(*chars: str) -> str:
@@ -71,12 +74,15 @@ def pattern_tests(text_col: str, *, strict_caps: bool = False) -> dict[str, str]
         # of two or more ASCII letters; strict_caps asks for real capitals.
         "all_caps_word": found(_CAPS_WORD if strict_caps else _ANY_WORD),
     }
-    return {key: tests[key] for key in PATTERN_NAMES}
+    return {
+        key: tests[key] if PATTERNS.get(key) == pattern else found(f"(?iuU){pattern}")
+        for key, pattern in lexicon.patterns.items()
+    }
 
 
 def _names_found(tests: dict[str, str]) -> str:
     cases = ", ".join(f"CASE WHEN {test} THEN {text_literal(key)} END" for key, test in tests.items())
-    return f"array_compact(array({cases}))"
+    return f"array_compact(array({cases}))" if tests else "cast(array() AS array<string>)"
 
 
 def _unless_blank(text_col: str, value: str) -> Column:
@@ -84,9 +90,9 @@ def _unless_blank(text_col: str, value: str) -> Column:
     return F.expr(f"CASE WHEN {blank} THEN cast(array() AS array<string>) ELSE {value} END")
 
 
-def pattern_matches(text_col: str, *, strict_caps: bool = False) -> Column:
-    """Names of the patterns found in the text, in the fixed order; [] for blank text."""
-    return _unless_blank(text_col, _names_found(pattern_tests(text_col, strict_caps=strict_caps)))
+def pattern_matches(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON, *, strict_caps: bool = False) -> Column:
+    """Names of the patterns found in the text, in the lexicon's order; [] for blank text."""
+    return _unless_blank(text_col, _names_found(pattern_tests(text_col, lexicon, strict_caps=strict_caps)))
 
 
 def _shortest(keywords: tuple[str, ...]) -> list[str]:

@@ -136,7 +136,7 @@ def score_text(
             "negative_words": F.col(f"{s}.negative_words"),
             "negated_words": F.col(f"{s}.negated_words"),
             "tags": tags(text_col, lexicon, whole_word=whole_word_tags, words_col=words),
-            "pattern_matches": pattern_matches(text_col, strict_caps=strict_caps),
+            "pattern_matches": pattern_matches(text_col, lexicon, strict_caps=strict_caps),
             "word_count": F.col(f"{s}.word_count"),
             "char_count": char_count(text_col),
         })
@@ -144,6 +144,12 @@ def score_text(
     )
 
 
-def preview(df: DataFrame, text_col: str = "chunk_text", n_chars: int = PREVIEW_CHARS) -> DataFrame:
-    """Keep only the first ``n_chars`` code points of a text, after it has been scored."""
-    return df.withColumn(text_col, F.left(F.col(text_col), F.lit(n_chars)))
+def negation_sql(words: str, lexicon: Lexicon) -> str:
+    """Each token with its 0-based ``position`` and whether one of the tokens before it negates it."""
+    return f"""transform({words}, (t, i) -> struct(i AS position, t AS word,
+        exists(slice({words}, greatest(i - {NEGATION_WINDOW - 1}, 1), least(i, {NEGATION_WINDOW})), b -> {is_in("b", lexicon.negations)}) AS negated))"""
+
+
+def with_preview(df: DataFrame, text_col: str = "chunk_text", n_chars: int = PREVIEW_CHARS) -> DataFrame:
+    """Add ``preview``, the first ``n_chars`` code points of the text, for display."""
+    return df.withColumn("preview", F.left(F.col(text_col), F.lit(n_chars)))

@@ -117,3 +117,9 @@ def highlight(col: Column | str, keyword: str) -> Column:
         return text
     quoted = "(" + "".join("\\" + c if c in r"\.^$|?*+()[]{}-&" else c for c in keyword) + ")"
     return F.regexp_replace(text, "(?iu)" + quoted, '<mark class="highlight">$1</mark>')
+
+
+def physical_lines(text: Column | str) -> Column:
+    """Lines of a text as a file counts them, blank ones included; a last line break ends no further line."""
+    t = as_column(text)
+    return F.size(split_lines(t)) - F.when(t.rlike(r"[\r\n]\z"), 1).otherwise(0)

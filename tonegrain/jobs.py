@@ -14,7 +14,7 @@ from tonegrain.operators import dashboard, stats
 from tonegrain.operators.jobs import batch_summary
 from tonegrain.operators.records import chunk_records
 from tonegrain.operators.search import search
-from tonegrain.operators.store import write_chunks
+from tonegrain.operators.store import replace_batch
 from tonegrain.sources.lines import WHOLE_FILE_LIMIT, file_list, read_chunks
 from tonegrain.sources.tables import read_records
 
@@ -38,11 +38,11 @@ def process_files(
 ) -> DataFrame:
     """Load, chunk, score and store files as one batch; returns the summary of the batch.
 
-    Repeating the call with the same ``batch_id`` replaces the batch.
+    Repeating the call with the same ``batch_id`` replaces the batch, also when it has no chunks now.
     """
     batch = batch_id or str(uuid.uuid4())
-    write_chunks(score_files(spark, paths, batch, fmt, **options), table_path)
-    files = file_list(spark, paths).select(F.lit(batch).alias("batch_id"), "file_name", "file_size")
+    replace_batch(score_files(spark, paths, batch, fmt, **options), table_path, batch)
+    files = file_list(spark, paths).select(F.lit(batch).alias("batch_id"), "file_path", "file_name", "file_size")
     return batch_summary(read_records(spark, table_path, batch), files)
 
 

@@ -66,11 +66,14 @@ def score_trend(records: DataFrame, points: int = 20) -> DataFrame:
     of n chunks gives ceil(n / points) chunks to each point.  Chunks are ranked in pieces:
     neither a large file nor a batch with a third of all rows meets in one task.
     """
-    narrow = records.select("batch_id", "file_name", "chunk_index", "sentiment_score")
+    # Numbering takes no NULL: rows without a batch are a batch of their own.
+    narrow = records.select(
+        F.coalesce("batch_id", F.lit("")).alias("_batch"), F.col("batch_id").isNull().alias("_none"),
+        F.coalesce("file_path", "file_name", F.lit("")).alias("file_path"), "chunk_index", "sentiment_score")
     width = F.ceil(F.col("total_lines") / points)
     return (
-        number_lines(narrow, ["batch_id", "file_name"], "chunk_index")
-        .groupBy("batch_id", F.floor(F.col("line_no") / width).cast("int").alias("point"))
+        number_lines(narrow, ["_none", "_batch", "file_path"], "chunk_index")
+        .groupBy(F.when(~F.col("_none"), F.col("_batch")).alias("batch_id"), F.floor(F.col("line_no") / width).cast("int").alias("point"))
         .agg(
             F.min("line_no").alias("first_chunk"),
             F.count(F.lit(1)).alias("n"),

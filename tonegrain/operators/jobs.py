@@ -11,17 +11,20 @@ from tonegrain.operators.stats import statistics
 def batch_summary(records: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per batch and file: chunks, time span, status.
 
-    ``files`` (batch_id, file_name, file_size) lists what was read; a file without chunks
-    then shows up with 0 chunks and status "error".
+    ``files`` (batch_id, file_name, file_size, and file_path if names repeat) lists what was
+    read; a file without chunks then shows up with 0 chunks and status "error".
     """
-    done = records.groupBy("batch_id", "file_name").agg(
+    key = ["batch_id", "file_path", "file_name"]
+    done = records.groupBy(*key).agg(
         F.count(F.lit(1)).alias("total_chunks"),
         F.min("processed_at").alias("started_at"),
         F.max("processed_at").alias("completed_at"),
     )
     if files is not None:
-        first = files.groupBy("batch_id", "file_name").agg(F.min("file_size").alias("file_size"))
-        done = first.join(done, ["batch_id", "file_name"], "left").withColumn(
+        if "file_path" not in files.columns:
+            files = files.withColumn("file_path", F.col("file_name"))
+        first = files.groupBy(*key).agg(F.min("file_size").alias("file_size"))
+        done = first.join(done, key, "left").withColumn(
             "total_chunks", F.coalesce("total_chunks", F.lit(0))
         )
     empty = F.col("total_chunks") == 0

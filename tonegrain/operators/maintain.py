@@ -3,31 +3,34 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tonegrain.operators.records import ORDER_KEY
 
 
 def dedup(records: DataFrame, key: list[str] | None = None,
-          group: tuple[str, str] = ("file_name", "chunk_text")) -> DataFrame:
-    """Keep the earliest row per ``(file_name, chunk_text)``, across batches.
+          group: tuple[str, str] = ("file_path", "chunk_text")) -> DataFrame:
+    """Keep the earliest row per ``(file_path, chunk_text)``, across batches.
 
-    One aggregation: each task first keeps one row per group, so a group that holds a
-    third of all rows sends one row per task.  A hash leads the grouping key so that
-    long texts are compared only when their hashes agree; the text itself is in the key,
-    so no two different texts can ever merge.
+    First the smallest key of each group is found on narrow rows, with a 256-bit digest in the
+    place of the text; a group with a third of all rows sends one row per task.  Then whole
+    rows meet these keys, spread by the key, so the group is spread too.  Rows equal in key and
+    group are told apart by nothing, and one of them stays.
     """
     order = key or ORDER_KEY
     file_col, text_col = group
-    leading = [c for c in order if c not in group]
-    rest = [c for c in records.columns if c not in (*group, *leading)]
-    first = F.min(F.struct(*leading, *rest)).alias("_first")
-    grouped = records.groupBy(F.xxhash64(text_col).alias("_hash"), file_col, text_col).agg(first)
-    columns = {c: F.col(f"_first.{c}") for c in (*leading, *rest)}
-    return grouped.select(*[
-        columns[c].alias(c) if c in columns else F.col(c) for c in records.columns
-    ])
+    digest = F.unhex(F.sha2(F.col(text_col), 256)).alias("_digest")
+    lead = [F.col(c).alias(f"_{i}") for i, c in enumerate(order)]
+    firsts = records.select(F.col(file_col).alias("_file"), digest, F.struct(*lead).alias("_key")).groupBy("_file", "_digest").agg(
+        F.min("_key").alias("_key")).select("_file", F.col("_digest").alias("_first"), "_key.*")
+    rows = records.withColumn("_digest", F.unhex(F.sha2(F.col(text_col), 256)))
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(order)]
+    test = reduce(lambda a, b: a & b, [*same, F.col("_digest").eqNullSafe(F.col("_first")), F.col(file_col).eqNullSafe(F.col("_file"))])
+    one = Window.partitionBy(*order, file_col, "_digest").orderBy(F.lit(0))
+    kept = rows.join(firsts, test, "left_semi").withColumn("_turn", F.row_number().over(one))
+    return kept.filter("_turn = 1").select(*records.columns)
 
 
 def cutoff(as_of: Column | datetime | str, days: int = 30) -> Column:

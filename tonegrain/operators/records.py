@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonegrain.functions.scoring import preview, score_text
+from tonegrain.functions.scoring import score_text
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
+from tonegrain.operators.unnest import each_struct
 
 RECORD_COLUMNS = [
-    "batch_id", "file_name", "chunk_index", "chunk_text", "sentiment_score", "sentiment_label",
+    "batch_id", "file_path", "file_name", "chunk_index", "chunk_text", "sentiment_score", "sentiment_label",
     "positive_words", "negative_words", "tags", "pattern_matches", "word_count", "char_count",
     "processed_at",
 ]
 LIST_COLUMNS = ["positive_words", "negative_words", "tags", "pattern_matches"]
 
-# Insertion order of the table: every ordered query uses the whole key.
-ORDER_KEY = ["processed_at", "batch_id", "file_name", "chunk_index"]
+# How the table is stored.  It is always read with these types: a batch "007" is no number.
+RECORD_SCHEMA = (
+    "file_path string, file_name string, chunk_index long, chunk_text string, sentiment_score double, "
+    "sentiment_label string, positive_words array<string>, negative_words array<string>, tags array<string>, "
+    "pattern_matches array<string>, word_count int, char_count int, processed_at timestamp, batch_id string"
+)
+
+# Insertion order of the table: every ordered query uses the whole key.  Files are told apart
+# by their path; files of one name in many folders are the normal case.
+ORDER_KEY = ["processed_at", "batch_id", "file_path", "chunk_index"]
 
 ERROR_TEXT = "[processing error]"
 
@@ -24,14 +33,17 @@ def chunk_records(
     chunks: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, *, corrupt: Column | None = None,
     with_details: bool = False, **options,
 ) -> DataFrame:
-    """Score ``chunk_text`` and cut it to its preview.
+    """Score ``chunk_text``; the record keeps the whole text.
 
-    Needs batch_id, file_name, chunk_index, chunk_text and processed_at.  Rows for which
+    Needs batch_id, file_name, chunk_index, chunk_text and processed_at; without a file_path
+    the name stands for it.  Rows for which
     ``corrupt`` holds become error records: neutral, tagged "error", counts 0.
     ``with_details`` also keeps raw_score and negated_words.
     """
+    if "file_path" not in chunks.columns:
+        chunks = chunks.withColumn("file_path", F.col("file_name"))
     source = chunks if corrupt is None else chunks.withColumn("_corrupt", F.coalesce(corrupt, F.lit(False)))
-    scored = preview(score_text(source, "chunk_text", lexicon, **options))
+    scored = score_text(source, "chunk_text", lexicon, **options)
     columns = RECORD_COLUMNS + (["raw_score", "negated_words"] if with_details else [])
     if corrupt is None:
         return scored.select(*columns)
@@ -48,6 +60,15 @@ def chunk_records(
     ])
 
 
+def filterable(records: DataFrame) -> DataFrame:
+    """The same rows, with scores that are finished before any filter looks at them.
+
+    A filter on a score that is still an expression would be planned as a second run of the
+    scorer, below everything else.  For freshly scored rows; a stored table needs no such step.
+    """
+    return each_struct(records, [], F.array(F.struct(*[F.col(c) for c in records.columns])), "chunk_index")
+
+
 def line_records(
     lines: DataFrame, line_col: str = "line", lexicon: Lexicon = DEFAULT_LEXICON, **options,
 ) -> DataFrame:
@@ -63,7 +84,7 @@ def with_defaults(rows: DataFrame) -> DataFrame:
         **{c: F.array().cast("array<string>") for c in LIST_COLUMNS},
         "batch_id": F.lit(None).cast("string"), "processed_at": F.current_timestamp(),
     }
-    out = rows
+    out = rows if "file_path" in rows.columns else rows.withColumn("file_path", F.col("file_name"))
     for name, value in defaults.items():
         if name not in rows.columns:
             out = out.withColumn(name, value)

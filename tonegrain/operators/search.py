@@ -12,8 +12,6 @@ from tonegrain.functions.text import fold_ascii
 from tonegrain.operators.records import LIST_COLUMNS, ORDER_KEY
 from tonegrain.operators.topn import top_n
 
-EXPORT_LIMIT = 999_999        # fixed value: rows of one search export
-
 
 def newest_first() -> list[Column]:
     return [F.desc(c) for c in ORDER_KEY]
@@ -71,11 +69,12 @@ def total(hits: DataFrame) -> DataFrame:
 def page(hits: DataFrame, number: int = 1, size: int = 50) -> DataFrame:
     """One page, newest first, with ``result_no`` and ``tags_preview``.
 
-    Pages below 1 act as page 1.  A negative size means no limit: all rows, sorted.
+    Pages below 1 act as page 1.  A negative size means no limit: all rows, sorted in parallel,
+    with NULL as ``result_no``, since numbering them all would take one task.
     For pages far down use :func:`page_after`, whose cost does not grow with the depth.
     """
     if size < 0:
-        return hits.orderBy(*newest_first())
+        return hits.withColumns({"result_no": F.lit(None).cast("int"), "tags_preview": tags_preview()}).orderBy(*newest_first())
     skip = max(0, (number - 1) * size)
     rows = top_n(hits, newest_first(), skip + size)
     # At most skip + size rows are left, in one partition after the limit.
@@ -126,14 +125,17 @@ def export_rows(records: DataFrame, batch_id: str | None = None) -> DataFrame:
 
 
 def export_search(
-    records: DataFrame, keyword: str, batch_id: str | None = None, limit: int = EXPORT_LIMIT,
+    records: DataFrame, keyword: str, batch_id: str | None = None, limit: int | None = None,
 ) -> DataFrame:
-    """Hits of a search, newest first, at most ``limit`` rows, list columns as text.
+    """All hits of a search, newest first, list columns as text: one range-partitioned sort.
 
-    The limit is applied to the keys alone: the oldest key that still fits is found first
-    (narrow rows, merged in steps), then whole rows down to it are sorted in parallel.
+    ``limit`` keeps the newest ones only.  It is applied to the keys alone: the oldest key that
+    still fits is found first (narrow rows, merged in steps), then whole rows down to it are
+    sorted in parallel.
     """
     hits = search(records, keyword=keyword, batch_id=batch_id)
+    if limit is None:
+        return flatten_lists(hits).orderBy(*newest_first())
     keys = top_n(hits.select(*ORDER_KEY), newest_first(), limit)
     oldest = keys.agg(F.min(F.struct(*ORDER_KEY)).alias("k"))
     kept = hits.filter(F.struct(*ORDER_KEY) >= oldest.scalar())

@@ -3,27 +3,50 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tonegrain.operators.maintain import archive_split, cutoff
-from tonegrain.operators.records import with_defaults
+from tonegrain.operators.maintain import archive_split
+from tonegrain.operators.records import ORDER_KEY, RECORD_COLUMNS, with_defaults
+from tonegrain.sources.tables import has_files, read_records
 
 
 def write_chunks(records: DataFrame, path: str) -> None:
-    """Store records by batch.  Writing a batch again replaces it, so a retry is safe.
+    """Store records by batch.  A batch that has rows here is replaced, so a retry is safe.
+
+    To replace a batch that may have no rows any more, use :func:`replace_batch`.
 
     The rebalance hint gives few, evenly sized files per batch: small batches share a
     task, a batch with a third of all rows is cut into many.
     """
     (
         records.hint("rebalance", "batch_id")
-        .sortWithinPartitions("batch_id", "file_name", "chunk_index")
+        .sortWithinPartitions("batch_id", "file_path", "chunk_index")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id").parquet(path)
     )
 
 
+def replace_batch(records: DataFrame, path: str, batch_id: str) -> None:
+    """Store the records of one batch in place of what it had, also when there are none."""
+    escape = records.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    rows = records.select(*[c for c in RECORD_COLUMNS if c != "batch_id"])
+    rows.hint("rebalance").sortWithinPartitions("file_path", "chunk_index").write.mode("overwrite").parquet(
+        f"{path}/batch_id={escape(batch_id)}")
+
+
+def append_new(rows: DataFrame, path: str, by: list[str]) -> None:
+    """Append the rows whose key the table does not hold yet, so a repeated job adds nothing twice."""
+    spark = rows.sparkSession
+    if has_files(spark, path):
+        key = [*ORDER_KEY, "file_name"]
+        there = spark.read.schema(rows.schema).parquet(path).select(*[F.col(c).alias(f"_{c}") for c in key])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+        rows = rows.join(there, reduce(lambda a, b: a & b, same), "left_anti")
+    rows.hint("rebalance", *by).sortWithinPartitions(*by, "file_path", "chunk_index").write.mode("append").partitionBy(*by).parquet(path)
+
+
 def append_chunks(rows: DataFrame, path: str) -> None:
     """Add single records to the table; missing columns take their defaults."""
     with_defaults(rows).write.mode("append").partitionBy("batch_id").parquet(path)
@@ -43,21 +66,13 @@ def archive(
     """Move rows older than the cutoff to the archive.
 
     The archive is written first, then the rest to a new live path; switch readers over
-    to it afterwards.  A failure in between loses nothing.  The archive is partitioned by
-    the cutoff as well, so running the same job again replaces what it wrote before and
-    leaves the rows of earlier cutoffs alone.
+    to it afterwards.  A failure in between loses nothing.  The archive only grows: rows whose
+    key it holds already are left out, so the same job can run again.
     """
-    moved, kept = archive_split(spark.read.parquet(live_path), as_of, days)
-    by = ["archived_before", "batch_id"]
-    (
-        moved.withColumn("archived_before", F.to_date(cutoff(as_of, days)))
-        .hint("rebalance", *by)
-        .sortWithinPartitions(*by, "file_name", "chunk_index")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by).parquet(archive_path)
-    )
+    moved, kept = archive_split(read_records(spark, live_path), as_of, days)
+    append_new(moved, archive_path, ["batch_id"])
     write_chunks(kept, new_live_path)
 
 
 def read_archive(spark: SparkSession, archive_path: str) -> DataFrame:
-    return spark.read.parquet(archive_path).drop("archived_before")
+    return read_records(spark, archive_path)

@@ -114,6 +114,19 @@ rows AS (
          string_agg(line, ' ' ORDER BY line_no) AS text,
          TIMESTAMP '2024-01-01' + to_days((doc_id % 60)::INTEGER) AS processed_at
   FROM document_lines GROUP BY source, doc_id, chunk_index)""",
+    "whole_documents": """rows AS (
+  SELECT source AS batch_id, '' AS file_name, doc_id AS chunk_index, text, TIMESTAMP '2024-01-01' AS processed_at FROM documents)""",
+    "conversations": """rows AS (
+  SELECT conv_id::VARCHAR AS batch_id, role AS file_name, turn AS chunk_index, coalesce(text, '') AS text,
+         TIMESTAMP '2024-01-01' AS processed_at FROM conversations)""",
+    "pages": f"""page_pieces AS (
+  SELECT page_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM (
+    SELECT page_id, string_split(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'),
+      '[{S}]+', ' ', 'g'), '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)) AS p FROM pages)),
+rows AS (
+  SELECT 'pages' AS batch_id, 'page_' || lpad(page_id::VARCHAR, 10, '0') || '.html' AS file_name,
+         row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS chunk_index, text, TIMESTAMP '2024-01-01' AS processed_at
+  FROM (SELECT page_id, k, {strip("piece")} AS text FROM page_pieces) WHERE length(text) > 10)""",
 }
 
 TOKENS = rf"""numbered AS (
@@ -164,7 +177,7 @@ scored AS (
          coalesce(negated, '') AS negated_words
   FROM numbered n LEFT JOIN walked USING (rid) LEFT JOIN hit_words USING (rid)),
 records AS (
-  SELECT batch_id, file_name, chunk_index, left(text, 5000) AS chunk_text, processed_at,
+  SELECT batch_id, file_name, chunk_index, text AS chunk_text, processed_at,
          round(raw, 4) AS raw_score, round(score, 4) AS sentiment_score,
          CASE WHEN score > 0.15 THEN 'positive' WHEN score < -0.15 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
          positive_words, negative_words, negated_words,
@@ -189,7 +202,7 @@ RECORD = f"""batch_id, file_name, chunk_index, md5(chunk_text) AS text_md5, sent
   positive_words, negative_words, negated_words, raw_score,
   array_to_string(tag_list, ',') AS tags, array_to_string(pattern_list, ',') AS pattern_matches,
   word_count, char_count, {TS}"""
-EXPORT = f"""batch_id, file_name, chunk_index, chunk_text, sentiment_score, sentiment_label,
+EXPORT = f"""batch_id, file_name AS file_path, file_name, chunk_index, chunk_text, sentiment_score, sentiment_label,
   replace(positive_words, ',', ', ') AS positive_words, replace(negative_words, ',', ', ') AS negative_words,
   array_to_string(tag_list, ', ') AS tags, array_to_string(pattern_list, ', ') AS pattern_matches,
   word_count, char_count, {TS}"""
@@ -218,7 +231,7 @@ def _list_counts(column: str, name: str) -> str:
 
 
 def _keyword_counts(base: str) -> str:
-    runs = "unnest(regexp_extract_all(lower(left(text, 5000)), '[A-Za-z0-9_]+'))"
+    runs = "unnest(regexp_extract_all(lower(text), '[A-Za-z0-9_]+'))"
     return rows_of(base, f"""SELECT word, count(*) AS n FROM (SELECT {runs} AS word FROM rows)
 WHERE regexp_full_match(word, '[a-z]{{3,}}') AND word NOT IN {words(LEX.stopwords)} GROUP BY word""")
 
@@ -279,6 +292,22 @@ FROM neighbours JOIN numbered USING (rid) WHERE t IN {words(LEX.sentiment)}""",
         "q_lexicon_hits": f"""WITH {BASES["documents"]}, {TOKENS}
 SELECT t AS word, CASE WHEN t IN {words(LEX.positive)} THEN 'positive' WHEN t IN {words(LEX.negative)} THEN 'negative' ELSE 'negation' END AS kind,
   count(*) AS n FROM tokens WHERE t IN {words({*LEX.sentiment, *LEX.negations})} GROUP BY 1, 2""",
+        "q_lexicon_join": f"""WITH {BASES["documents"]}, {TOKENS},
+lexicon AS (SELECT DISTINCT lower(w) AS word, CASE WHEN length(lower(w)) > 6 THEN 1.0 ELSE -0.5 END::DOUBLE AS weight
+  FROM (SELECT unnest(regexp_extract_all(text, '[{W}]+(?:''[{W}]+)?')) AS w FROM benchmark))
+SELECT file_name, chunk_index, coalesce(sum(weight), 0)::DOUBLE AS weight
+FROM numbered LEFT JOIN tokens USING (rid) LEFT JOIN lexicon ON t = word GROUP BY file_name, chunk_index""",
+        "q_own_patterns": rows_of("lines", rf"""SELECT chunk_index AS event_id, unnest(list_filter([
+  CASE WHEN regexp_matches(text, '(?i)#[{W}]*refund') THEN 'ticket' END, CASE WHEN regexp_matches(text, {q(PATTERNS["all_caps_word"])}) THEN 'caps' END,
+  CASE WHEN regexp_matches(text, '(^|[^{W}]){D}{{1,2}}:{D}{{2}}([^{W}]|$)') THEN 'clock' END,
+  CASE WHEN contains(lower(text), 'ops@') THEN 'ops' END], lambda x: x IS NOT NULL)) AS pattern FROM rows"""),
+        "q_chunk_preview": rows_of("documents", "SELECT file_name, chunk_index, md5(left(text, 5000)) AS preview_md5 FROM rows"),
+        "q_conversation_stats": over("conversations", f"SELECT batch_id, {STATS} FROM records GROUP BY batch_id"),
+        "q_page_sentiment": over("pages", "SELECT file_name, chunk_index, sentiment_score, sentiment_label, word_count FROM records"),
+        "q_scored_labels": over("whole_documents", f"""SELECT quality, toxic, sentiment_label, count(*) AS n, {MEAN} AS avg_score
+FROM records JOIN labels ON doc_id = chunk_index GROUP BY ALL"""),
+        "q_stored_batches": over("lines", f"""SELECT '00' || batch_id[2:] AS batch_id, count(*) AS total_chunks, sum(word_count)::BIGINT AS total_words, {MEAN} AS avg_score
+FROM records WHERE batch_id <> 'b3' AND (batch_id <> 'b2' OR sentiment_label = 'negative') GROUP BY batch_id"""),
         "q_raw_score": over("lines", "SELECT chunk_index AS event_id, raw_score FROM records"),
         "q_word_lists": over("lines", "SELECT chunk_index AS event_id, positive_words, negative_words, negated_words FROM records"),
         "q_score_label": over("lines", "SELECT chunk_index AS event_id, sentiment_score, sentiment_label FROM records"),
@@ -334,8 +363,8 @@ LEFT JOIN (SELECT unnest(tag_list) AS x FROM records) ON x = d.domain GROUP BY d
 FROM (SELECT *, (sentiment_score + 1) / 2 * 100 AS g FROM records)"""),
         # search
         "q_search_keyword": over("lines", f"SELECT {HIT} FROM records WHERE contains({_fold_ascii('chunk_text')}, 'not very')"),
-        "q_search_wildcard": rows_of("documents", f"""SELECT file_name, chunk_index, left(text, 5000) AS chunk_text FROM rows
-WHERE {_fold_ascii('left(text, 5000)')} LIKE '%ou_n%er the%'"""),
+        "q_search_wildcard": rows_of("documents", f"""SELECT file_name, chunk_index, text AS chunk_text FROM rows
+WHERE {_fold_ascii('text')} LIKE '%ou_n%er the%'"""),
         "q_search_score_range": over("lines", f"SELECT {HIT} FROM records WHERE sentiment_score BETWEEN 0 AND 0.3"),
         "q_search_label": over("documents", f"SELECT {HIT} FROM records WHERE sentiment_label = 'negative'"),
         "q_search_batch": over("lines", f"SELECT {HIT} FROM records WHERE batch_id = 'b2'"),
@@ -343,26 +372,31 @@ WHERE {_fold_ascii('left(text, 5000)')} LIKE '%ou_n%er the%'"""),
 WHERE processed_at >= TIMESTAMP '2024-01-05' AND processed_at <= TIMESTAMP '2024-01-09'"""),
         "q_search_combined": over("lines", f"""SELECT {HIT} FROM records WHERE contains({_fold_ascii('chunk_text')}, 'doctor')
 AND sentiment_score >= -0.9 AND sentiment_label = 'negative' AND batch_id = 'b3' AND processed_at >= TIMESTAMP '2024-01-03'"""),
-        "q_search_total": rows_of("documents", f"SELECT count(*) AS total FROM rows WHERE contains({_fold_ascii('left(text, 5000)')}, 'tion')"),
+        "q_search_total": rows_of("documents", f"SELECT count(*) AS total FROM rows WHERE contains({_fold_ascii('text')}, 'tion')"),
         "q_search_page": over("lines", f"""SELECT result_no::INTEGER AS result_no, {HIT}, array_to_string(tag_list[1:2], ', ') AS tags_preview
 FROM (SELECT row_number() OVER (ORDER BY {KEY_DESC}) AS result_no, * FROM records WHERE contains({_fold_ascii('chunk_text')}, 'bank'))
 WHERE result_no BETWEEN 51 AND 100"""),
         "q_page_after": over("lines", f"""SELECT {HIT}, array_to_string(tag_list[1:2], ', ') AS tags_preview FROM records
 WHERE (processed_at, batch_id, file_name, chunk_index) < (TIMESTAMP '2024-01-20', 'b2', 'feed_click.log', 5) ORDER BY {KEY_DESC} LIMIT 50"""),
-        "q_suggest": f"SELECT * FROM ({_keyword_counts('documents')} ORDER BY n DESC, word LIMIT 80) WHERE starts_with(word, 'th') ORDER BY n DESC, word LIMIT 8",
+        "q_suggest": f"SELECT * FROM ({_keyword_counts('documents')}) WHERE starts_with(word, 'th') ORDER BY n DESC, word LIMIT 8",
         "q_highlight": f"WITH {FEEDBACK} SELECT event_id, regexp_replace({escaped}, '(?i)(re)', '<mark class=\"highlight\">\\1</mark>', 'g') AS html FROM feedback",
         "q_page_count": over("lines", "SELECT batch_id, count(*) AS total, greatest(ceil(count(*) / 50.0), 1)::BIGINT AS pages FROM records GROUP BY batch_id"),
         # export and jobs
         "q_all_chunks": over("chunks", f"SELECT {RECORD} FROM records WHERE batch_id = 'b0'"),
         "q_export_rows": over("lines", f"SELECT {EXPORT} FROM records"),
-        "q_export_search": over("lines", f"""SELECT {EXPORT} FROM (SELECT * FROM records WHERE contains({_fold_ascii('chunk_text')}, 'excellent')
-ORDER BY {KEY_DESC} LIMIT 999999)"""),
+        "q_export_search": over("lines", f"SELECT {EXPORT} FROM records WHERE contains({_fold_ascii('chunk_text')}, 'excellent')"),
         "q_batch_summary": rows_of("chunks", """SELECT batch_id, file_name, count(*) AS total_chunks,
   strftime(min(processed_at), '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(max(processed_at), '%Y-%m-%d %H:%M:%S.%f') AS completed_at,
-  'completed' AS status FROM rows GROUP BY batch_id, file_name"""),
+  'completed' AS status, NULL::VARCHAR AS error_message FROM rows GROUP BY batch_id, file_name
+UNION ALL SELECT DISTINCT batch_id, 'feed_blank.log', 0, NULL, NULL, 'error', 'File produced 0 chunks' FROM feedback"""),
         "q_batch_progress": f"""WITH {DOCUMENT_LINES}, per_file AS (
   SELECT source AS batch_id, doc_id, ceil(max(total_lines)::DOUBLE / max({chunk_size("total_lines")}))::BIGINT AS c FROM document_lines GROUP BY source, doc_id)
-SELECT batch_id, sum(c)::BIGINT AS expected_chunks, sum(c)::BIGINT AS completed_chunks, 100::BIGINT AS percent, 'completed' AS status FROM per_file GROUP BY batch_id""",
+SELECT batch_id, expected_chunks, completed_chunks, floor(completed_chunks::DOUBLE / expected_chunks * 100)::BIGINT AS percent,
+  CASE WHEN completed_chunks >= expected_chunks THEN 'completed' ELSE 'processing' END AS status
+FROM (SELECT batch_id, sum(c)::BIGINT AS expected_chunks,
+  coalesce(sum(c) FILTER (WHERE day(TIMESTAMP '2024-01-01' + to_days((doc_id % 60)::INTEGER)) % 5 <> 0), 0)::BIGINT AS completed_chunks
+  FROM per_file GROUP BY batch_id)
+UNION ALL SELECT 'blank', 0, 0, 0, 'error'""",
         "q_batch_report": over("lines", f"""SELECT 'b1' AS batch_id, 'Batch ID: b1' || chr(10) || 'Total Chunks: ' || count(*) || chr(10)
   || 'Average Sentiment Score: ' || printf('%.4f', {MEAN}) || chr(10)
   || 'Positive: ' || count(*) FILTER (WHERE sentiment_label = 'positive') || chr(10)

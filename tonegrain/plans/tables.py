@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tonegrain.functions.text import clean_lines
+from tonegrain.functions.text import clean_lines, html_sentences
 from tonegrain.operators.chunking import assemble_chunks, explode_chunks
 from tonegrain.operators.numbering import number_lines
 from tonegrain.operators.records import chunk_records, line_records
+from tonegrain.operators.unnest import each
 from tonegrain.sources.tables import spread
 
 # Phrase parts of the feedback lines, picked by remainders of event_id.
@@ -85,3 +86,20 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_chunks_scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return chunk_records(document_chunks(spark, sf_dir), **options)
+
+
+def conversation_lines_scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """One record per turn; a conversation is a batch, a role a file."""
+    turns = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return line_records(turns.select(
+        F.col("conv_id").cast("string").alias("batch_id"), F.col("role").alias("file_name"), F.col("turn").alias("chunk_index"),
+        F.coalesce("text", F.lit("")).alias("line"), F.lit("2024-01-01").cast("timestamp").alias("processed_at")), **options)
+
+
+def page_sentences_scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """One record per sentence of a page; a page is a file."""
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    sentences = each(pages, ["page_id"], html_sentences("html"), "line", "chunk_index")
+    return line_records(sentences.select(
+        F.lit("pages").alias("batch_id"), F.format_string("page_%010d.html", "page_id").alias("file_name"),
+        F.col("chunk_index").cast("long").alias("chunk_index"), "line", F.lit("2024-01-01").cast("timestamp").alias("processed_at")), **options)

@@ -42,7 +42,8 @@ TEXT = LineFormat(
 CSV = _delimited(",", "csv")
 TSV = _delimited("\t", "tsv")
 JSON = LineFormat("json", (".json",), json_lines)
-NDJSON = LineFormat("ndjson", (".ndjson", ".jsonl"), json_lines, json_line)
+# Each physical line is a record of its own, whether the file is read whole or by splits.
+NDJSON = LineFormat("ndjson", (".ndjson", ".jsonl"), lambda c: F.array_compact(F.transform(F.split(c, r"\r\n|\r|\n"), json_line)), json_line)
 MARKUP = LineFormat("markup", (".xml", ".html"), html_sentences)
 
 FORMATS = {f.name: f for f in (TEXT, CSV, TSV, JSON, NDJSON, MARKUP)}

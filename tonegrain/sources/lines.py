@@ -56,7 +56,9 @@ def _whole_files(spark, paths, glob, fmt: LineFormat, encoding: str, limit: int
     files = _scan(spark, paths, glob, whole=True)
     if limit is not None:
         files = files.filter(F.col("file_size") <= limit)
-    return files.select(*FILE_COLS, fmt.whole(_decoded(F.col("value"), encoding)).alias("lines"))
+    # The reader by splits drops a byte order mark, so it goes here too.
+    text = F.regexp_replace(_decoded(F.col("value"), encoding), r"\A\x{FEFF}", "")
+    return files.select(*FILE_COLS, fmt.whole(text).alias("lines"))
 
 
 def _numbered_lines(spark, paths, glob, fmt: LineFormat, encoding: str, limit: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tonegrain.functions.text import join_cells, join_non_blank
-from tonegrain.operators.records import LIST_COLUMNS
+from tonegrain.operators.records import LIST_COLUMNS, RECORD_COLUMNS, RECORD_SCHEMA
 
 
 def rows_to_lines(df: DataFrame, cells: list[str | Column], keep: list[str], *, keep_empty_cells: bool = True) -> DataFrame:
@@ -24,17 +24,34 @@ def spread(df: DataFrame) -> DataFrame:
     Scoring is heavy per byte, so moving a small input pays off.  A large table has more
     splits than the cluster has cores and is returned as it is, without a shuffle.  The
     planned split count is an upper bound when row groups are large, hence the factor.
+    Rows and values are the same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
 def read_records(spark: SparkSession, path: str, batch_id: str | None = None) -> DataFrame:
-    """The chunk table, or one batch of it (only that batch's folder is read)."""
-    table = spark.read.parquet(path)
+    """The chunk table, or one batch of it (only that batch's folder is read).
+
+    Columns have the types of the table, whatever a batch is called; a table that nothing has
+    been written to has no rows.
+    """
+    if not has_files(spark, path):
+        table = spark.createDataFrame([], RECORD_SCHEMA)
+    else:
+        table = spark.read.schema(RECORD_SCHEMA).option("recursiveFileLookup", False).parquet(path)
+    table = table.select(*RECORD_COLUMNS)
     return table.filter(F.col("batch_id") == batch_id) if batch_id else table
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and is not empty, in any store Spark can reach."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(system.exists(place)) and len(system.listStatus(place)) > 0
+
+
 def decode_lists(df: DataFrame) -> DataFrame:
     """List columns stored as JSON text, as arrays; NULL or malformed text gives []."""
     empty = F.array().cast("array<string>")

@@ -7,19 +7,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
 from tonegrain.operators.chunking import explode_chunks
-from tonegrain.operators.records import chunk_records
+from tonegrain.operators.records import RECORD_COLUMNS, chunk_records
 from tonegrain.operators.stats import mean_score
+from tonegrain.operators.store import append_new
 from tonegrain.session import checkpoint_dir
 from tonegrain.sources.formats import FORMATS
 
 
 def arriving_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream with one row per new file: file_name, file_size, content, arrived_at."""
+    """A stream with one row per new file: file_path, file_name, file_size, content, arrived_at.
+
+    A file is one row, so it must stay below 2 GB; score larger ones with ``score_files``.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("arrived_at"),
         F.make_valid_utf8("value").alias("content"),
     )
@@ -32,7 +36,7 @@ def score_stream(
     so the stream keeps no state and gives exactly what a batch over the files gives."""
     batched = files.withColumns({"batch_id": batch_id, "processed_at": F.col("arrived_at")})
     chunks = explode_chunks(
-        batched, FORMATS[fmt].whole(F.col("content")), ["batch_id", "file_name", "processed_at"]
+        batched, FORMATS[fmt].whole(F.col("content")), ["batch_id", *[c for c in ("file_path", "file_name") if c in files.columns], "processed_at"]
     )
     return chunk_records(chunks, lexicon)
 
@@ -45,11 +49,15 @@ def with_progress(records: DataFrame, observation: str = "progress") -> DataFram
 
 
 def start_append(records: DataFrame, path: str, name: str, **trigger) -> StreamingQuery:
-    """Append scored records to the chunk table; progress is kept in the shared checkpoint folder."""
+    """Append scored records to the chunk table; progress is kept in the shared checkpoint folder.
+
+    Each micro-batch goes through the batch writer, so the table can be filled by streams and by
+    batch jobs alike, and a micro-batch that runs again after a failure adds nothing twice.
+    """
     spark = records.sparkSession
     return (
-        records.writeStream.format("parquet").outputMode("append").partitionBy("batch_id")
-        .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}").option("path", path)
+        records.writeStream.foreachBatch(lambda rows, _: append_new(rows.select(*RECORD_COLUMNS), path, ["batch_id"]))
+        .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}")
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 
