@@ -50,7 +50,7 @@ def test_learned_list_on_held_out_labels(spark):
 
 
 def test_rules_are_pruned_and_precise():
-    rng = np.random.default_rng(0)
+    rng = np.random.default_rng(7)
     values = {"x": rng.random(2000), "noise": rng.random(2000)}
     bad = (values["x"] > 0.7) | (rng.random(2000) < 0.01)
     rules = learn_list(values, bad)

@@ -51,7 +51,7 @@ def test_copies_reach_only_near_cells(monkeypatch):
 def test_edges(spark):
     schema = "vec_id long, embedding array<double>, label int"
     assert near_vectors(spark.createDataFrame([], schema)).collect() == []
-    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.0], 0), (2, [9.0, 19 ** .5 * 1.0], 0), (3, [0.9, -(0.19 ** .5) * 1.01], 0), (4, [1e300, 1e300], 0), (5, [1e-300, 1e-300], 0)]
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.0], 0), (2, [9.0, 19 ** .5], 0), (3, [0.9, -(0.19 ** .5) * 1.01], 0), (4, [-1e300, 1e300], 0), (5, [-1e-300, 1e-300], 0)]
     got = rows_of(near_vectors(spark.createDataFrame(rows, schema)), "vec_id", "n_links", "component_id", "kept")
     assert got == sorted([(1, 3, 1, True), (1, 3, 1, True), (None, 3, 1, False), (2, 3, 1, False), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False)], key=repr)
     only_bad = spark.createDataFrame([(7, None, 0), (8, [0.0], 0)], schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from tonegrain.llm.common import pieces, ragged, texts_of
 
 #: Entries of a worker's cache of parts, and bytes of a part that is kept in it.
-CACHE_PARTS, CACHE_BYTES = 1 << 18, 48
+CACHE_PARTS, CACHE_BYTES = 1 << 17, 48
 
 
 def byte_characters() -> list[str]:
@@ -63,6 +63,10 @@ def rank_tokenizer(path: str, pattern: str):
     return made
 
 
+#: Bytes of text that are encoded at once.
+ENCODE_BYTES = 2 << 20
+
+
 def cut_parts(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """The parts of all texts behind one another, and each text's first part (n + 1 marks)."""
     joined = b"".join(texts)
@@ -123,6 +127,9 @@ class PartEncoder:
         self.tokenizer = tokenizer
         self.known: dict[bytes, bytes] = {}
 
+    def forget(self) -> None:
+        self.known = {}
+
     def cut(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
         return cut_parts(texts)
 
@@ -219,7 +226,7 @@ class Decoder:
 
 @lru_cache(maxsize=2)
 def rank_encoder(path: str, pattern: str) -> PartEncoder:
-    """A worker's encoder; its cache lives on from task to task."""
+    """A worker's encoder, built once."""
     return PartEncoder(rank_tokenizer(path, pattern))
 
 
@@ -245,8 +252,9 @@ def encode(docs: DataFrame, path: str, pattern: str, packed: bool = False) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = rank_encoder(path, pattern), rank_decoder(path)
+        encoder.forget()  # idle workers must not keep what other tasks have seen
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", ENCODE_BYTES):
                 texts = texts_of(piece.column("text"))
                 ids, marks = encoder.encode(texts)
                 spans = list(zip(marks[:-1].tolist(), marks[1:].tolist()))
@@ -263,6 +271,7 @@ def encode(docs: DataFrame, path: str, pattern: str, packed: bool = False) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids, *[pa.ListArray.from_arrays(offsets, pa.array(v)) for v in lists]],
                     ["doc_id", "ids", "byte_starts", "char_starts"])
+        encoder.forget()
 
     schema = "doc_id long, ids binary" if packed else "doc_id long, ids array<int>, byte_starts array<int>, char_starts array<int>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tonegrain.llm.bpe import WordEncoder
+from tonegrain.llm.bpe import ENCODE_BYTES, WordEncoder
 from tonegrain.llm.common import open_folder, pieces, shared_folder, temp_name, texts_of
 
 FILE_BYTES = 256 << 20
@@ -127,7 +127,7 @@ def check(frames: list[bytes], where: str) -> list[bytes]:
 # ----------------------------------------------------------------------- writing
 @lru_cache(maxsize=2)
 def file_encoder(path: str) -> WordEncoder:
-    """The tokenizer of a file; strings of its special tokens are ordinary text.  Its cache lives on from task to task."""
+    """The tokenizer of a file; strings of its special tokens are ordinary text."""
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
@@ -150,12 +150,13 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
 
         part = TaskContext.get().partitionId()
         encoder = file_encoder(tokenizer)
+        encoder.forget()  # idle workers must not keep what other tasks have seen
         wide = encoder.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
         system, path = open_folder(folder)
         system.create_dir(path, recursive=True)
         out, file_no, at, tokens = None, -1, 0, 0
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", ENCODE_BYTES):
                 ids, marks = encoder.encode(texts_of(piece.column("text")))
                 lists = [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(marks[:-1].tolist(), marks[1:].tolist())]
                 doc_ids = piece.column("doc_id").to_pylist()
@@ -174,6 +175,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [c.split()[0] for c in _INDEX.split(", ")])
         if out is not None:
             out.close()
+        encoder.forget()
 
     key = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -182,10 +184,12 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
 
 
 # ----------------------------------------------------------------------- reading
-def read_files(files: DataFrame, folder: str) -> DataFrame:
+def read_files(files: DataFrame, folder: str, digest: bool = False) -> DataFrame:
     """(file, at, doc_id, ids) of every record of the named files, in order; ids as 32-bit little-endian bytes.
 
-    A file is read as a stream; a wrong length or checksum raises ``DamagedRecord``.
+    ``digest``: (file, at, doc_id, start, n_tokens, ids_crc32) instead, start counting the ids of
+    the file before the record.  A file is read as a stream; a wrong length or checksum raises
+    ``DamagedRecord``.
     """
 
     def frames(name: str) -> Iterator[list[bytes]]:
@@ -193,7 +197,7 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
         left = system.get_file_info(f"{path}/{name}").size
         with system.open_input_stream(f"{path}/{name}", compression=None, buffer_size=1 << 20) as source:
             held, size = [], 0
-            while left:
+            while left > 0:
                 head = source.read(12)
                 length = struct.unpack_from("<Q", head)[0] + 4 if len(head) == 12 else left
                 left -= 12 + length
@@ -210,13 +214,25 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column("file").to_pylist():
-                at = 0
+                at = total = 0
                 for some in frames(name):
                     read = [unpack(d) for d in check(some, name)]
-                    yield _rows([name] * len(read), range(at, at + len(read)), read)
+                    numbers = range(at, at + len(read))
                     at += len(read)
-
-    return files.select("file").mapInArrow(run, "file string, at long, doc_id long, ids binary")
+                    if not digest:
+                        yield _rows([name] * len(read), numbers, read)
+                        continue
+                    sizes = np.array([len(x) for _, x in read], dtype=np.int64)
+                    starts = total + np.cumsum(sizes) - sizes
+                    total += int(sizes.sum())
+                    crcs = [zlib.crc32(x.astype("<u4").tobytes()) for _, x in read]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([name] * len(read)), pa.array(numbers, pa.int64()), pa.array([d for d, _ in read], pa.int64()),
+                        pa.array(starts), pa.array(sizes), pa.array(crcs, pa.int64())], columns)
+
+    columns = ["file", "at", "doc_id", "start", "n_tokens", "ids_crc32"]
+    schema = "file string, at long, doc_id long, " + ("start long, n_tokens long, ids_crc32 long" if digest else "ids binary")
+    return files.select("file").mapInArrow(run, schema)
 
 
 def _rows(names, at, read) -> pa.RecordBatch:
@@ -266,21 +282,5 @@ def token_records(docs: DataFrame, tokenizer: str, end_id: int, **options) -> Da
     starts = file_starts(index)
     n = max(1, docs.sparkSession.sparkContext.defaultParallelism * 4)
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, total = None, 0
-        for batch in batches:
-            start, crc, size = [], [], []
-            for name, ids in zip(batch.column("file").to_pylist(), batch.column("ids").to_pylist()):
-                if name != file:
-                    file, total = name, 0
-                start.append(total)
-                crc.append(zlib.crc32(ids))
-                size.append(len(ids) // 4)
-                total += size[-1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("file"), batch.column("doc_id"), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
-                ["file", "doc_id", "start", "n_tokens", "ids_crc32"])
-
-    read = read_files(starts.select("file").repartition(n, "file"), folder).mapInArrow(
-        digest, "file string, doc_id long, start long, n_tokens long, ids_crc32 long")
+    read = read_files(starts.select("file").repartition(n, "file"), folder, digest=True)
     return read.join(starts, "file").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
