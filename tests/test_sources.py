@@ -265,3 +265,17 @@ def test_numbering_counts_the_input_once(spark, small):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     final = numbered._jdf.queryExecution().explainString(mode).split("Initial Plan")[0]
     assert final.count("FileScan") == 2 and final.count("ReusedExchange") == 2
+
+
+def test_same_lines_at_every_file_size(spark, tmp_path):
+    (tmp_path / "bom.txt").write_bytes(b"\xef\xbb\xbffirst\r\nsecond\n\n third ")
+    (tmp_path / "rows.ndjson").write_text('["one good","two bad"]\n{"a": "x", "b": 0}\n"plain"\n7\nbroken {\n\n{\n"a": "y"\n}\n')
+    (tmp_path / "rows.csv").write_text('﻿a,"b, c",,d\n,\n e , "f" \n')
+    (tmp_path / "rows.tsv").write_text("a\tb\t\tc\n\t\nx")
+
+    def rows(**options):
+        return sorted((r.file_name, r.line_no, r.line, r.total_lines) for r in src.read_lines(spark, str(tmp_path), **options).collect())
+
+    whole = rows()
+    assert whole == rows(whole_file_limit=0) and ("bom.txt", 0, "first", 3) in whole
+    assert {line for name, _, line, _ in whole if name == "rows.csv"} == {"a b, c d", 'e "f"'}

@@ -32,7 +32,7 @@ def piece_offsets(counts: DataFrame, file_cols: list[str], piece_col: str) -> Da
     )
 
 
-def _nested_offsets(counts: DataFrame, file_cols: list[str], pieces: list[str]) -> DataFrame:
+def nested_offsets(counts: DataFrame, file_cols: list[str], pieces: list[str]) -> DataFrame:
     """The same for any number of pieces: pieces are summed up within wider pieces, those
     within wider ones again, and the offsets are added on the way back down.
 
@@ -75,7 +75,7 @@ def number_lines(df: DataFrame, file_cols: list[str], order_col: str, span: int
     within = Window.partitionBy(*file_cols, pieces[0]).orderBy(order_col)
     return (
         keyed.withColumn("_rank", F.row_number().over(within))
-        .join(_nested_offsets(counts, file_cols, pieces), [*file_cols, pieces[0]])
+        .join(nested_offsets(counts, file_cols, pieces), [*file_cols, pieces[0]])
         .withColumn("line_no", F.col("lines_before") + F.col("_rank") - 1)
         .drop(*pieces, "_rank", "lines_before")
     )

@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tonegrain.functions.text import clean_lines
 from tonegrain.operators.chunking import assemble_chunks, explode_chunks
-from tonegrain.operators.numbering import piece_offsets
+from tonegrain.operators.numbering import nested_offsets
 from tonegrain.operators.unnest import each
 from tonegrain.session import pin_file_splits
 from tonegrain.sources.formats import BY_SUFFIX, FORMATS, LineFormat, format_of
 
 WHOLE_FILE_LIMIT = 64 * 1024 * 1024
+STRETCH_BYTES = 64 << 30
 FILE_COLS = ["file_path", "file_name", "file_size"]
 _WIDE_CHARSETS = ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
 
@@ -75,8 +76,10 @@ def _numbered_lines(spark, paths, glob, fmt: LineFormat, encoding: str, limit: i
     counts = kept.groupBy("file_path", "block_start").agg(
         F.count(F.lit(1)).alias("piece_lines"), F.min("_id").alias("_first")
     )
-    offsets = piece_offsets(counts, ["file_path"], "block_start").join(
-        counts.select("file_path", "block_start", "_first"), ["file_path", "block_start"]
+    # The splits of one huge file do not meet in one window group: they are summed up in stretches.
+    counts = counts.withColumn("_stretch", F.floor(F.col("block_start") / F.lit(STRETCH_BYTES)))
+    offsets = nested_offsets(counts.drop("_first"), ["file_path"], ["block_start", "_stretch"]).join(
+        counts.select("file_path", "block_start", "_first", "piece_lines"), ["file_path", "block_start"]
     )
     place = F.col("_id") - F.col("_first")
     checked = F.when(
