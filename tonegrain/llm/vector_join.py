@@ -102,13 +102,15 @@ def _label(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def _links(own: np.ndarray, other: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _links(own: np.ndarray, other: np.ndarray, units: np.ndarray, other_units: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows with a cosine of at least the threshold; close calls by the plain formula."""
-    cosines = _units(own) @ _units(other).T
-    linked = cosines >= threshold
-    for i, j in zip(*np.nonzero(np.abs(cosines - threshold) < 1e-12)):
-        linked[i, j] = own[i] @ other[j] / (np.linalg.norm(own[i]) * np.linalg.norm(other[j])) >= threshold
-    return np.nonzero(linked)
+    cosines = units @ other_units.T
+    i, j = np.nonzero(cosines >= threshold - 1e-12)
+    keep = np.ones(len(i), dtype=bool)
+    for k in np.flatnonzero(cosines[i, j] < threshold + 1e-12):
+        a, b = own[i[k]], other[j[k]]
+        keep[k] = a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= threshold
+    return i[keep], j[keep]
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -212,13 +214,15 @@ def _joined(classes: DataFrame, dim: int, count: int, threshold: float, kind: st
         d = table.column("dim")[0].as_py()
         values = np.frombuffer(b"".join(raw), dtype=kind).reshape(len(raw), d).astype(float)
         own, other = np.flatnonzero(owned), np.flatnonzero(~owned)
+        units, others = _units(values), values[other]
+        other_units = units[other]
         # Both copies of a class have one number, so that its links meet.
         names, number = np.unique(ids, return_inverse=True)
         labels, n = np.arange(len(names)), np.zeros(len(own), dtype=np.int64)
         step = max(1, _CHUNK_CELLS // max(1, len(other)))
         for k in range(0, len(own) if len(other) else 0, step):
             some = own[k:k + step]
-            i, j = _links(values[some], values[other], threshold)
+            i, j = _links(values[some], others, units[some], other_units, threshold)
             differ = ids[some[i]] != ids[other[j]]
             i, j = i[differ], j[differ]
             n[k:k + len(some)] = np.bincount(i, weights=weight[other[j]], minlength=len(some)).astype(np.int64)
