@@ -187,8 +187,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
 def read_files(files: DataFrame, folder: str, digest: bool = False) -> DataFrame:
     """(file, at, doc_id, ids) of every record of the named files, in order; ids as 32-bit little-endian bytes.
 
-    ``digest``: (file, at, doc_id, start, n_tokens, ids_crc32) instead, start counting the ids of
-    the file before the record.  A file is read as a stream; a wrong length or checksum raises
+    ``digest``: (file, at, doc_id, start, n_tokens, ids_crc32) instead, start counting the ids
+    before the record from ``base`` on, a column of ``files``.  A file is read as a stream; a wrong length or checksum raises
     ``DamagedRecord``.
     """
 
@@ -213,8 +213,9 @@ def read_files(files: DataFrame, folder: str, digest: bool = False) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column("file").to_pylist():
-                at = total = 0
+            names = batch.column("file").to_pylist()
+            for name, total in zip(names, batch.column("base").to_pylist() if digest else [0] * len(names)):
+                at = 0
                 for some in frames(name):
                     read = [unpack(d) for d in check(some, name)]
                     numbers = range(at, at + len(read))
@@ -232,7 +233,7 @@ def read_files(files: DataFrame, folder: str, digest: bool = False) -> DataFrame
 
     columns = ["file", "at", "doc_id", "start", "n_tokens", "ids_crc32"]
     schema = "file string, at long, doc_id long, " + ("start long, n_tokens long, ids_crc32 long" if digest else "ids binary")
-    return files.select("file").mapInArrow(run, schema)
+    return files.select("file", *(["base"] if digest else [])).mapInArrow(run, schema)
 
 
 def _rows(names, at, read) -> pa.RecordBatch:
@@ -282,5 +283,5 @@ def token_records(docs: DataFrame, tokenizer: str, end_id: int, **options) -> Da
     starts = file_starts(index)
     n = max(1, docs.sparkSession.sparkContext.defaultParallelism * 4)
 
-    read = read_files(starts.select("file").repartition(n, "file"), folder, digest=True)
-    return read.join(starts, "file").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+    read = read_files(starts.repartition(n, "file"), folder, digest=True)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
