@@ -57,6 +57,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, read from a table in the shared folder, so that Spark knows their size."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def open_folder(uri: str):
     """File system and path of a folder any executor can reach (local mount or object store)."""
     from pyarrow import fs

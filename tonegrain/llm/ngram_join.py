@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tonegrain.llm.common import (
-    SHINGLE_WORDS, cut_lineage, distinct_sorted, hashed_words, mix64, pieces, texts_of, windows,
+    SHINGLE_WORDS, cut_lineage, distinct_sorted, hashed_words, mix64, pieces, texts_of, windows, written,
 )
 from tonegrain.llm.components import connected_components
 
@@ -390,7 +390,11 @@ def near_duplicate_groups(
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, all columns kept."""
+    """The rows of ``docs`` whose doc_id is the smallest of its group, all columns kept.
+
+    The ids that go are written first: where they measure below Spark's threshold they are
+    broadcast, and the texts are not shuffled.
+    """
     groups = near_duplicate_groups(docs, **options)
-    away = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    away = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
     return docs.join(away, "doc_id", "left_anti")
