@@ -113,25 +113,34 @@ def learn(docs: DataFrame, may_learn: Column, dimensions: int = DIMENSIONS, seed
     return {r["lang"]: np.frombuffer(bytes(r["bundle"]), dtype=np.int64) for r in sorted(rows, key=lambda r: r["lang"])}
 
 
+class Judge:
+    """Languages and scores of texts; small enough to be broadcast (``MOST_LANGUAGES`` rows of ``dimensions``)."""
+
+    def __init__(self, bundles: dict[str, np.ndarray], dimensions: int, seed: int):
+        self.names, self.dimensions, self.seed = list(bundles), dimensions, seed
+        norms = [np.linalg.norm(b.astype(float)) or 1.0 for b in bundles.values()]
+        self.profiles = np.stack([b / n for b, n in zip(bundles.values(), norms)]).astype(np.float32) if bundles else None
+
+    def __call__(self, encoder: Encoder, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        if not self.names:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        found = encoder.bundles(texts)
+        length = np.linalg.norm(found, axis=1)
+        cosines = (found @ self.profiles.T) / np.maximum(length, 1e-9)[:, None]
+        best = cosines.argmax(axis=1)
+        langs = [self.names[b] if n > 0 else UNKNOWN for b, n in zip(best.tolist(), length.tolist())]
+        return langs, np.where(length > 0, np.clip(cosines.max(axis=1), 0, 1), 0.0).astype(float)
+
+
 def predict(docs: DataFrame, bundles: dict[str, np.ndarray], dimensions: int = DIMENSIONS, seed: int = 0) -> DataFrame:
     """(doc_id, lang_pred, score) of each row, from its whole text alone; the score is the cosine, at least 0."""
-    names = list(bundles)
-    norms = [np.linalg.norm(b.astype(float)) or 1.0 for b in bundles.values()]
-    profiles = np.stack([b / n for b, n in zip(bundles.values(), norms)]).astype(np.float32) if names else None
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)  # MOST_LANGUAGES rows of ``dimensions`` at most
+    shared = docs.sparkSession.sparkContext.broadcast(Judge(bundles, dimensions, seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dimensions, seed)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                langs, scores = [UNKNOWN] * piece.num_rows, np.zeros(piece.num_rows)
-                if names:
-                    found = encoder.bundles([t or "" for t in piece.column("text").to_pylist()])
-                    length = np.linalg.norm(found, axis=1)
-                    cosines = (found @ shared.value.T) / np.maximum(length, 1e-9)[:, None]
-                    best = cosines.argmax(axis=1)
-                    langs = [names[b] if n > 0 else UNKNOWN for b, n in zip(best.tolist(), length.tolist())]
-                    scores = np.where(length > 0, np.clip(cosines.max(axis=1), 0, 1), 0.0).astype(float)
+                langs, scores = shared.value(encoder, [t or "" for t in piece.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id").cast(pa.int64()), pa.array(langs), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
@@ -155,7 +164,18 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> Da
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score above ``min_score``, all columns kept."""
-    found = identify(docs, **options).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+def with_language(docs: DataFrame, min_score: float = 0.0, dimensions: int = DIMENSIONS, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score above ``min_score``, all columns kept.
+
+    Rows are judged where they are: nothing is shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Judge(learn(docs, ~held_out(), dimensions, seed), dimensions, seed))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(dimensions, seed)
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                langs, scores = shared.value(encoder, [t or "" for t in piece.column("text").to_pylist()])
+                yield piece.filter(pa.array([x != UNKNOWN and y > min_score for x, y in zip(langs, scores.tolist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
