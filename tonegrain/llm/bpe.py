@@ -296,20 +296,25 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = rank_decoder(path)
+        encoder, decoder = rank_encoder(path, pattern), rank_decoder(path)
+        encoder.forget()  # idle workers must not keep what other tasks have seen
         digits = [str(i) for i in range(len(decoder.offsets) - 1)]
         for batch in batches:
-            rows: tuple[list, list, list] = ([], [], [])
-            for packed in batch.column("ids").to_pylist():
-                ids = np.frombuffer(packed, dtype=np.uint32)
-                rows[0].append(len(ids))
-                rows[1].append(hashlib.sha256(" ".join([digits[i] for i in ids.tolist()]).encode()).hexdigest())
-                rows[2].append(hashlib.sha256(decoder.to_bytes(ids)).hexdigest())
-            columns = [batch.column("doc_id"), pa.array(rows[0], pa.int64()), *[pa.array(r, pa.string()) for r in rows[1:]]]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                columns, names = [*columns, batch.column("ids")], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            for piece in pieces(batch, "text", ENCODE_BYTES):
+                ids, marks = encoder.encode(texts_of(piece.column("text")))
+                lists = [ids[a:b] for a, b in zip(marks[:-1].tolist(), marks[1:].tolist())]
+                columns = [
+                    piece.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in lists], pa.int64()),
+                    pa.array([hashlib.sha256(" ".join([digits[i] for i in x.tolist()]).encode()).hexdigest() for x in lists], pa.string()),
+                    pa.array([hashlib.sha256(decoder.to_bytes(x)).hexdigest() for x in lists], pa.string()),
+                ]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if keep_ids:
+                    columns, names = [*columns, pa.array([x.tobytes() for x in lists], pa.binary())], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names)
+        encoder.forget()
 
+    # One Python step: two would be two workers for each task, and both keep their memory.
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    return encode(docs, path, pattern, packed=True).mapInArrow(run, schema)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, schema)

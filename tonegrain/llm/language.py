@@ -23,6 +23,8 @@ DIMENSIONS = 1024
 #: A language's bundle is collected to the driver, so there must not be many.
 MOST_LANGUAGES = 2_000
 UNKNOWN = "und"
+#: Texts whose counts are held at once, a row of trigrams each.
+ROWS = 256
 _EDGE = 0
 
 
@@ -69,6 +71,8 @@ class Encoder:
 
     def bundles(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> np.ndarray:
         """The bundle of each text, or of each group of texts (group -1: of none)."""
+        if group is None and len(texts) > ROWS:
+            return np.concatenate([self.bundles(texts[k:k + ROWS]) for k in range(0, len(texts), ROWS)])
         bound, gram, owner = self.trigrams(texts)
         if group is not None:
             owner = group[owner]
