@@ -2,8 +2,10 @@ import gzip
 import hashlib
 import io
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import rows_of
 from tonegrain.llm.common import open_folder, shared_folder
@@ -96,3 +98,26 @@ def test_reader_logs_gaps_of_files(spark):
     got = read_archives(manifest, folder)
     assert got.where("kind = 'record'").count() == 29
     assert rows_of(got.where("kind = 'gap'"), "file", "offset")[0] == (names[0], 0)
+
+
+def test_line_ends_of_unicode_in_urls(spark):
+    odd = ["http://x/a\u0085b", "http://x/a\u2028b:c", "\u2029", "http://x/\u00a0", "\x1c:\x1e"]
+    parts = [make_record(i, u, b"p", None, "1970-01-01T00:00:00Z") for i, u in enumerate(odd)]
+    assert _salvaged(b"".join(map(gzip_member, parts))) == (list(range(len(odd))), [])
+    for i, u in enumerate(odd[:4]):  # as other writers leave them
+        raw = re.sub(rb"(?<=Target-URI: )[^\r]*", u.encode(), parts[i])
+        (_, _, fields, _), = Salvage(Bytes(raw), len(raw))
+        assert fields["warc-target-uri"] == u
+    got = archive_pages(spark.createDataFrame([(i, u, "same " * 400, "x") for i, u in enumerate(odd)], SCHEMA))
+    assert rows_of(got, "kind", "page_id", "url", "refers_to") == sorted([
+        ("record", 0, "http://x/a%C2%85b", 4), ("record", 1, "http://x/a%E2%80%A8b:c", 4), ("record", 2, "%E2%80%A9", 4),
+        ("record", 3, "http://x/\u00a0", 4), ("record", 4, "%1C:%1E", None)], key=repr)
+
+
+def test_a_record_that_is_not_read_is_an_error(spark):
+    folder = shared_folder(spark, "warc-whole")
+    pages = spark.createDataFrame([(i, f"u{i}", "text", "x") for i in range(5)], SCHEMA)
+    manifest = write_archives(with_revisits(pages).coalesce(1), folder)
+    assert read_archives(manifest, folder, whole=True).count() == 5
+    with pytest.raises(Exception, match="5 records read, 6 written"):
+        read_archives(manifest.withColumn("records", F.col("records") + 1), folder, whole=True).count()

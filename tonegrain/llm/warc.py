@@ -27,6 +27,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP_MAGIC = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r?\n")
+_NOT_IN_URI = re.compile(r"[\x00-\x20\x7f-\x9f\u2028\u2029]")  # controls, space and line ends
 _READ = 1 << 18
 
 
@@ -63,7 +64,7 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     block = http if refers_to is not None else http + payload
     fields = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _record_id(page_id, url, len(payload))), ("WARC-Date", date)]
     if url is not None:
-        fields.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
+        fields.append(("WARC-Target-URI", _NOT_IN_URI.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url)))
     if page_id is not None:
         fields.append(("X-Page-ID", str(page_id)))
     if refers_to is not None:
@@ -136,11 +137,12 @@ def parse_record(record: bytes, exact: bool) -> tuple[dict[str, str], bytes, int
     if not end:
         raise _Damaged("header")
     fields = {}
-    for row in record[line.end():end.start()].decode("utf-8", "replace").splitlines():
-        name, colon, value = row.partition(":")
+    head = record[line.end():end.start()]
+    for row in re.split(rb"\r?\n", head) if head else ():  # bytes: as text, U+0085 and others end a line too
+        name, colon, value = row.decode("utf-8", "replace").partition(":")
         if not colon:
             raise _Damaged("header")
-        fields[name.strip().lower()] = value.strip()
+        fields[name.strip().lower()] = value.strip(" \t")
     if not fields.get("content-length", "").isdigit():
         raise _Damaged("content length")
     stop = end.end() + int(fields["content-length"])
@@ -246,12 +248,14 @@ _RECORD = pa.schema([
 ])
 
 
-def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
+def read_archives(files: DataFrame, folder: str, with_payload: bool = True, whole: bool = False) -> DataFrame:
     """Records and gaps of the archives in column ``file`` of ``files``, below ``folder``.
 
     kind 'record': a whole record; its payload digest (hex SHA-1) and size are computed from
     the payload, or taken from the head of a revisit.  kind 'gap': ``length`` quarantined bytes
     from ``offset`` on, with the check that failed first.
+
+    ``whole``: a file of fewer or more records than column ``records`` of ``files`` says is an error.
     """
 
     def rows(name: str) -> Iterator[dict]:
@@ -275,18 +279,21 @@ def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column("file").to_pylist():
-                held, size = [], 0
+            for name, stated in zip(*(batch.column(c).to_pylist() for c in ("file", "records"))):
+                held, size, count = [], 0, 0
                 for row in rows(name):
+                    count += row["kind"] == "record"
                     held.append(row)
                     size += len(row.get("payload") or b"") + 200
                     if size >= 4 << 20:
                         yield pa.RecordBatch.from_pylist(held, _RECORD)
                         held, size = [], 0
+                if whole and count != stated:
+                    raise ValueError(f"{name}: {count} records read, {stated} written")
                 if held:
                     yield pa.RecordBatch.from_pylist(held, _RECORD)
 
-    return files.select("file").mapInArrow(run, (
+    return files.select("file", F.col("records") if whole else F.lit(None).cast("long").alias("records")).mapInArrow(run, (
         "kind string, file string, offset long, length long, reason string, page_id long, url string, record_type string, "
         "refers_to long, payload_bytes long, payload_digest string, payload binary"))
 
@@ -296,9 +303,10 @@ def archive_pages(pages: DataFrame, with_payload: bool = True, **options) -> Dat
 
     A null html counts as empty, a null url or page_id leaves its field out; a page without
     page_id is a revisit if an equal payload has one.  Repeated rows become repeated records; an
-    empty table gives no record; other columns are not looked at.
+    empty table gives no record; other columns are not looked at.  Fails if a record that was
+    written is not read.
     """
     folder = shared_folder(pages.sparkSession, "warc")
     manifest = write_archives(with_revisits(pages), folder, **options)
     n = max(1, pages.sparkSession.sparkContext.defaultParallelism * 4)
-    return read_archives(manifest.repartition(n, "file"), folder, with_payload)
+    return read_archives(manifest.repartition(n, "file"), folder, with_payload, whole=True)
