@@ -21,7 +21,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents whose text has a language; those without a letter or any likeness to one go."""
+    """Keep the documents whose text has a language; those without a letter or in unlearned letters go."""
     return with_language(docs).select(*COLUMNS)
 
 

@@ -4,7 +4,7 @@ import numpy as np
 
 from tests.conftest import DATA
 from tests.llm.conftest import rows_of
-from tonegrain.llm.language import Encoder, identify, learn, with_language, held_out
+from tonegrain.llm.language import Encoder, identify, learn, learn_letters, with_language, held_out
 from pyspark.sql import functions as F
 
 EN = "the house is green and the dog runs through the garden with them "
@@ -62,3 +62,28 @@ def test_learning_adds_over_tasks(documents):
     docs = documents(*_training())
     one, many = learn(docs.coalesce(1), ~held_out()), learn(docs.repartition(7), ~held_out())
     assert one.keys() == many.keys() and all((one[k] == many[k]).all() for k in one)
+
+
+def test_texts_of_unlearned_letters_go_and_short_ones_stay(documents):
+    rng = np.random.default_rng(4)
+    foreign = []
+    for low, high in ((0x430, 0x44F), (0x3B1, 0x3C9), (0x4E00, 0x9FA5)):
+        for _ in range(100):
+            words = ["".join(map(chr, rng.integers(low, high, rng.integers(1, 9)))) for _ in range(rng.integers(1, 40))]
+            foreign.append(" ".join(words))
+    short = sorted({*EN.split(), *FR.split(), "A.", "Le", "Jet.", "xon", "thog wuns"})
+    rows = [*_training(), *[(1000 + i, t, "en") for i, t in enumerate(short)]]
+    # Held out, so that nothing is learned from them.
+    free = (i for i in range(5000, 10 ** 6) if zlib.crc32(str(i).encode()) % 3 == 1)
+    strange = [(next(free), t, "xx") for t in foreign]
+    kept = rows_of(with_language(documents(*rows, *strange)), "doc_id")
+    assert kept == sorted([(r[0],) for r in rows], key=repr)
+
+
+def test_stray_letters_are_not_known(documents):
+    rows = [(i, EN * 40 + ("Ж" if i == 0 else ""), "en") for i in range(30)]
+    held = next(i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 3 == 1)
+    bundles, letters = learn_letters(documents(*rows), F.lit(True))
+    assert set(map(chr, letters.tolist())) == set(EN) - {" "}
+    assert (bundles["en"] == learn(documents(*rows).repartition(5), F.lit(True))["en"]).all()
+    assert rows_of(with_language(documents(*rows, (held, "ж" * 50, "xx"))), "doc_id") == sorted([(i,) for i in range(30)], key=repr)

@@ -4,6 +4,10 @@ Every letter has a random vector of +1 and -1.  A letter trigram binds the vecto
 letters, permuted by their place; a text bundles (adds up) its trigrams; a language bundles
 the texts it was learned from.  A text has the language of the highest cosine.
 
+Cosines of unrelated vectors are noise of 1 / sqrt(dimensions), and the best of several is mostly
+above 0.  A clean text of a word or two may be no higher, so what tells an unlearned script
+from a short text are the letters themselves: learning counts them too.
+
 Vectors follow from the seed and the letter alone, so tasks share nothing but the seed.
 Bundles are whole numbers: their sums do not depend on the order of tasks.
 """
@@ -25,6 +29,10 @@ MOST_LANGUAGES = 2_000
 UNKNOWN = "und"
 #: Texts whose counts are held at once, a row of trigrams each.
 ROWS = 256
+#: A cosine of so many times 1 / sqrt(dimensions) is no noise.
+NOISE = 6
+#: A letter is known if a language has it this often among its letters; strays are not.
+LEAST_SHARE = 1e-4
 _EDGE = 0
 
 
@@ -41,8 +49,8 @@ class Encoder:
             self.vectors[letter] = bits * np.int8(2) - np.int8(1)
         return self.vectors[letter]
 
-    def trigrams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(vectors of the different trigrams, trigram of each letter, text of each letter).
+    def trigrams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(vectors and middle letters of the different trigrams, trigram of each letter, text of each letter).
 
         A trigram is a lower-case letter between its neighbours; what is not a letter is an edge.
         """
@@ -67,68 +75,115 @@ class Encoder:
         first, second, third = keys // (k * k), keys // k % k, keys % k
         bound = np.roll(table, 2, axis=1)[first] * np.roll(table, 1, axis=1)[second] * table[third]
         owner = np.searchsorted(np.cumsum(lengths) + 1, middle, side="right")
-        return bound, gram, owner
+        return bound, alphabet[second], gram, owner
 
-    def bundles(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> np.ndarray:
-        """The bundle of each text, or of each group of texts (group -1: of none)."""
-        if group is None and len(texts) > ROWS:
-            return np.concatenate([self.bundles(texts[k:k + ROWS]) for k in range(0, len(texts), ROWS)])
-        bound, gram, owner = self.trigrams(texts)
+    def counts(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(counts of the trigrams in each text or group of texts, vectors, middle letters of the trigrams)."""
+        bound, middle, gram, owner = self.trigrams(texts)
         if group is not None:
             owner = group[owner]
             gram, owner = gram[owner >= 0], owner[owner >= 0]
         rows = n_groups if group is not None else len(texts)
         counts = np.bincount(owner * len(bound) + gram, minlength=rows * len(bound)).reshape(rows, len(bound))
         kind = np.float32 if counts.sum() < 1 << 24 else np.float64  # whole numbers, exact either way
-        return counts.astype(kind) @ bound.astype(kind)
+        return counts.astype(kind), bound.astype(kind), middle
+
+    def bundles(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> np.ndarray:
+        """The bundle of each text, or of each group of texts (group -1: of none)."""
+        if group is None and len(texts) > ROWS:
+            return np.concatenate([self.bundles(texts[k:k + ROWS]) for k in range(0, len(texts), ROWS)])
+        counts, bound, _ = self.counts(texts, group, n_groups)
+        return counts @ bound
 
 
 def learn(docs: DataFrame, may_learn: Column, dimensions: int = DIMENSIONS, seed: int = 0) -> dict[str, np.ndarray]:
-    """The bundle of each language, of all rows with ``may_learn``, a lang and a text.
+    """The bundle of each language, of all rows with ``may_learn``, a lang and a text."""
+    return learn_letters(docs, may_learn, dimensions, seed)[0]
+
+
+def learn_letters(docs: DataFrame, may_learn: Column, dimensions: int = DIMENSIONS, seed: int = 0) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The bundle of each language as ``learn``, and the sorted letters that are at least ``LEAST_SHARE`` of one.
 
-    Each task adds up a bundle for each language; these meet in two steps, by language and task
-    and then by language, so a language that most rows have is no burden on one task.
+    Each task adds up a bundle and letter counts for each language; these meet in two steps, by
+    language and task and then by language, so a language that most rows have is no burden on
+    one task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sums = Encoder(dimensions, seed), {}
+        encoder, sums, letters = Encoder(dimensions, seed), {}, {}
         for batch in batches:
             for piece in pieces(batch, "text"):
                 langs = piece.column("lang").to_pylist()
                 names = sorted(set(langs))
                 at = {name: i for i, name in enumerate(names)}
-                found = encoder.bundles(piece.column("text").to_pylist(), np.array([at[x] for x in langs]), len(names))
-                for name, bundle in zip(names, found):
+                counts, bound, middle = encoder.counts(piece.column("text").to_pylist(), np.array([at[x] for x in langs]), len(names))
+                different, place = np.unique(middle, return_inverse=True)
+                for name, row, bundle in zip(names, counts, counts @ bound):
                     sums[name] = sums.get(name, 0) + bundle.astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.string()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["lang", "bundle"])
+                    held = letters.setdefault(name, {})
+                    for letter, n in zip(different.tolist(), np.bincount(place, weights=row, minlength=len(different)).tolist()):
+                        if n:
+                            held[letter] = held.get(letter, 0) + int(n)
+        packed = [np.array(sorted(letters[name].items()), dtype=np.int64).tobytes() for name in sums]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(list(sums), pa.string()), pa.array([s.tobytes() for s in sums.values()], pa.binary()), pa.array(packed, pa.binary()),
+        ], ["lang", "bundle", "letters"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(b, dtype=np.int64) for b in rows["bundle"])
-        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "bundle": [total.tobytes()]})
-
+        pairs = np.concatenate([_pairs(x) for x in rows["letters"]])
+        different, place = np.unique(pairs[:, 0], return_inverse=True)
+        held = np.zeros(len(different), dtype=np.int64)
+        np.add.at(held, place, pairs[:, 1])
+        return pd.DataFrame({
+            "lang": [rows["lang"].iloc[0]], "bundle": [total.tobytes()], "letters": [np.stack([different, held], axis=1).tobytes()]})
+
+    schema = "lang string, bundle binary, letters binary"
     usable = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    parts = usable.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, "lang string, bundle binary")
+    parts = usable.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, schema)
     for keys in ([F.col("lang"), F.pmod(F.spark_partition_id(), F.lit(64))], [F.col("lang")]):
-        parts = parts.groupBy(*keys).applyInPandas(add, "lang string, bundle binary")
+        parts = parts.groupBy(*keys).applyInPandas(add, schema)
     rows = parts.limit(MOST_LANGUAGES + 1).collect()
     if len(rows) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return {r["lang"]: np.frombuffer(bytes(r["bundle"]), dtype=np.int64) for r in sorted(rows, key=lambda r: r["lang"])}
+    known: set[int] = set()
+    for r in rows:
+        pairs = _pairs(bytes(r["letters"]))
+        known.update(pairs[pairs[:, 1] >= LEAST_SHARE * pairs[:, 1].sum(), 0].tolist())
+    bundles = {r["lang"]: np.frombuffer(bytes(r["bundle"]), dtype=np.int64) for r in sorted(rows, key=lambda r: r["lang"])}
+    return bundles, np.array(sorted(known), dtype=np.int64)
+
+
+def _pairs(packed: bytes) -> np.ndarray:
+    """Rows of (letter, count)."""
+    return np.frombuffer(packed, dtype=np.int64).reshape(-1, 2)
 
 
 class Judge:
     """Languages and scores of texts; small enough to be broadcast (``MOST_LANGUAGES`` rows of ``dimensions``)."""
 
-    def __init__(self, bundles: dict[str, np.ndarray], dimensions: int, seed: int):
-        self.names, self.dimensions, self.seed = list(bundles), dimensions, seed
+    def __init__(self, bundles: dict[str, np.ndarray], dimensions: int, seed: int, letters: np.ndarray | None = None):
+        self.letters, self.names, self.dimensions, self.seed = letters, list(bundles), dimensions, seed
         norms = [np.linalg.norm(b.astype(float)) or 1.0 for b in bundles.values()]
         self.profiles = np.stack([b / n for b, n in zip(bundles.values(), norms)]).astype(np.float32) if bundles else None
 
     def __call__(self, encoder: Encoder, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        if not self.names:
+        return self.rated(texts, encoder.bundles(texts) if self.names else None)
+
+    def alike(self, encoder: Encoder, texts: list[str], min_score: float) -> list[bool]:
+        """Whether a text has a language by a score above ``min_score``, or by known letters, half of its letters or more."""
+        out: list[bool] = []
+        for k in range(0, len(texts) if self.names else 0, ROWS):
+            some = texts[k:k + ROWS]
+            counts, bound, middle = encoder.counts(some)
+            langs, scores = self.rated(some, counts @ bound)
+            known = counts @ np.isin(middle, self.letters).astype(counts.dtype)
+            out += [x != UNKNOWN and bool(y) for x, y in zip(langs, (scores > min_score) | (2 * known >= counts.sum(axis=1)))]
+        return out or [False] * len(texts)
+
+    def rated(self, texts: list[str], found: np.ndarray | None) -> tuple[list[str], np.ndarray]:
+        if found is None:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        found = encoder.bundles(texts)
         length = np.linalg.norm(found, axis=1)
         cosines = (found @ self.profiles.T) / np.maximum(length, 1e-9)[:, None]
         best = cosines.argmax(axis=1)
@@ -168,18 +223,23 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> Da
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, min_score: float = 0.0, dimensions: int = DIMENSIONS, seed: int = 0) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score above ``min_score``, all columns kept.
+def with_language(docs: DataFrame, min_score: float | None = None, dimensions: int = DIMENSIONS, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, all columns kept.
 
-    Rows are judged where they are: nothing is shuffled.
+    It has one if its score is above ``min_score`` (``NOISE`` / sqrt(``dimensions``) if not given),
+    or if half of its letters or more are known from the learned languages, however short it is.
+    Texts without a letter go, and those in letters that nothing was learned from.  An unlearned
+    language in a learned script stays.  Rows are judged where they are: nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Judge(learn(docs, ~held_out(), dimensions, seed), dimensions, seed))
+    least = NOISE / dimensions ** 0.5 if min_score is None else min_score
+    bundles, letters = learn_letters(docs, ~held_out(), dimensions, seed)
+    shared = docs.sparkSession.sparkContext.broadcast(Judge(bundles, dimensions, seed, letters))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dimensions, seed)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                langs, scores = shared.value(encoder, [t or "" for t in piece.column("text").to_pylist()])
-                yield piece.filter(pa.array([x != UNKNOWN and y > min_score for x, y in zip(langs, scores.tolist())], pa.bool_()))
+                kept = shared.value.alike(encoder, [t or "" for t in piece.column("text").to_pylist()], least)
+                yield piece.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
