@@ -69,6 +69,23 @@ def test_one_of_each_group_stays(documents):
     assert rows_of(kept, "doc_id", "text", "key") == [(1, "a b c", "x"), (3, "x", "x"), (4, None, "x")]
 
 
+def test_rows_of_null_and_repeated_ids(documents):
+    near = " ".join(f"w{k}" for k in range(60))
+    rows = [
+        (None, near), (None, near), (None, near + " x"), (4, near), (4, near), (4, "clean text"), (6, near + " y"), (6, "other clean text"),
+        (None, "only null"), (None, "only  NULL"), (None, None), (None, ""), (8, ""), (8, None), (9, "p q"), (9, "p q"), (9, "P  q"),
+        (12, near), (12, near + " z"), (13, "alone"), (None, "alone"), (14, "fine")]
+    docs = documents(*rows, more=True)
+    kept = drop_near_duplicates(docs.repartition(4))
+    assert kept.dtypes == docs.dtypes
+    got = [(i, (t or "").lower().replace("  ", " "), k) for i, t, k in rows_of(kept, "doc_id", "text", "key")]
+    assert sorted(got, key=repr) == sorted([(i, t, "x") for i, t in [
+        (4, near), (4, "clean text"), (6, "other clean text"), (None, "only null"), (None, ""), (None, ""), (8, ""), (8, ""), (9, "p q"),
+        (13, "alone"), (14, "fine")]], key=repr)
+    assert rows_of(kept, "doc_id", "text") == rows_of(drop_near_duplicates(docs.coalesce(1)), "doc_id", "text")
+    assert drop_near_duplicates(documents()).collect() == []
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, i) for i in range(1001, 1100)] + [(-5, -5), (7, 2000), (2000, 7)]
     got = connected_components(spark.createDataFrame(edges, "a long, b long"))

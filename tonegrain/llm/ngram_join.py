@@ -27,7 +27,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonegrain.llm.common import (
     SHINGLE_WORDS, cut_lineage, distinct_sorted, hashed_words, mix64, pieces, texts_of, windows, written,
@@ -351,19 +351,9 @@ def _labels(sets: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(sets.select("class").join(parts, "class", "left").select("class", F.coalesce("component", "class").alias("label")))
 
 
-def near_duplicate_groups(
-    docs: DataFrame, threshold: Fraction | float | str = Fraction(4, 5), width: int = SHINGLE_WORDS
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text, ...).
-
-    Words are runs of characters other than space and 0x09-0x0D, A-Z lower-cased.  A text
-    with fewer words than ``width`` is one n-gram; null, empty and blank texts have none and
-    link with nothing.  The component is the smallest doc_id that links reach, so a row of a
-    null doc_id never names one; it has a null component if it has no partner.  Repeated rows
-    are repeated in the result; an empty table gives an empty result; other columns are not
-    looked at.  A class is a 64-bit hash: among a billion different texts, two clash with a
-    chance of 3 %.
-    """
+def _grouped(docs: DataFrame, threshold: Fraction | float | str, width: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, class, n) of each row, and (class, component, chosen): the smallest doc_id that links reach (null if
+    all are), and the smallest class of its rows."""
     threshold = Fraction(threshold).limit_denominator(10_000)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = cut_lineage(signatures(docs, width))
@@ -379,22 +369,78 @@ def near_duplicate_groups(
     links = similar_classes(sets, threshold)
     parts = connected_components(links).select(F.col("node").alias("class"), "component").join(classes, "class")
     parts = cut_lineage(parts.select("class", "component", "first"))
-    least = parts.groupBy("component").agg(F.min("first").alias("least"))
+    place = F.struct(F.col("first").isNull().alias("no_id"), "first", "class")
+    least = parts.groupBy("component").agg(F.min(place).alias("least"))
     linked = parts.join(least, "component").select("class", "least")
-    of_class = classes.select("class", "first").join(linked, "class", "left").select(
-        "class", F.coalesce("least", "first").alias("component")
+    return rows, classes.select("class", "first").join(linked, "class", "left").select(
+        "class", F.coalesce("least.first", "first").alias("component"), F.coalesce("least.class", "class").alias("chosen")
     )
+
+def near_duplicate_groups(
+    docs: DataFrame, threshold: Fraction | float | str = Fraction(4, 5), width: int = SHINGLE_WORDS
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text, ...).
+
+    Words are runs of characters other than space and 0x09-0x0D, A-Z lower-cased.  A text
+    with fewer words than ``width`` is one n-gram; null, empty and blank texts have none and
+    link with nothing.  The component is the smallest doc_id that links reach, so a row of a
+    null doc_id never names one; it has a null component if it has no partner.  Repeated rows
+    are repeated in the result; an empty table gives an empty result; other columns are not
+    looked at.  A class is a 64-bit hash: among a billion different texts, two clash with a
+    chance of 3 %.
+    """
+    rows, of_class = _grouped(docs, threshold, width)
     return rows.join(of_class, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group, all columns kept.
+def _with_class(docs: DataFrame, name: str, width: int) -> DataFrame:
+    """``docs`` with the class of each row as a last column ``name``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.select(list(range(1, batch.num_columns)))
+            slim = pa.RecordBatch.from_arrays([batch.column(0), pa.array(range(batch.num_rows), pa.int64())], ["text", "doc_id"])
+            for at, _, _, signs in _sets(slim, width):
+                found = pa.array([None if s is None else _class_id(s) for s in signs], pa.int64())
+                part = whole.slice(at[0].as_py(), len(at))
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+    return docs.select(F.col("text").cast("string").alias("__text"), "*").mapInArrow(run, schema)
+
+
+def drop_near_duplicates(docs: DataFrame, threshold: Fraction | float | str = Fraction(4, 5), width: int = SHINGLE_WORDS) -> DataFrame:
+    """One row of ``docs`` of each group of near copies, all columns kept.
+
+    The row of the smallest doc_id stays, null ids last; of several rows of this id, one of the
+    smallest class, and of these the one of the lowest hash.  Rows are judged by their own text,
+    so a clean text stays beside a near copy of the same doc_id, and rows without words all stay,
+    with or without an id.
 
-    The ids that go are written first: where they measure below Spark's threshold they are
-    broadcast, and the texts are not shuffled.
+    The ids whose rows all go are written first: where they measure below Spark's threshold they
+    are broadcast, and the texts are not shuffled.  Only rows of ids of which some go and some
+    stay are hashed again.
     """
-    groups = near_duplicate_groups(docs, **options)
-    away = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(away, "doc_id", "left_anti")
+    rows, of_class = _grouped(docs, threshold, width)
+    pairs = rows.groupBy("doc_id", "class").agg(F.count(F.lit(1)).alias("times")).join(of_class, "class", "left")
+    chosen = F.col("doc_id").eqNullSafe(F.col("component")) & (F.col("class") == F.col("chosen"))
+    goes = F.col("class").isNotNull() & ~chosen
+    judged = pairs.groupBy("doc_id").agg(
+        F.bool_and(goes).alias("all_go"), F.bool_or(goes | (F.col("class").isNotNull() & (F.col("times") > 1))).alias("some_go"))
+    judged = written(judged.where("some_go").select("doc_id", (F.col("all_go") & F.col("doc_id").isNotNull()).alias("all_go")), "near-duplicates")
+    mixed = judged.where("not all_go").select("doc_id")
+    left = docs.join(judged.where("doc_id is not null").select("doc_id"), "doc_id", "left_anti")
+    if mixed.isEmpty():
+        return left
+    name = "__class"
+    again = docs.join(mixed, "doc_id", "left_semi")
+    if not mixed.where("doc_id is null").isEmpty():
+        left, again = left.where("doc_id is not null"), again.union(docs.where("doc_id is null"))
+    again = _with_class(again, name, width)
+    stay = written(of_class.where("class = chosen").select(F.col("class").alias(name), F.col("component").alias("__id")), "near-duplicate-rows")
+    some = again.join(stay, name).where(F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = some.groupBy(name).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
+    return left.union(one).union(again.where(F.col(name).isNull()).drop(name))
