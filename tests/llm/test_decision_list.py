@@ -6,6 +6,7 @@ import numpy as np
 from tests.conftest import DATA
 from tests.llm.brute import WORD
 from tests.llm.conftest import rows_of
+from tonegrain.llm import decision_list
 from tonegrain.llm.decision_list import FEATURES, Condition, _covered, judge, kept_by, learn, learn_list, text_stats, with_features
 from pyspark.sql import functions as F
 
@@ -75,3 +76,14 @@ def test_labels_with_gaps(spark, documents):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert learn(docs, empty) == [] and judge(documents(), []).collect() == []
     assert with_features(text_stats(documents((1, None)))).first()["chars_per_word"] == 0.0
+
+
+def test_a_labelled_id_of_many_rows_teaches_once(spark, documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(decision_list, "learn_list", lambda values, bad, **_: seen.append(len(bad)) or [])
+    words = [" ".join(f"w{k}" for k in range(i, i + 60)) for i in range(50)]
+    docs = documents(*[(1, w + "!" * i) for i, w in enumerate(words)], *[(1, words[0])] * 50, *[(i, words[i]) for i in range(2, 20)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 20)], "doc_id long, quality int")
+    learn(docs, labels)
+    learn(docs.repartition(5), labels, most=7)
+    assert seen == [19, 7]

@@ -201,14 +201,16 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **optio
     """Rules from rows of ``labels`` (doc_id, quality) and their texts; rows that fail the base rules teach nothing.
 
     Labels of null id or quality are left out, as are ids whose labels differ.  At most ``most``
-    labelled ids are used, those of the lowest hash.
+    labelled ids are used, those of the lowest hash.  Of several rows of one id, the one of the
+    smallest statistics teaches, so that no more rows than ids reach the driver.
     """
     one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
     some = one.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     known = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # ``most`` rows of two numbers
     rows = with_features(text_stats(known)).where(~base_failed()).join(F.broadcast(some), "doc_id")
-    found = rows.select("doc_id", "quality", *FEATURES).toPandas().sort_values(["doc_id", "quality", *FEATURES])
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("quality", *FEATURES)).alias("row")).select("doc_id", "row.*")
+    found = rows.toPandas().sort_values(["doc_id", "quality", *FEATURES])
     return learn_list({f: found[f].to_numpy(dtype=float) for f in FEATURES}, (found["quality"] == 0).to_numpy(), **options)
 
 
