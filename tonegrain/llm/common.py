@@ -111,6 +111,10 @@ def ragged(flat: np.ndarray, offsets: np.ndarray, pick: np.ndarray) -> tuple[np.
 
 
 # ------------------------------------------------------------------------ words
+#: Bytes of text that are hashed at a time.
+BLOCK_BYTES = 1 << 20
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     with np.errstate(over="ignore"):
@@ -119,30 +123,61 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(32))
 
 
-def hashed_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts behind one another, and each text's first word (n + 1 marks).
+_FACTORS = mix64(np.arange(1, 1025, dtype=_U)) | _U(1)
+
 
-    A word is a run of bytes other than space and 0x09-0x0D.  Its hash adds its bytes times
-    an odd random multiplier of their position, so it depends on every byte.
+def word_spans(texts: list[bytes], lower: bool, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts behind one another: bytes, 64-bit hashes, starts, ends, and each text's first word (n + 1 marks).
+
+    A word is a run of bytes that ``apart`` does not hold, by default other than space and
+    0x09-0x0D.  Its hash adds its bytes times an odd random multiplier of their position, so it
+    depends on every byte.  The bytes are looked at a block at a time, so that a text, or a
+    word, of any length needs little more memory than its words.
     """
     joined = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
     marks = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))).astype(np.int64)
-    inside = ~_SPACE[joined]
-    if not inside.any():
-        return np.empty(0, dtype=_U), np.zeros(len(marks), dtype=np.int64)
-    edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    lens = ends - starts
-    letters = joined[inside]
-    if lower:
-        letters = _LOWER[letters]
-    first = np.cumsum(lens) - lens
-    position = np.arange(len(letters)) - np.repeat(first, lens)
-    factor = mix64(np.arange(1, lens.max() + 1, dtype=_U)) | _U(1)
+    starts, lens, sums, goes_on = [], [], [], False
+    for at in range(0, len(joined), BLOCK_BYTES):
+        block = joined[at:at + BLOCK_BYTES]
+        inside = ~apart[block]
+        edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
+        first_byte, n = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        n -= first_byte
+        goes_on, more = bool(inside[-1]), goes_on and bool(inside[0])
+        if not len(n):
+            continue
+        letters = block[inside]
+        if lower:
+            letters = _LOWER[letters]
+        first = np.cumsum(n) - n
+        position = np.arange(len(letters)) - np.repeat(first, n)
+        if more:
+            position[:n[0]] += lens[-1][-1]
+        factor = _FACTORS[position] if position.max() < len(_FACTORS) else mix64(position.astype(_U) + _U(1)) | _U(1)
+        with np.errstate(over="ignore"):
+            total = np.add.reduceat((letters.astype(_U) + _U(1)) * factor, first)
+            if more:  # the first word of this block is the rest of the last one of the block before
+                sums[-1][-1] += total[0]
+        if more:
+            lens[-1][-1] += n[0]
+            first_byte, n, total = first_byte[1:], n[1:], total[1:]
+        if len(n):
+            starts.append(first_byte + at)
+            lens.append(n)
+            sums.append(total)
+    if not starts:
+        none = np.empty(0, dtype=np.int64)
+        return joined, none.astype(_U), none, none, np.zeros(len(marks), dtype=np.int64)
+    start, size = np.concatenate(starts), np.concatenate(lens)
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat((letters.astype(_U) + _U(1)) * factor[position], first)
-        hashes = mix64(sums ^ (lens.astype(_U) * _U(0xD6E8FEB86659FD93)))
-    return hashes, np.searchsorted(starts, marks)
+        hashes = mix64(np.concatenate(sums) ^ (size.astype(_U) * _U(0xD6E8FEB86659FD93)))
+    return joined, hashes, start, start + size, np.searchsorted(start, marks)
+
+
+def hashed_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts behind one another, and each text's first word (n + 1 marks)."""
+    _, hashes, _, _, marks = word_spans(texts, lower)
+    return hashes, marks
 
 
 def windows(words: np.ndarray, marks: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

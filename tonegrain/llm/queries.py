@@ -89,6 +89,31 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text, with the repetitions that the query asks for in one text of ten."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size("w").cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    again = F.transform("w", lambda w, i: F.when(i < a, w).otherwise(F.get("w", (a + (i - a) % p).cast("int"))))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"))
+    return chosen.select("doc_id", F.when(F.size("w") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.periodic import collapse_runs, longest_turns, run_lines
+
+    found = collapse_runs(_planted(_table(spark, sf_dir, "documents")))
+    best = longest_turns(F.col("runs"))
+    rows = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+    whole = F.expr("1000 * best.length div best.period")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", whole.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def _shipped(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
