@@ -22,7 +22,7 @@ def duck(small):
 
 def test_all_are_registered():
     names = set(registered.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert names | {"pipeline"} <= set(entry_points.queries()) and set(oracle.oracle_sql()) <= names
 
 

@@ -1,7 +1,11 @@
+import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tests.conftest import DATA, plan_of
 from tests.llm.conftest import rows_of
+from tonegrain.llm import queries
 from tonegrain.llm.shards import shard, shard_of
 
 
@@ -44,3 +48,37 @@ def test_edges(documents):
     assert rows_of(out.select("record.*"), "doc_id", "text", "shard") == rows_of(docs, "doc_id", "text", "shard")
     assert shard(documents(), 3).collect() == []
     assert "Python" not in plan_of(out) and "Arrow" not in plan_of(out)
+
+
+def test_registered_query(spark, small):
+    """Every column of the result by plain Python, and the same result again."""
+    df = queries.queries()["op9_sharding"](spark, small)
+    assert df.dtypes == [
+        ("doc_id", "bigint"), ("size", "bigint"), ("text_crc32", "bigint"), ("law", "string"), ("shard", "int"), ("slot", "bigint"), ("grown_shard", "int")]
+    rows = {r["doc_id"]: r for r in df.collect()}
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    assert rows.keys() == docs.keys()
+    for i, text in docs.items():
+        r = rows[i]
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(text) + 1, zlib.crc32(text), "key")
+        assert 0 <= r["shard"] < 16 and r["grown_shard"] in (r["shard"], 16)
+    for s, n in Counter(r["shard"] for r in rows.values()).items():
+        assert sorted(r["slot"] for r in rows.values() if r["shard"] == s) == list(range(n))
+    again = {r["doc_id"]: r for r in queries.queries()["op9_sharding"](spark, small).collect()}
+    assert again == rows
+
+
+def test_texts_are_shuffled_once(spark, small):
+    """Even where nothing may be broadcast by its planned size, no exchange above the shards carries a text."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    crc = F.crc32(F.col("record.text").cast("binary")).alias("crc")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = plan_of(shard(docs, 4, [crc], bucket_bytes=20_000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    above = plan[:plan.index("FileScan")]
+    assert "Exchange hashpartitioning(shard" in above
+    assert "record" not in "".join(line for line in above.splitlines() if "Exchange" in line or "Sort [" in line or "Join" in line)
+    assert "BroadcastHashJoin" in plan_of(shard(docs, 4, [crc], bucket_bytes=20_000))

@@ -7,6 +7,9 @@ both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
 least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)"""
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 _ORACLE = {
     "op3_ngram_jaccard_join": rf"""
 WITH RECURSIVE words AS (
@@ -63,6 +66,47 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_dig
   CASE WHEN strlen(html) >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN strlen(html) >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
 FROM g""",
+    "op11_benchmark_decontamination": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+kinds AS (SELECT DISTINCT k, p FROM windows),
+starts AS (
+  SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS p
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM kinds) WHERE len(w) >= k)),
+found AS (SELECT doc_id, k, s, p FROM starts SEMI JOIN kinds USING (k, p)),
+hits AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(s, s + k)) AS i FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, sha256(string_agg(i, ',' ORDER BY i)) AS h
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found JOIN windows USING (k, p)) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  coalesce(i.h, sha256('')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id""",
+    "op12_collocations": r"""
+WITH p AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY lang, k, g HAVING count(*) >= 100),
+cand AS (
+  SELECT * FROM f s WHERE k >= 2 AND NOT EXISTS (
+    SELECT 1 FROM f b WHERE b.lang = s.lang AND b.k > s.k AND 100 * b.a >= 100 * s.a
+      AND contains(' ' || array_to_string(b.g, ' ') || ' ', ' ' || array_to_string(s.g, ' ') || ' '))),
+cuts AS (SELECT lang, k, g, a, unnest(range(1, k)) AS c FROM cand),
+scored AS (
+  SELECT c.lang, array_to_string(c.g, ' ') AS phrase, c.a, c.c, x.a AS l, y.a AS r, t.n,
+    (1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.c] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.c + 1:c.k]
+  JOIN total t ON t.lang = c.lang),
+least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM least_cut QUALIFY row_number() OVER w <= 2000 WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)""",
 }
 
 

@@ -76,10 +76,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tonegrain.llm.shards import shard, shard_of
 
     text = F.coalesce(F.col("record.text"), F.lit(""))
-    return shard(_table(spark, sf_dir, "documents").select("doc_id", "text"), 16).select(
-        "record.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("int").alias("slot"),
-    ).withColumn("grown_shard", shard_of("doc_id", 17))
+    fields = [F.col("record.doc_id").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+    rows = shard(_table(spark, sf_dir, "documents").select("doc_id", "text"), 16, fields)
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        shard_of("doc_id", 17).alias("grown_shard"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.positions import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tonegrain.llm.collocations import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def _planted(docs: DataFrame) -> DataFrame:
     """doc_id and text, with the repetitions that the query asks for in one text of ten."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tonegrain.llm.common import shared_folder
+from tonegrain.llm.common import shared_folder, written
 
 BUCKET_BYTES = 32 << 20
-_SHARD, _BUCKET, _AT, _ROWS = "__shard", "__bucket", "__at", "__rows"
+_SHARD, _BUCKET, _DRAW, _ROWS = "shard", "bucket", "draw", "rows"
 
 
 def shard_of(key: str, n_shards: int, seed: int = 0) -> Column:
@@ -25,19 +25,21 @@ def shard_of(key: str, n_shards: int, seed: int = 0) -> Column:
 
 
 def scattered(records: DataFrame, size: Column, n_shards: int, key: str, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:
-    """``records`` with shard and bucket, and the number of buckets.
+    """(shard, bucket, draw, record) of all ``records``, and the number of buckets.
 
     A shard gets as many buckets as its bytes need.  Within it a record's bucket hashes its
     place in the input too, so records of one key, or equal records, do not meet in one bucket.
     """
-    sharded = records.withColumn(_SHARD, shard_of(key, n_shards, seed))
-    totals = {r[0]: r[1] or 0 for r in sharded.groupBy(_SHARD).agg(F.sum(size)).collect()}  # n_shards rows
+    sharded = records.select(
+        shard_of(key, n_shards, seed).alias(_SHARD), size.cast("long").alias("size"),
+        F.xxhash64(F.lit(seed), F.col(key), F.monotonically_increasing_id()).alias(_DRAW),
+        F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("record"))
+    totals = {r[0]: r[1] or 0 for r in sharded.groupBy(_SHARD).agg(F.sum("size")).collect()}  # n_shards rows
     counts = [max(1, -(-totals.get(s, 0) // bucket_bytes)) for s in range(n_shards)]
     first = [sum(counts[:s]) for s in range(n_shards)]
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col(_SHARD) + 1)
-    draw = F.xxhash64(F.lit(seed), F.col(key), F.monotonically_increasing_id())
-    bucket = (pick(first) + F.pmod(draw, pick(counts))).cast("int")
-    return sharded.withColumn(_BUCKET, bucket), sum(counts)
+    bucket = (pick(first) + F.pmod(F.col(_DRAW), pick(counts))).cast("int")
+    return sharded.select(_SHARD, bucket.alias(_BUCKET), _DRAW, "record"), sum(counts)
 
 
 def write_shards(
@@ -50,32 +52,44 @@ def write_shards(
     through, nulls included; a null key is a key of its own.  Beside the record's own columns
     (in the struct ``record``, so no name can clash) a row has its bucket and its place in it.
     Repeated rows are all written; an empty table writes no row.
+
+    The shard follows from key and seed alone.  The order within a shard follows from the seed and
+    from where each row stands in the input: a rerun on the same splits gives the same order,
+    while rows that come in other partitions are drawn anew.
     """
-    columns = records.columns
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 64 if size is None else size
-    slim, n_buckets = scattered(records, size.cast("long"), n_shards, key, seed, bucket_bytes)
-    slim = slim.select(_SHARD, _BUCKET, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("record"))
+    slim, n_buckets = scattered(records, size, n_shards, key, seed, bucket_bytes)
     # Bucket i is partition i, so the shuffle of each bucket has a seed of its own, whatever runs where.
-    placed = slim.repartitionById(n_buckets, F.col(_BUCKET))
+    # Rows arrive in any order; they are put in one that a rerun has too.
+    placed = slim.repartitionById(n_buckets, F.col(_BUCKET)).sortWithinPartitions(_BUCKET, _DRAW)
     gathered = placed.groupBy(_BUCKET, _SHARD).agg(F.shuffle(F.collect_list("record"), seed).alias(_ROWS))
-    mixed = gathered.select(F.col(_SHARD).alias("shard"), F.col(_BUCKET).alias("bucket"), F.posexplode_outer(_ROWS).alias("at", "record"))
+    mixed = gathered.select(_SHARD, _BUCKET, F.posexplode_outer(_ROWS).alias("at", "record"))
     mixed.write.mode("errorifexists").partitionBy("shard").parquet(folder)
 
 
-def read_shards(spark, folder: str, schema) -> DataFrame:
-    """(shard, slot, record) of written shards; slots count from 0 in the order of each shard."""
+def read_shards(spark, folder: str, schema, fields: list[Column] | None = None) -> DataFrame:
+    """(shard, slot, record) of written shards; slots count from 0 in the order of each shard.
+
+    ``fields`` are columns to have in the place of ``record``; they are taken from it before slots
+    are added, so that what follows handles no more than them.
+    """
     rows = spark.read.schema(schema).parquet(folder)
-    # A row for each bucket: bounded by the bytes of the corpus over those of a bucket.
-    counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # A row for each bucket: bounded by the bytes of the corpus over those of a bucket.  It is a table of
+    # its own, whose size Spark knows, so that the records need not be shuffled to meet it.
+    counts = written(rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")), "shard-buckets")
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(base, ["shard", "bucket"]).select("shard", (F.col("base") + F.col("at")).alias("slot"), "record")
+    base = written(counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "shard-bases")
+    slim = rows.select("shard", "bucket", "at", F.struct(*(fields or [F.col("record")])).alias("fields"))
+    return slim.join(base, ["shard", "bucket"]).select("shard", (F.col("base") + F.col("at")).alias("slot"), "fields.*")
 
 
-def shard(records: DataFrame, n_shards: int = 16, **options) -> DataFrame:
-    """Write ``records`` to shards in a new shared folder and return them as (shard, slot, record)."""
+def shard(records: DataFrame, n_shards: int = 16, fields: list[Column] | None = None, **options) -> DataFrame:
+    """Write ``records`` to shards in a new shared folder and return them as (shard, slot, record) or with ``fields`` of it.
+
+    Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names: see :func:`write_shards`.
+    """
     folder = shared_folder(records.sparkSession, "shards")
     write_shards(records, folder, n_shards, **options)
     kind = records.select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("record")).schema
     kind.add("bucket", "integer").add("at", "integer").add("shard", "integer")
-    return read_shards(records.sparkSession, folder, kind)
+    return read_shards(records.sparkSession, folder, kind, fields)
