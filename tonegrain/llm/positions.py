@@ -76,11 +76,22 @@ def ranked(index: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- search
+def _starts(index: DataFrame, lists: DataFrame) -> DataFrame:
+    """phrase, row, start wherever the rarest term of a phrase stands at its place.
+
+    The index is first thinned to the rarest terms.  They are a narrow list, and far smaller than the
+    phrases, so it is broadcast where these would have the whole index shuffled.
+    """
+    rarest = lists.select("phrase", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["off"].alias("off"))
+    terms = written(rarest.select("term").distinct(), "rarest_terms")
+    postings = index.select("term", "row", "pos").join(terms, "term", "left_semi")
+    return postings.join(rarest, "term").select("phrase", "row", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0")
+
+
 def phrase_matches(index: DataFrame, lists: DataFrame) -> DataFrame:
     """phrase, row, start, n_terms of every exact occurrence, overlapping ones included."""
     size = F.size("lists")
-    rarest = lists.select("phrase", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["off"].alias("off"))
-    starts = index.join(rarest, "term").select("phrase", "row", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0")
+    starts = _starts(index, lists.where(size > 1))
     # The second list: only postings of the terms that come second somewhere meet the candidates.
     second = lists.where(size > 1).select("phrase", F.col("lists")[1]["term"].alias("term"), F.col("lists")[1]["off"].alias("off"))
     seconds = written(second.select("term").distinct(), "second_terms")
@@ -97,9 +108,12 @@ def phrase_matches(index: DataFrame, lists: DataFrame) -> DataFrame:
     met = needed.join(postings, ["term", "row", "pos"]).groupBy("phrase", "row", "start").agg(F.count(F.lit(1)).alias("met"))
     sizes = lists.select("phrase", size.alias("n_terms"))
     columns = ["phrase", "row", "start", "n_terms"]
-    one = starts.distinct().join(sizes.where("n_terms = 1"), "phrase").select(*columns)
     two = both.join(sizes.where("n_terms = 2"), "phrase").select(*columns)
-    return one.unionByName(two).unionByName(met.join(sizes, "phrase").where("met = n_terms - 2").select(*columns))
+    found = two.unionByName(met.join(sizes, "phrase").where("met = n_terms - 2").select(*columns))
+    single = lists.where(size == 1)
+    if single.isEmpty():
+        return found
+    return found.unionByName(_starts(index, single).distinct().withColumn("n_terms", F.lit(1)).select(*columns))
 
 
 def proximity_matches(index: DataFrame, lists: DataFrame, within: int) -> DataFrame:
@@ -108,8 +122,8 @@ def proximity_matches(index: DataFrame, lists: DataFrame, within: int) -> DataFr
     Order and repetitions of the terms do not matter.  The places meet the other lists by row and
     by cells of ``within`` words, so that only near postings are compared.
     """
-    rarest = lists.select("phrase", F.col("lists")[0]["term"].alias("term"))
-    places = index.join(rarest, "term").select("phrase", "row", "pos").distinct()
+    places = _starts(index, lists.select("phrase", F.transform("lists", lambda x: F.struct(F.lit(0).alias("off"), x["term"].alias("term"))).alias("lists")))
+    places = places.withColumnRenamed("start", "pos").distinct()
     rest = F.array_except(F.array_distinct(F.transform("lists", lambda x: x["term"])), F.array(F.col("lists")[0]["term"]))
     others = lists.select("phrase", rest.alias("rest"))
     alone = places.join(others.where(F.size("rest") == 0).select("phrase"), "phrase", "left_semi")
