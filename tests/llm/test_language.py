@@ -1,9 +1,13 @@
+import math
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 
 from tests.conftest import DATA
 from tests.llm.conftest import rows_of
+from tonegrain.llm import language, queries
 from tonegrain.llm.language import Encoder, identify, learn, learn_letters, with_language, held_out
 from pyspark.sql import functions as F
 
@@ -87,3 +91,54 @@ def test_stray_letters_are_not_known(documents):
     assert set(map(chr, letters.tolist())) == set(EN) - {" "}
     assert (bundles["en"] == learn(documents(*rows).repartition(5), F.lit(True))["en"]).all()
     assert rows_of(with_language(documents(*rows, (held, "ж" * 50, "xx"))), "doc_id") == sorted([(i,) for i in range(30)], key=repr)
+
+
+def plain_bundle(encoder, text):
+    """Bind, permute and bundle by loops."""
+    total = [0] * encoder.dimensions
+    letters = [ord(c.lower()[0]) if c.isalpha() else 0 for c in f" {text} "]
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b:
+            x, y, z = (encoder._vector(v).tolist() for v in (a, b, c))
+            for d in range(encoder.dimensions):
+                total[d] += x[d - 2] * y[d - 1] * z[d]
+    return total
+
+
+def test_bundles_and_cosines_by_loops(monkeypatch):
+    texts = ["Ab ba, ÀB!", "", "日本 日x", "77", "the dog the dog", "ǅ x" * 9]
+    for letters, grams in ((1 << 20, 2048), (4, 3), (7, 1)):
+        monkeypatch.setattr(language, "BLOCK_LETTERS", letters)
+        monkeypatch.setattr(language, "BLOCK_GRAMS", grams)
+        encoder = Encoder(48, seed=3)
+        want = [plain_bundle(encoder, t) for t in texts]
+        found, row, letter, n = encoder.tally(texts)
+        assert found.tolist() == want
+        counted = {}
+        for i, c, k in zip(row.tolist(), letter.tolist(), n.tolist()):
+            counted[i, chr(c)] = counted.get((i, chr(c)), 0) + k
+        assert counted == {(i, c): k for i, t in enumerate(texts) for c, k in Counter(x.lower()[0] for x in t if x.isalpha()).items()}
+    judge = language.Judge({"a": np.array(want[0]), "b": np.array(want[4])}, 48, 3)
+    langs, scores = judge(encoder, texts)
+    for text, lang, score in zip(want, langs, scores):
+        dot = lambda x, y: sum(i * j for i, j in zip(x, y))
+        cosines = {k: dot(text, v) / math.sqrt(dot(text, text) * dot(v, v)) if any(text) else 0 for k, v in (("a", want[0]), ("b", want[4]))}
+        assert lang == (max(cosines, key=cosines.get) if any(text) else "und")
+        assert abs(score - max(0, *cosines.values())) < 1e-5
+
+
+def test_memory_of_a_long_text_in_a_large_script():
+    """4 MB of random Han text: what is held at once does not follow the number of different trigrams."""
+    text = "".join(map(chr, np.random.default_rng(1).integers(0x4E00, 0x9FA5, 1_400_000)))
+    encoder = Encoder()
+    tracemalloc.start()
+    encoder.bundles([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250e6
+
+
+def test_registered_query_types(spark, small):
+    df = queries.queries()["op1_language_id"](spark, small)
+    assert df.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double")]
+    assert df.count() == spark.read.parquet(f"{small}/documents.parquet").count()

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tests.llm.brute import WORD
 from tests.llm.conftest import rows_of
 from tonegrain.llm.line_dedup import dedup_lines
@@ -44,3 +46,12 @@ def test_edges(documents):
     assert rows_of(got, "doc_id", "text") == sorted([
         (1, None), (2, ""), (3, "x\nx\nx\ny"), (4, long), (5, "more"), (None, ""), (7, "a\nb\nc"), (8, "q\nr\ns"), (8, "q\nr\ns")], key=repr)
     assert dedup_lines(documents()).collect() == []
+
+
+def test_other_columns_come_through(documents):
+    docs = documents((1, "a\nb\nc"), (2, "a\nb\nc\nd"), (None, None), more=True)
+    got = dedup_lines(docs, removed="gone")
+    same = [c for c in docs.columns if c != "text"]
+    assert got.columns == [*docs.columns, "gone"] and rows_of(got, *same) == rows_of(docs, *same)
+    with pytest.raises(ValueError):
+        dedup_lines(docs, removed="Covered")

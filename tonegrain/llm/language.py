@@ -29,6 +29,8 @@ MOST_LANGUAGES = 2_000
 UNKNOWN = "und"
 #: Texts whose counts are held at once, a row of trigrams each.
 ROWS = 256
+#: Letters that are looked at at once, and different trigrams whose vectors are held at once.
+BLOCK_LETTERS, BLOCK_GRAMS = 1 << 20, 1 << 11
 #: A cosine of so many times 1 / sqrt(dimensions) is no noise.
 NOISE = 6
 #: A letter is known if a language has it this often among its letters; strays are not.
@@ -49,13 +51,14 @@ class Encoder:
             self.vectors[letter] = bits * np.int8(2) - np.int8(1)
         return self.vectors[letter]
 
-    def trigrams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(vectors and middle letters of the different trigrams, trigram of each letter, text of each letter).
+    def _tallied(self, segments: list[tuple[int, str, bool, bool]], rows: int, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Add the trigrams of (row, text, whether its first and its last letter are neighbours only) to the rows of
+        ``out``; returns the middle letter and the row of each trigram.
 
         A trigram is a lower-case letter between its neighbours; what is not a letter is an edge.
         """
-        codes = np.frombuffer(("\0" + "\0".join(texts) + "\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+        codes = np.frombuffer(("\0" + "\0".join(t for _, t, _, _ in segments) + "\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ends = np.cumsum([len(t) + 1 for _, t, _, _ in segments])
         present = np.flatnonzero(np.bincount(codes))
         lower = {int(c): ord(chr(c).lower()[0]) for c in present if chr(c).isalpha()}
         alphabet = np.array([_EDGE, *sorted(set(lower.values()))], dtype=np.int64)
@@ -63,7 +66,14 @@ class Encoder:
         for code, low in lower.items():
             index[code] = np.searchsorted(alphabet, low)
         letters = index[codes]
-        middle = np.flatnonzero(letters[1:-1]) + 1
+        counted = letters > 0
+        for end, (_, text, first, last) in zip(ends.tolist(), segments):
+            if first:
+                counted[end - len(text)] = False
+            if last:
+                counted[end - 1] = False
+        middle = np.flatnonzero(counted)
+        owner = np.array([row for row, _, _, _ in segments])[np.searchsorted(ends + 1, middle, side="right")]
         k = len(alphabet)
         key = (letters[middle - 1] * k + letters[middle]) * k + letters[middle + 1]
         if k ** 3 <= 1 << 23:
@@ -71,29 +81,53 @@ class Encoder:
             keys, gram = np.flatnonzero(seen), (np.cumsum(seen) - 1)[key]
         else:
             keys, gram = np.unique(key, return_inverse=True)
+        # A block of trigrams at a time: however many different ones a script has, few are held as vectors.
+        order = np.argsort(gram.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32), kind="stable")
+        cuts = np.searchsorted(gram, np.arange(0, len(keys) + BLOCK_GRAMS, BLOCK_GRAMS), sorter=order)
         table = np.stack([self._vector(int(a)) for a in alphabet])
-        first, second, third = keys // (k * k), keys // k % k, keys % k
-        bound = np.roll(table, 2, axis=1)[first] * np.roll(table, 1, axis=1)[second] * table[third]
-        owner = np.searchsorted(np.cumsum(lengths) + 1, middle, side="right")
-        return bound, alphabet[second], gram, owner
-
-    def counts(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(counts of the trigrams in each text or group of texts, vectors, middle letters of the trigrams)."""
-        bound, middle, gram, owner = self.trigrams(texts)
-        if group is not None:
-            owner = group[owner]
-            gram, owner = gram[owner >= 0], owner[owner >= 0]
+        for block, (start, end) in enumerate(zip(cuts, cuts[1:])):
+            own = keys[block * BLOCK_GRAMS:(block + 1) * BLOCK_GRAMS]
+            some = order[start:end]
+            counts = np.bincount(owner[some] * len(own) + gram[some] - block * BLOCK_GRAMS, minlength=rows * len(own)).reshape(rows, len(own))
+            bound = np.roll(table[own // (k * k)], 2, axis=1) * np.roll(table[own // k % k], 1, axis=1) * table[own % k]
+            out += counts.astype(np.float32) @ bound.astype(np.float32)  # whole numbers below 2**24, so exact
+        return alphabet[letters[middle]], owner
+
+    def tally(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bundle of each text or group of texts (group -1: of none), and (row, letter, how often) of their letters.
+
+        Texts are looked at ``BLOCK_LETTERS`` at a time; a longer one is cut, with its neighbours beside each part.
+        """
         rows = n_groups if group is not None else len(texts)
-        counts = np.bincount(owner * len(bound) + gram, minlength=rows * len(bound)).reshape(rows, len(bound))
-        kind = np.float32 if counts.sum() < 1 << 24 else np.float64  # whole numbers, exact either way
-        return counts.astype(kind), bound.astype(kind), middle
+        out = np.zeros((rows, self.dimensions))
+        triples = [np.zeros((0, 3), dtype=np.int64)]
+        held: list[tuple[int, str, bool, bool]] = []
+
+        def done() -> None:
+            if held:
+                letter, owner = self._tallied(held, rows, out)
+                pair, n = np.unique(owner * (1 << 21) + letter, return_counts=True)
+                triples.append(np.stack([pair >> 21, pair & ((1 << 21) - 1), n], axis=1))
+                held.clear()
+
+        size = 0
+        for i, text in enumerate(texts):
+            row = i if group is None else int(group[i])
+            for at in range(0, len(text) if row >= 0 else 0, BLOCK_LETTERS):
+                part = text[max(at - 1, 0):at + BLOCK_LETTERS + 1]
+                if size + len(part) > BLOCK_LETTERS:
+                    done()
+                    size = 0
+                held.append((row, part, at > 0, at + BLOCK_LETTERS < len(text)))
+                size += len(part)
+        done()
+        return out, *np.concatenate(triples).T
 
     def bundles(self, texts: list[str], group: np.ndarray | None = None, n_groups: int = 0) -> np.ndarray:
         """The bundle of each text, or of each group of texts (group -1: of none)."""
         if group is None and len(texts) > ROWS:
             return np.concatenate([self.bundles(texts[k:k + ROWS]) for k in range(0, len(texts), ROWS)])
-        counts, bound, _ = self.counts(texts, group, n_groups)
-        return counts @ bound
+        return self.tally(texts, group, n_groups)[0]
 
 
 def learn(docs: DataFrame, may_learn: Column, dimensions: int = DIMENSIONS, seed: int = 0) -> dict[str, np.ndarray]:
@@ -116,14 +150,13 @@ def learn_letters(docs: DataFrame, may_learn: Column, dimensions: int = DIMENSIO
                 langs = piece.column("lang").to_pylist()
                 names = sorted(set(langs))
                 at = {name: i for i, name in enumerate(names)}
-                counts, bound, middle = encoder.counts(piece.column("text").to_pylist(), np.array([at[x] for x in langs]), len(names))
-                different, place = np.unique(middle, return_inverse=True)
-                for name, row, bundle in zip(names, counts, counts @ bound):
+                bundles, *found = encoder.tally(piece.column("text").to_pylist(), np.array([at[x] for x in langs]), len(names))
+                for name, bundle in zip(names, bundles):
                     sums[name] = sums.get(name, 0) + bundle.astype(np.int64)
-                    held = letters.setdefault(name, {})
-                    for letter, n in zip(different.tolist(), np.bincount(place, weights=row, minlength=len(different)).tolist()):
-                        if n:
-                            held[letter] = held.get(letter, 0) + int(n)
+                    letters.setdefault(name, {})
+                for row, letter, n in zip(*(x.tolist() for x in found)):
+                    held = letters[names[row]]
+                    held[letter] = held.get(letter, 0) + n
         packed = [np.array(sorted(letters[name].items()), dtype=np.int64).tobytes() for name in sums]
         yield pa.RecordBatch.from_arrays([
             pa.array(list(sums), pa.string()), pa.array([s.tobytes() for s in sums.values()], pa.binary()), pa.array(packed, pa.binary()),
@@ -175,10 +208,11 @@ class Judge:
         out: list[bool] = []
         for k in range(0, len(texts) if self.names else 0, ROWS):
             some = texts[k:k + ROWS]
-            counts, bound, middle = encoder.counts(some)
-            langs, scores = self.rated(some, counts @ bound)
-            known = counts @ np.isin(middle, self.letters).astype(counts.dtype)
-            out += [x != UNKNOWN and bool(y) for x, y in zip(langs, (scores > min_score) | (2 * known >= counts.sum(axis=1)))]
+            bundles, row, letter, n = encoder.tally(some)
+            langs, scores = self.rated(some, bundles)
+            total = np.bincount(row, weights=n, minlength=len(some))
+            known = np.bincount(row, weights=n * np.isin(letter, self.letters), minlength=len(some))
+            out += [x != UNKNOWN and bool(y) for x, y in zip(langs, (scores > min_score) | (2 * known >= total))]
         return out or [False] * len(texts)
 
     def rated(self, texts: list[str], found: np.ndarray | None) -> tuple[list[str], np.ndarray]:
@@ -216,7 +250,8 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 0) -> Da
 
     Learned from the rows that are not held out; ``und`` with score 0 where the text is null or
     has no letter, or where no row could be learned from.  Ties go to the language that sorts
-    first.  Repeated rows are judged alike; an empty table gives an empty result.
+    first.  Repeated rows are judged alike; an empty table gives an empty result.  Texts of any
+    length are read whole, a block at a time; other columns are not looked at.
     """
     bundles = learn(docs, ~held_out(), dimensions, seed)
     found = predict(docs, bundles, dimensions, seed)
@@ -230,6 +265,8 @@ def with_language(docs: DataFrame, min_score: float | None = None, dimensions: i
     or if half of its letters or more are known from the learned languages, however short it is.
     Texts without a letter go, and those in letters that nothing was learned from.  An unlearned
     language in a learned script stays.  Rows are judged where they are: nothing is shuffled.
+    Null and empty texts go; repeated rows fare alike, columns of any name come through, null or
+    not, and an empty table, or one that nothing can be learned from, gives no rows.
     """
     least = NOISE / dimensions ** 0.5 if min_score is None else min_score
     bundles, letters = learn_letters(docs, ~held_out(), dimensions, seed)

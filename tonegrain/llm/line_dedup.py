@@ -14,10 +14,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tonegrain.llm.common import SPACES, cut_lineage, pieces
+from tonegrain.llm.common import SPACES, cut_lineage, pieces, written
 
 WINDOW_LINES = 3
-_KEY, _LINES, _COUNT = "__row_key", "__covered", "__removed"
 
 
 def _row_key(doc_id: str, text: str):
@@ -70,32 +69,32 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW_LINES, removed: str | None
     first of a window stays, and of each later one the lines go that are not part of the first
     itself.  A text with fewer than ``width`` lines that are not blank has no window.  All rows
     stay, with an empty text if nothing is left; a null text stays null.  Rows that are equal in
-    doc_id and text count as one occurrence and are treated alike.  All columns are kept;
-    ``removed`` names an optional column with the number of lines that went.
+    doc_id and text count as one occurrence and are treated alike.  All columns are kept, whatever
+    their names; ``removed`` names an optional column with the number of lines that went, and is an
+    error if there is such a column.  Texts of any length are read whole; an empty table stays empty.
     """
-    keyed = docs.withColumn(_KEY, _row_key("doc_id", "text"))
-    slim = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_KEY).alias("key"), "text")
-    gone = covered_lines(slim, width).select(F.col("key").alias(_KEY), F.col("covered").alias(_LINES))
-    joined = keyed.join(gone, _KEY, "left").drop(_KEY)
-    names = [f.name for f in joined.schema.fields]
-    text_at = [n.lower() for n in names].index("text")
+    if removed and removed.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"a column is called {removed} already")
+    keyed = docs.select(_row_key("doc_id", "text").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
+    slim = keyed.select(F.col("record.doc_id").cast("long").alias("doc_id"), "key", F.col("record.text").alias("text"))
+    # A table of its own: where it measures below Spark's threshold, the texts stay where they are.
+    gone = written(covered_lines(slim, width), "covered-lines")
+    joined = keyed.join(gone, "key", "left").select("record", "covered")
+    text_at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            covered = batch.column(len(names) - 1).to_pylist()
-            texts = batch.column(text_at)
+            kind, columns, covered = batch.column(0).type, batch.column(0).flatten(), batch.column(1).to_pylist()
             if any(covered):
-                values = texts.to_pylist()
+                values = columns[text_at].to_pylist()
                 for i, lines in enumerate(covered):
                     if lines:
                         away = set(lines)
                         values[i] = "\n".join([x for k, x in enumerate(values[i].split("\n")) if k not in away])
-                texts = pa.array(values, texts.type)
+                columns[text_at] = pa.array(values, columns[text_at].type)
             counts = pa.array([len(c) if c else 0 for c in covered], pa.int64())
-            columns = [texts if i == text_at else batch.column(i) for i in range(len(names) - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, counts], schema=pa.schema(
-                [*[batch.schema.field(i) for i in range(len(names) - 1)], pa.field(_COUNT, pa.int64())]))
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=list(kind)), counts], ["record", "removed"])
 
-    schema = T.StructType([*joined.schema.fields[:-1], T.StructField(_COUNT, T.LongType())])
+    schema = T.StructType([T.StructField("record", docs.schema, False), T.StructField("removed", T.LongType())])
     out = joined.mapInArrow(run, schema)
-    return out.withColumnRenamed(_COUNT, removed) if removed else out.drop(_COUNT)
+    return out.select("record.*", *([F.col("removed").alias(removed)] if removed else []))

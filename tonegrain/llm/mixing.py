@@ -154,9 +154,16 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, all columns kept."""
+    """The rows of ``docs`` as often as the mix takes them, all columns kept, whatever their names.
+
+    Texts that are null or empty have size 0 and are taken by their source's share like others;
+    a null source is a source, a null doc_id an id.  Texts of any length count by their words.
+    Rows equal in doc_id, source and size are taken alike.  An empty table gives no rows.
+    """
     taken = mix(docs, **options).where("times > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("times").alias("__times"))
-    keyed = docs.withColumn("__words", word_count(F.col("text")))
-    joined = keyed.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size")))
-    return joined.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*[docs[c] for c in docs.columns])
+        F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "times")
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.col("doc_id").cast("long").alias("id"),
+        F.col("source").alias("from"), word_count(F.col("text")).alias("words"))
+    joined = keyed.join(taken, F.col("id").eqNullSafe(F.col("of_id")) & F.col("from").eqNullSafe(F.col("of_source")) & (F.col("words") == F.col("of_size")))
+    return joined.select("record", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("record.*")

@@ -212,12 +212,13 @@ def repeated_grams(docs: DataFrame, width: int, n_parts: int, hot: dict[int, int
         })
 
     blocks = docs.select("doc_id", "text").mapInArrow(scatter, _BLOCK)
-    return blocks.groupBy("part").applyInArrow(
+    # Part i is partition i: parts do not meet in one task, however many there are.
+    return blocks.repartitionById(n_parts, "part").groupBy("part").applyInArrow(
         count, "part int, classes binary, sizes binary, grams binary, frequencies binary"
     )
 
 
-def survivors(repeated: DataFrame, threshold: Fraction) -> DataFrame:
+def survivors(repeated: DataFrame, threshold: Fraction, n_parts: int) -> DataFrame:
     """(class, n, u, hist, grams): classes whose prefix holds a repeated n-gram.
 
     n: size of the set; u: how many of it no other class has; grams: the others, rarest first;
@@ -251,7 +252,7 @@ def survivors(repeated: DataFrame, threshold: Fraction) -> DataFrame:
             "grams": pa.array(lists, pa.list_(pa.int64())),
         })
 
-    return repeated.groupBy("part").applyInArrow(gather, "class long, n int, u int, hist array<int>, grams array<long>")
+    return repeated.repartitionById(n_parts, "part").groupBy("part").applyInArrow(gather, "class long, n int, u int, hist array<int>, grams array<long>")
 
 
 def _prefix_rows(sets: DataFrame, threshold: Fraction) -> DataFrame:
@@ -365,7 +366,7 @@ def _grouped(docs: DataFrame, threshold: Fraction | float | str, width: int) ->
     # At most HOT_SHARE n-grams (times the share of copies that several tasks count) can pass the limit.
     hot = {r["id"]: r["n"] for r in counted.collect()}
     n_parts = max(36, -(-total // RANGE_GRAMS))
-    sets = survivors(repeated_grams(docs, width, n_parts, hot), threshold)
+    sets = survivors(repeated_grams(docs, width, n_parts, hot), threshold, n_parts)
     links = similar_classes(sets, threshold)
     parts = connected_components(links).select(F.col("node").alias("class"), "component").join(classes, "class")
     parts = cut_lineage(parts.select("class", "component", "first"))
@@ -395,20 +396,19 @@ def near_duplicate_groups(
     )
 
 
-def _with_class(docs: DataFrame, name: str, width: int) -> DataFrame:
-    """``docs`` with the class of each row as a last column ``name``."""
+def _with_class(docs: DataFrame, width: int) -> DataFrame:
+    """(record, class): every row of ``docs`` as a struct, and its class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = batch.select(list(range(1, batch.num_columns)))
             slim = pa.RecordBatch.from_arrays([batch.column(0), pa.array(range(batch.num_rows), pa.int64())], ["text", "doc_id"])
             for at, _, _, signs in _sets(slim, width):
                 found = pa.array([None if s is None else _class_id(s) for s in signs], pa.int64())
-                part = whole.slice(at[0].as_py(), len(at))
-                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at[0].as_py(), len(at)), found], names=["record", "class"])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
-    return docs.select(F.col("text").cast("string").alias("__text"), "*").mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("record", docs.schema), T.StructField("class", T.LongType())])
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.col("text").cast("string").alias("text"), record.alias("record")).mapInArrow(run, schema)
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: Fraction | float | str = Fraction(4, 5), width: int = SHINGLE_WORDS) -> DataFrame:
@@ -421,7 +421,8 @@ def drop_near_duplicates(docs: DataFrame, threshold: Fraction | float | str = Fr
 
     The ids whose rows all go are written first: where they measure below Spark's threshold they
     are broadcast, and the texts are not shuffled.  Only rows of ids of which some go and some
-    stay are hashed again.
+    stay are hashed again.  Texts of any length are read whole, columns of any name come through
+    in their order, and an empty table stays empty.
     """
     rows, of_class = _grouped(docs, threshold, width)
     pairs = rows.groupBy("doc_id", "class").agg(F.count(F.lit(1)).alias("times")).join(of_class, "class", "left")
@@ -431,16 +432,15 @@ def drop_near_duplicates(docs: DataFrame, threshold: Fraction | float | str = Fr
         F.bool_and(goes).alias("all_go"), F.bool_or(goes | (F.col("class").isNotNull() & (F.col("times") > 1))).alias("some_go"))
     judged = written(judged.where("some_go").select("doc_id", (F.col("all_go") & F.col("doc_id").isNotNull()).alias("all_go")), "near-duplicates")
     mixed = judged.where("not all_go").select("doc_id")
-    left = docs.join(judged.where("doc_id is not null").select("doc_id"), "doc_id", "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]  # a join by name would move doc_id to the front
+    left = docs.join(judged.where("doc_id is not null").select("doc_id"), "doc_id", "left_anti").select(*columns)
     if mixed.isEmpty():
         return left
-    name = "__class"
-    again = docs.join(mixed, "doc_id", "left_semi")
+    again = docs.join(mixed, "doc_id", "left_semi").select(*columns)
     if not mixed.where("doc_id is null").isEmpty():
         left, again = left.where("doc_id is not null"), again.union(docs.where("doc_id is null"))
-    again = _with_class(again, name, width)
-    stay = written(of_class.where("class = chosen").select(F.col("class").alias(name), F.col("component").alias("__id")), "near-duplicate-rows")
-    some = again.join(stay, name).where(F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = some.groupBy(name).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
-    return left.union(one).union(again.where(F.col(name).isNull()).drop(name))
+    again = _with_class(again, width)
+    stay = written(of_class.where("class = chosen").select("class", F.col("component").alias("id")), "near-duplicate-rows")
+    some = again.join(stay, "class").where(F.col("record.doc_id").cast("long").eqNullSafe(F.col("id")))
+    one = some.groupBy("class").agg(F.min_by("record", F.xxhash64("record")).alias("record"))
+    return left.union(one.select("record.*")).union(again.where(F.col("class").isNull()).select("record.*"))

@@ -106,7 +106,7 @@ scored AS (
   JOIN total t ON t.lang = c.lang),
 least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
 SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
-FROM least_cut QUALIFY row_number() OVER w <= 2000 WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)""",
+FROM least_cut WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000""",
 }
 
 
