@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,18 @@ def lines_of(df):
     return [r.line for r in rows]
 
 
+@contextmanager
+def small_splits(spark, size):
+    """Cut files into splits of so many bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def both_ways(spark, path, **options):
     """Lines read as whole files, and read by splits; they must agree."""
     whole = lines_of(src.read_lines(spark, path, **options))
@@ -42,7 +55,23 @@ def test_encodings(spark, tmp_path):
     p = put(tmp_path, "a.txt", "café\nnaïve".encode("latin-1"))
     assert both_ways(spark, p, encoding="ISO-8859-1") == ["café", "naïve"]
     p = put(tmp_path, "b.txt", "café\nnaïve".encode("utf-16"))
-    assert lines_of(src.read_lines(spark, p, encoding="UTF-16")) == ["café", "naïve"]
+    assert both_ways(spark, p, encoding="UTF-16") == ["café", "naïve"]
+
+
+@pytest.mark.parametrize("charset, mark", [("UTF-16BE", b""), ("UTF-16", b"\xff\xfe"), ("UTF-32", b""), ("UTF-32", b"\xff\xfe\0\0")])
+def test_wide_charsets_by_splits(spark, tmp_path, charset, mark):
+    """Letters whose bytes look like a line feed between them, cut into splits of a few bytes."""
+    plain = charset[:6] + ("LE" if mark[:1] == b"\xff" else "BE")
+    rnd = random.Random(len(charset))
+    text = "".join(rnd.choice(["\u0a05", "\u0a00", "\u1000", "\u000a", "a", "\n", "\r\n", "\r", " ", "é", "\U0001f600", "\u0d0a"]) for _ in range(200))
+    p = put(tmp_path, "w.txt", mark + text.encode(plain))
+    want = [x.strip() for x in text.replace("\r\n", "\n").replace("\r", "\n").split("\n") if x.strip()]
+    assert lines_of(src.read_lines(spark, p, encoding=charset)) == want
+    csv_text = "".join(rnd.choice(['"\u0a05\n\u1000",', "b,", "\n", '"x\r\ny"\n']) for _ in range(25))
+    q = put(tmp_path, "w.csv", mark + csv_text.encode(plain))
+    with small_splits(spark, 101):
+        assert lines_of(src.read_lines(spark, p, encoding=charset, whole_file_limit=0)) == want
+        assert lines_of(src.read_lines(spark, q, encoding=charset, whole_file_limit=0)) == records_of(csv_text)
 
 
 CSV_TEXT = (
@@ -70,9 +99,52 @@ def test_quoted_line_break(spark, tmp_path):
     p = put(tmp_path, "a.csv", text)
     import io
     want = [" ".join(c.strip() for c in row if c.strip()) for row in csv.reader(io.StringIO(text, newline=""))]
-    assert lines_of(src.read_lines(spark, p)) == want
-    with pytest.raises(Exception, match="line break inside quotes"):
-        src.read_lines(spark, p, whole_file_limit=0).collect()
+    assert both_ways(spark, p) == want
+
+
+def records_of(text, sep=","):
+    import io
+    rows = [" ".join(c.strip() for c in r if c.strip()) for r in csv.reader(io.StringIO(text, newline=""), delimiter=sep)]
+    return [r for r in rows if r]
+
+
+@pytest.mark.parametrize("size", [11, 300])
+def test_records_across_splits(spark, tmp_path, size):
+    """Random files with quoted line breaks of all kinds, cut into splits of a few bytes."""
+    rnd = random.Random(size)
+    texts = {f"f{i}.csv": "".join(rnd.choice(['a', 'b ', ',', '"', '"', '""', '\n', '\r\n', 'é', '\r', ' "x', '",']) for _ in range(rnd.randint(0, 60 if size < 50 else 400))) for i in range(10)}
+    texts["long.csv"] = "".join(f'{i},"two\nlines, {i}",end\n' if i % 7 else f"plain,{i},x\n" for i in range(size // 5 + 10))
+    texts["open.csv"] = "a,b\n" * 9 + 'c,"never\nclosed\n' + "d,e\n" * 9
+    for name, text in texts.items():
+        put(tmp_path, name, text)
+    with small_splits(spark, size):
+        rows = src.read_lines(spark, str(tmp_path), whole_file_limit=0).collect()
+    for name, text in texts.items():
+        own = sorted((r.line_no, r.line) for r in rows if r.file_name == name)
+        assert [line for _, line in own] == records_of(text), (name, text)
+        assert [n for n, _ in own] == list(range(len(own)))
+
+
+def test_many_records_across_lines(spark, tmp_path):
+    """Too many for a broadcast: the splits are gathered again, with the same lines."""
+    text = "".join(f'"r{i}\n{i}",x\nplain {i}\n' for i in range(300))
+    path = put(tmp_path, "a.tsv", text.replace(",", "\t"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert both_ways(spark, path) == records_of(text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_text_is_shuffled_once(spark, tmp_path):
+    """Lines of large files move for their chunks alone, not to meet the offsets of their splits."""
+    path = put(tmp_path, "a.txt", "some line\n" * 5000)
+    chunks = src.read_chunks(spark, path, whole_file_limit=0)
+    chunks.collect()
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert final.count(" Exchange ") == 1 and "SortMergeJoin" not in final
 
 
 def test_random_csv_agrees_with_a_csv_reader(spark):
@@ -136,6 +208,49 @@ def test_json_texts(spark):
         assert row.x == expected_json(JSON_TEXTS[row.i]), JSON_TEXTS[row.i]
 
 
+JSON_FILES = [
+    *JSON_TEXTS, '[1, 2,]', '[1, 2],', '[1] x', '[1][2]', '[{"a": "x, y ] \\\\"}, "b\\", [", {"c": [1, {"d": "}"}]}]', '[]', ' [ ] ', '["only"]', "[,]", "[1}", "{]", '["a",,"b"]',
+    '\n [ {"a": 1} ,\n "s,t" , [1, 2], {"b": {"c": [",", "]"]}} ]\n', '{"a": [1, 2,\n 3], "b": "x,y"}\n', '{"a": 1}\n{"b": "u, v"}\n\n[1, 2]\n"z"', "plain, text\nmore", '["unclosed, "x"]',
+]
+
+
+@pytest.mark.parametrize("size", [40, 150])
+def test_json_by_splits(spark, tmp_path, size):
+    """Arrays, single values and newline-delimited text, cut into splits of a few bytes."""
+    texts = {f"j{i}.json": t for i, t in enumerate(JSON_FILES) if t}
+    texts["large.json"] = json.dumps([{"n": i, "t": f'q", [{{ {i}', "l": [i, "x"]} if i % 3 else f"s, {i}" for i in range(size // 5 + 10)], indent=1)
+    for name, text in texts.items():
+        put(tmp_path, name, text)
+    put(tmp_path, "mark.json", b'\xef\xbb\xbf["a", "b"]')
+    put(tmp_path, "wide.JSON", "[\"é, x\", {\"k\": \"\u2c00\"}]".encode())
+    whole = {}
+    for r in src.read_lines(spark, str(tmp_path)).collect():
+        whole.setdefault(r.file_name, []).append((r.line_no, r.line, r.total_lines))
+    with small_splits(spark, size):
+        rows = src.read_lines(spark, str(tmp_path), whole_file_limit=0).collect()
+    split = {}
+    for r in rows:
+        split.setdefault(r.file_name, []).append((r.line_no, r.line, r.total_lines))
+    for name in {*whole, *split}:
+        assert sorted(split.get(name, [])) == sorted(whole.get(name, [])), (name, texts.get(name))
+    assert [line for _, line, _ in sorted(split["large.json"])] == expected_json(texts["large.json"])
+
+
+@pytest.mark.parametrize("size", [30, 100])
+def test_markup_by_splits(spark, tmp_path, size):
+    rnd = random.Random(size)
+    bits = ["<b>", "</b>", "<a href='x>y'>", "<>", "<<p>>", " ", "\n", ". ", "! ", "?\n", ".", "word and more words", "é\u2003", "x < y", "a > b", "<br\n/>", "<"]
+    for i in range(10):
+        put(tmp_path, f"m{i}.html", "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40 if size < 50 else 200))))
+    put(tmp_path, "end.xml", "<r>First sentence here. Second one is here</r>")
+    put(tmp_path, "mark.xml", b"\xef\xbb\xbfThe first sentence. The second <i>one")
+    read = lambda **o: sorted((r.file_name, r.line_no, r.line, r.total_lines) for r in src.read_lines(spark, str(tmp_path), **o).collect())
+    whole = read()
+    with small_splits(spark, size):
+        assert read(whole_file_limit=0) == whole
+    assert len(whole) > 15
+
+
 def test_json_files(spark, tmp_path):
     lines = '{"a": 1}\n "s" \n{bad\n7\n\n{"b": "x", "c": false}\n'
     assert lines_of(src.read_lines(spark, put(tmp_path, "a.json", JSON_TEXTS[0]))) == expected_json(JSON_TEXTS[0])

@@ -43,13 +43,13 @@ def record_to_line(record: Column | str, sep: str = ",") -> Column:
     return _join_cells(_cells(as_column(record), sep))
 
 
-def has_open_quote(record: Column | str, sep: str = ",") -> Column:
-    """True when a quoted cell does not end on this physical line."""
-    r = as_column(record)
+def open_at_end(text: Column | str, sep: str = ",") -> Column:
+    """True when a text that starts between records ends inside a quoted cell."""
+    c = as_column(text)
     s = "\\t" if sep == "\t" else sep
-    return r.contains('"') & r.rlike(
-        rf'\A(?:(?:{_quoted(s, "")}|[^{s}]*+){s})*+"[^"]*+(?:""[^"]*+)*+\z'
-    )
+    closed = rf'"[^"]*+(?:""[^"]*+)*+"[^{s}\r\n]*+'
+    cell = rf'(?:{closed}|[^"{s}\r\n][^{s}\r\n]*+|)'
+    return c.contains('"') & c.rlike(rf'\A(?:{cell}[{s}\r\n])*+"[^"]*+(?:""[^"]*+)*+\z')
 
 
 def delimited_lines(content: Column | str, sep: str = ",") -> Column:
@@ -153,18 +153,22 @@ def json_line(text: Column | str) -> Column:
     return let(strip(text), rule)
 
 
+def _element_line(value: Column, kind: Column, text: Column) -> Column:
+    """The line of one element of a JSON array: strings stripped (empty ones kept), objects as their values."""
+    return F.when(kind == "STRING", strip(value)).when(kind.startswith("OBJECT"), F.nullif(object_to_line(text), F.lit("")))
+
+
+def json_element_line(text: Column | str) -> Column:
+    """One element of a JSON array, as JSON text -> its line, or NULL when it gives none."""
+    return let(strip(as_column(text)), lambda t: _element_line(
+        _root(t, "string"), F.when(_first_char(t) == '"', F.lit("STRING")).when(_first_char(t) == "{", F.lit("OBJECT")), t))
+
+
 def _array_lines(text: Column) -> Column:
-    """Lines of a JSON array: strings stripped (empty ones kept), objects as their values."""
+    """Lines of a JSON array."""
     texts = F.from_json(text, "array<string>")
     kinds = F.transform(F.from_json(text, "array<variant>"), lambda v: F.schema_of_variant(v))
-
-    def item(value: Column, kind: Column) -> Column:
-        return (
-            F.when(kind == "STRING", strip(value))
-            .when(kind.startswith("OBJECT"), F.nullif(object_to_line(value), F.lit("")))
-        )
-
-    return F.array_compact(F.zip_with(texts, kinds, item))
+    return F.array_compact(F.zip_with(texts, kinds, lambda value, kind: _element_line(value, kind, value)))
 
 
 def json_lines(content: Column | str) -> Column:

@@ -23,8 +23,14 @@ def word_scores(
 ) -> DataFrame:
     """Sum of ``weight`` over the words of each text, for lexicons too large for an expression.
 
-    Words are counted per text first, so a word costs one row for each text that has it.
+    Tokens meet the lexicon before anything is grouped: a small lexicon is broadcast, and only
+    its words, and one mark of each text, go on to the sum.  Weights add up as decimals of nine places,
+    so the sum does not depend on the order of tasks.
     """
-    words = each(texts, key, lower_tokens(text_col), word_col).groupBy(*key, word_col).agg(F.count(F.lit(1)).alias("n"))
-    scored = words.join(lexicon.select(word_col, "weight"), word_col).groupBy(*key).agg(F.sum(F.col("n") * F.col("weight")).alias("weight"))
-    return texts.select(*key).join(scored, key, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    # The mark of a text is no token, and spread, so that marks do not meet in one task where tokens are shuffled.
+    mark = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*key), F.lit(4096)).cast("string"))
+    tokens = F.concat(F.coalesce(lower_tokens(text_col), F.array().cast("array<string>")), F.array(mark))
+    words = lexicon.where(~F.startswith(F.col(word_col), F.lit("\0"))).select(word_col, F.col("weight").cast("decimal(28,9)").alias("weight"))
+    met = each(texts, key, tokens, word_col).join(words, word_col, "left")
+    met = met.where(F.col("weight").isNotNull() | F.startswith(F.col(word_col), F.lit("\0")))
+    return met.groupBy(*key).agg(F.coalesce(F.sum("weight").cast("double"), F.lit(0.0)).alias("weight"))

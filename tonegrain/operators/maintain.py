@@ -3,34 +3,41 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tonegrain.operators.records import ORDER_KEY
+from tonegrain.session import shared_table
 
 
 def dedup(records: DataFrame, key: list[str] | None = None,
           group: tuple[str, str] = ("file_path", "chunk_text")) -> DataFrame:
     """Keep the earliest row per ``(file_path, chunk_text)``, across batches.
 
-    First the smallest key of each group is found on narrow rows, with a 256-bit digest in the
-    place of the text; a group with a third of all rows sends one row per task.  Then whole
-    rows meet these keys, spread by the key, so the group is spread too.  Rows equal in key and
-    group are told apart by nothing, and one of them stays.
+    Groups of several rows are found on narrow rows, with a 256-bit digest in the place of the
+    text, and written with their smallest key; a group with a third of all rows sends one row per
+    task.  Whole rows only meet this list: where it measures below Spark's threshold it is broadcast
+    and no text is shuffled.  Rows equal in key and group are told apart by nothing, and one of
+    them stays.
     """
     order = key or ORDER_KEY
     file_col, text_col = group
-    digest = F.unhex(F.sha2(F.col(text_col), 256)).alias("_digest")
-    lead = [F.col(c).alias(f"_{i}") for i, c in enumerate(order)]
-    firsts = records.select(F.col(file_col).alias("_file"), digest, F.struct(*lead).alias("_key")).groupBy("_file", "_digest").agg(
-        F.min("_key").alias("_key")).select("_file", F.col("_digest").alias("_first"), "_key.*")
-    rows = records.withColumn("_digest", F.unhex(F.sha2(F.col(text_col), 256)))
-    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(order)]
-    test = reduce(lambda a, b: a & b, [*same, F.col("_digest").eqNullSafe(F.col("_first")), F.col(file_col).eqNullSafe(F.col("_file"))])
-    one = Window.partitionBy(*order, file_col, "_digest").orderBy(F.lit(0))
-    kept = rows.join(firsts, test, "left_semi").withColumn("_turn", F.row_number().over(one))
-    return kept.filter("_turn = 1").select(*records.columns)
+    digest = F.unhex(F.sha2(F.col(text_col), 256))
+    rows = records.select(F.col(file_col).alias("_file"), digest.alias("_of"), F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]).alias("_key"))
+    counted = rows.groupBy("_file", "_of", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    groups = counted.groupBy("_file", "_of").agg(F.min_by(F.struct("_key", "_n"), "_key").alias("_first"), F.sum("_n").alias("_rows")).where("_rows > 1")
+    repeated = shared_table(groups.select("_file", "_of", "_first._key", F.col("_first._n").alias("_ties")), "repeated-rows")
+    ties = repeated.agg(F.max("_ties")).first()[0]
+    if ties is None:
+        return records
+    keyed = records.withColumn("_digest", digest)
+    own = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)])
+    met = keyed.join(repeated, F.col("_digest").eqNullSafe(F.col("_of")) & F.col(file_col).eqNullSafe(F.col("_file")), "left")
+    stays = F.col("_ties").isNull() | own.eqNullSafe(F.col("_key"))
+    if ties == 1:
+        return met.where(stays).select(*records.columns)
+    tied = met.where(own.eqNullSafe(F.col("_key")) & (F.col("_ties") > 1)).dropDuplicates(["_file", "_digest"])
+    return met.where(stays & F.coalesce(F.col("_ties") == 1, F.lit(True))).unionByName(tied).select(*records.columns)
 
 
 def cutoff(as_of: Column | datetime | str, days: int = 30) -> Column:

@@ -502,10 +502,10 @@ def batch_progress(spark, sf):
     lines = documents(spark, sf).select(
         "batch_id", "file_name", F.size(tx.clean_lines("text")).cast("long").alias("total_lines")
     )
-    # Chunks of every fifth processing day are still to come, and one batch has no line at all.
-    done = document_chunks_scored(spark, sf).filter(F.dayofmonth("processed_at") % 5 != 0)
+    # Every chunk counts.  The batches src1* expect another 700 lines of each file, and one batch has no line at all.
+    more = F.when(F.col("batch_id").startswith("src1"), 700).otherwise(0)
     blank = spark.createDataFrame([("blank", "blank.txt", 0)], lines.schema)
-    return jobs.batch_progress(done, lines.union(blank))
+    return jobs.batch_progress(document_chunks_scored(spark, sf), lines.withColumn("total_lines", F.col("total_lines") + more).union(blank))
 
 
 @query

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "tonegrain") -> SparkSession:
@@ -49,3 +50,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tonegrain-"))
     return context.getCheckpointDir()
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, read from a table in the shared folder from now on.
+
+    Spark then knows the size of a small side before it plans a join, and a lost executor costs a
+    read, not the work behind it.
+    """
+    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """Bytes below which Spark itself broadcasts a table."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -44,11 +44,15 @@ def read_records(spark: SparkSession, path: str, batch_id: str | None = None) ->
     return table.filter(F.col("batch_id") == batch_id) if batch_id else table
 
 
+def folder_of(spark: SparkSession, path: str):
+    """File system and path object of a folder in any store Spark can reach."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists and is not empty, in any store Spark can reach."""
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    """Whether a folder exists and is not empty."""
+    system, place = folder_of(spark, path)
     return bool(system.exists(place)) and len(system.listStatus(place)) > 0
 
 

@@ -9,7 +9,7 @@ from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
 from tonegrain.operators.chunking import explode_chunks
 from tonegrain.operators.records import RECORD_COLUMNS, chunk_records
 from tonegrain.operators.stats import mean_score
-from tonegrain.operators.store import append_new
+from tonegrain.operators.store import commit_rows
 from tonegrain.session import checkpoint_dir
 from tonegrain.sources.formats import FORMATS
 
@@ -51,12 +51,13 @@ def with_progress(records: DataFrame, observation: str = "progress") -> DataFram
 def start_append(records: DataFrame, path: str, name: str, **trigger) -> StreamingQuery:
     """Append scored records to the chunk table; progress is kept in the shared checkpoint folder.
 
-    Each micro-batch goes through the batch writer, so the table can be filled by streams and by
-    batch jobs alike, and a micro-batch that runs again after a failure adds nothing twice.
+    A micro-batch is committed under the name of the query and its own number: one that runs again
+    after a failure replaces what it left, and no stored row is read.  The table can be filled by
+    streams and by batch jobs alike.
     """
     spark = records.sparkSession
     return (
-        records.writeStream.foreachBatch(lambda rows, _: append_new(rows.select(*RECORD_COLUMNS), path, ["batch_id"]))
+        records.writeStream.foreachBatch(lambda rows, number: commit_rows(rows.select(*RECORD_COLUMNS), path, name, number))
         .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}")
         .trigger(**(trigger or {"availableNow": True})).start()
     )
