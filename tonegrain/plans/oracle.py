@@ -240,7 +240,19 @@ def _fold_ascii(x: str) -> str:
     return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+#: Queries that answer another one's question by other means, from what was stored or kept.
+SAME_RESULT = {
+    "q_kept_statistics": "q_stats_by_batch", "q_kept_top_positive": "q_top_positive", "q_kept_keyword_counts": "q_keyword_counts",
+    "q_completions": "q_suggest", "q_search_indexed": "q_search_keyword", "q_dedup_in_place": "q_dedup_chunks", "q_archive_in_place": "q_archive_moved",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    found = _own_sql()
+    return found | {name: found[like] for name, like in SAME_RESULT.items()}
+
+
+def _own_sql() -> dict[str, str]:
     labels = "(VALUES (0, 'positive'), (1, 'negative'), (2, 'neutral')) AS l(o, sentiment_label)"
     buckets = ("(VALUES (0, '< -0.6'), (1, '-0.6 to -0.3'), (2, '-0.3 to 0'), (3, '0 to 0.3'), "
                "(4, '0.3 to 0.6'), (5, '> 0.6')) AS b(position, bucket)")

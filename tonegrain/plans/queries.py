@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,7 +11,7 @@ from tonegrain.functions.patterns import pattern_matches, tags
 from tonegrain.functions.scoring import char_count, hits_sql, negation_sql, sentiment, with_preview, word_count
 from tonegrain.functions.sql import is_in
 from tonegrain.lexicon import DEFAULT_LEXICON as LEX
-from tonegrain.operators import dashboard, jobs, maintain, search, stats, store
+from tonegrain.operators import dashboard, gram_index, jobs, maintain, search, stats, store, summaries, swap
 from tonegrain.operators.chunking import chunk_index, chunk_size
 from tonegrain.operators.lookup import lexicon_counts, word_scores
 from tonegrain.operators.records import filterable
@@ -21,7 +20,7 @@ from tonegrain.plans.tables import (
     conversation_lines_scored, document_chunks, document_chunks_scored, documents, feedback, feedback_chunks_scored,
     feedback_lines_scored, feedback_numbered, page_sentences_scored, table,
 )
-from tonegrain.session import checkpoint_dir
+from tonegrain.session import shared_folder
 from tonegrain.sources.lines import lines_from_column
 from tonegrain.sources.tables import read_records, rows_to_lines, spread
 from tonegrain.streaming.live import score_by_window
@@ -224,7 +223,7 @@ def scored_labels(spark, sf):
 @query
 def stored_batches(spark, sf):
     """Write the scored lines, replace one batch, and read the table back."""
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    folder = shared_folder(spark, "stored")
     lines = feedback_lines_scored(spark, sf).withColumn("batch_id", F.concat(F.lit("00"), F.substring("batch_id", 2, 1)))
     store.write_chunks(lines, folder)
     store.replace_batch(lines.filter("batch_id = '002' and sentiment_label = 'negative'"), folder, "002")
@@ -233,6 +232,61 @@ def stored_batches(spark, sf):
     return _rounded(rows).select("batch_id", "total_chunks", "total_words", "avg_score")
 
 
+def _stored(spark, records: DataFrame) -> str:
+    """The path of a new chunk table that holds the records."""
+    folder = shared_folder(spark, "stored")
+    store.write_chunks(records, folder)
+    return folder
+
+
+def _summarised(spark, records: DataFrame) -> str:
+    """The path of new summaries of the records' batches."""
+    folder = shared_folder(spark, "summaries")
+    summaries.summarise(records, folder)
+    return folder
+
+
+@query
+def kept_statistics(spark, sf):
+    return _rounded(summaries.kept_statistics(spark, _summarised(spark, feedback_lines_scored(spark, sf)), by=["batch_id"]))
+
+
+@query
+def kept_top_positive(spark, sf):
+    return summaries.kept_top(spark, _summarised(spark, feedback_lines_scored(spark, sf)), "positive", 10)
+
+
+@query
+def kept_keyword_counts(spark, sf):
+    return summaries.kept_counts(spark, _summarised(spark, document_chunks_scored(spark, sf)), "keyword")
+
+
+@query
+def completions(spark, sf):
+    return summaries.completions(spark, _summarised(spark, document_chunks_scored(spark, sf)), "Th")
+
+
+@query
+def search_indexed(spark, sf):
+    folder, index = _stored(spark, feedback_lines_scored(spark, sf)), shared_folder(spark, "grams")
+    gram_index.update_index(spark, folder, index)
+    return _hit(gram_index.search_indexed(spark, folder, index, "Not VERY"))
+
+
+@query
+def dedup_in_place(spark, sf):
+    folder = _stored(spark, feedback_lines_scored(spark, sf))
+    swap.dedup_stored(spark, folder)
+    return _hit(read_records(spark, folder))
+
+
+@query
+def archive_in_place(spark, sf):
+    folder, archive = _stored(spark, feedback_lines_scored(spark, sf)), shared_folder(spark, "archive")
+    swap.archive_stored(spark, folder, archive, "2024-02-15 13:00:00", 30)
+    return _hit(read_records(spark, archive))
+
+
 @query
 def raw_score(spark, sf):
     scored = feedback(spark, sf).select("event_id", sentiment("line").alias("s"))

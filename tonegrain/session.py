@@ -52,13 +52,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read from a table in the shared folder from now on.
 
     Spark then knows the size of a small side before it plans a join, and a lost executor costs a
     read, not the work behind it.
     """
-    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
