@@ -1,11 +1,12 @@
 import random
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from tonegrain.functions.scoring import with_preview
+from tonegrain.functions.scoring import sentiment, with_preview
 from tonegrain.functions.text import highlight
 from tonegrain.operators import dashboard, jobs, lookup, maintain, search, stats, store, swap
 from tonegrain.operators.records import ORDER_KEY, RECORD_COLUMNS, chunk_records, line_records
@@ -341,3 +342,27 @@ def test_a_micro_batch_again_adds_nothing(spark, records, tmp_path):
     assert read_records(spark, path).count() == 80 + 5 + 5
     store.write_chunks(records, path)                       # batch jobs replace what streams left
     assert read_records(spark, path).count() == 120
+
+
+def test_sentiment_by_a_lexicon_table(spark):
+    """Value by value what the expression gives, on texts heavy in modifiers, pairs and negations."""
+    rnd = random.Random(8)
+    words = ["good", "bad", "very", "not", "a", "bit", "kind", "of", "little", "so", "awful", "slightly", "never", "excellent", "x", "Kind", "is"]
+    texts = [(i, None if i == 0 else " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 14)))) for i in range(600)] + [(600, " ,. ")]
+    df = spark.createDataFrame(texts, "id long, chunk_text string").repartition(3)
+    got = {r.id: tuple(r)[1:] for r in lookup.sentiment_by_table(df, ["id"], lookup.lexicon_table(spark)).collect()}
+    want = {r.id: tuple(r.s) for r in df.select("id", sentiment("chunk_text").alias("s")).collect()}
+    assert got == want and sum(bool(v[5]) for v in want.values()) > 50
+
+
+def test_sentiment_by_a_lexicon_of_100_000_words(spark, monkeypatch):
+    from tests import rules
+
+    big = rules.LEX.with_(positive={f"up{i}": 1.0 + i % 3 for i in range(50_000)}, negative={f"down{i}": 1.0 + i % 3 for i in range(50_000)})
+    known = SimpleNamespace(**{n: getattr(big, n) for n in ("two_word_diminishers", "modifiers", "sentiment", "negations")})
+    monkeypatch.setattr(rules, "LEX", known)  # looked up once
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(["very", "not", f"up{rnd.randrange(60_000)}", f"down{rnd.randrange(60_000)}", "a", "bit"]) for _ in range(12)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, chunk_text string")
+    for r in lookup.sentiment_by_table(df, ["id"], lookup.lexicon_table(spark, big)).collect():
+        assert (r.raw_score, r.positive_words, r.negative_words, r.negated_words, r.word_count) == rules.walk(texts[r.id])

@@ -91,12 +91,9 @@ def fold_sql(hits: str) -> str:
         END)"""
 
 
-def sentiment_sql(words: str, lexicon: Lexicon) -> str:
-    """The scorer over an array of lower-cased tokens."""
-    score = (
-        "CASE WHEN size(words) = 0 THEN 0D "
-        "ELSE greatest(-1D, least(1D, tanh(f.raw / (sqrt(size(words)) + 1D)))) END"
-    )
+def scored_sql(hits: str, n_words: str) -> str:
+    """The scorer over the hits of a text that has ``n_words`` tokens."""
+    score = f"CASE WHEN {n_words} = 0 THEN 0D ELSE greatest(-1D, least(1D, tanh(f.raw / (sqrt({n_words}) + 1D)))) END"
     label = (
         f"CASE WHEN score > {POSITIVE_THRESHOLD}D THEN 'positive' "
         f"WHEN score < -{POSITIVE_THRESHOLD}D THEN 'negative' ELSE 'neutral' END"
@@ -104,9 +101,13 @@ def sentiment_sql(words: str, lexicon: Lexicon) -> str:
     result = f"""struct(
         f.raw AS raw_score, score AS sentiment_score, {label} AS sentiment_label,
         array_sort(f.pos) AS positive_words, array_sort(f.neg) AS negative_words,
-        array_sort(f.negated) AS negated_words, size(words) AS word_count)"""
-    folded = let("f", fold_sql(hits_sql("words", lexicon)), let("score", score, result))
-    return let("words", words, folded)
+        array_sort(f.negated) AS negated_words, {n_words} AS word_count)"""
+    return let("f", fold_sql(hits), let("score", score, result))
+
+
+def sentiment_sql(words: str, lexicon: Lexicon) -> str:
+    """The scorer over an array of lower-cased tokens."""
+    return let("words", words, scored_sql(hits_sql("words", lexicon), "size(words)"))
 
 
 def sentiment(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tonegrain.functions.text import lower_tokens
+from tonegrain.functions.scoring import scored_sql
+from tonegrain.functions.text import let, lower_tokens
+from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
 from tonegrain.operators.unnest import each
 
+LEXICON_SCHEMA = "word string, weight double, factor double, negation boolean, pairs array<struct<second: string, factor: double>>"
+
 
 def lexicon_counts(texts: DataFrame, lexicon: DataFrame, text_col: str = "chunk_text", word_col: str = "word") -> DataFrame:
     """Each word of ``lexicon`` (``word_col`` and any columns) that occurs, with its number of occurrences ``n``.
@@ -18,6 +22,16 @@ def lexicon_counts(texts: DataFrame, lexicon: DataFrame, text_col: str = "chunk_
     return found.join(lexicon, word_col)
 
 
+def _mark(key: list[str]) -> Column:
+    """A word for the text itself.  It is no token, and spread, so that marks do not meet in one task where tokens
+    are shuffled."""
+    return F.concat(F.lit("\0"), F.pmod(F.xxhash64(*key), F.lit(4096)).cast("string"))
+
+
+def _is_mark(word_col: str) -> Column:
+    return F.startswith(F.col(word_col), F.lit("\0"))
+
+
 def word_scores(
     texts: DataFrame, key: list[str], lexicon: DataFrame, text_col: str = "chunk_text", word_col: str = "word",
 ) -> DataFrame:
@@ -27,10 +41,47 @@ def word_scores(
     its words, and one mark of each text, go on to the sum.  Weights add up as decimals of nine places,
     so the sum does not depend on the order of tasks.
     """
-    # The mark of a text is no token, and spread, so that marks do not meet in one task where tokens are shuffled.
-    mark = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*key), F.lit(4096)).cast("string"))
-    tokens = F.concat(F.coalesce(lower_tokens(text_col), F.array().cast("array<string>")), F.array(mark))
-    words = lexicon.where(~F.startswith(F.col(word_col), F.lit("\0"))).select(word_col, F.col("weight").cast("decimal(28,9)").alias("weight"))
+    tokens = F.concat(F.coalesce(lower_tokens(text_col), F.array().cast("array<string>")), F.array(_mark(key)))
+    words = lexicon.where(~_is_mark(word_col)).select(word_col, F.col("weight").cast("decimal(28,9)").alias("weight"))
     met = each(texts, key, tokens, word_col).join(words, word_col, "left")
-    met = met.where(F.col("weight").isNotNull() | F.startswith(F.col(word_col), F.lit("\0")))
+    met = met.where(F.col("weight").isNotNull() | _is_mark(word_col))
     return met.groupBy(*key).agg(F.coalesce(F.sum("weight").cast("double"), F.lit(0.0)).alias("weight"))
+
+
+def lexicon_table(spark: SparkSession, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
+    """A lexicon as a table: a word, its signed weight, its factor as a modifier, whether it negates, and the
+    second words and factors of the two-word modifiers that start with it (0, false and [] for none)."""
+    pairs: dict[str, list[tuple[str, float]]] = {}
+    for pair, factor in lexicon.two_word_diminishers.items():
+        first, second = pair.split(" ")
+        pairs.setdefault(first, []).append((second, factor))
+    weights, factors = lexicon.sentiment, lexicon.modifiers
+    return spark.createDataFrame(
+        [(w, weights.get(w, 0.0), factors.get(w, 0.0), w in lexicon.negations, pairs.get(w, [])) for w in sorted(lexicon.active_words)], LEXICON_SCHEMA)
+
+
+def sentiment_by_table(texts: DataFrame, key: list[str], lexicon: DataFrame, text_col: str = "chunk_text") -> DataFrame:
+    """``key`` and the result of ``scoring.sentiment``, by a lexicon that is a table of any size (see
+    :func:`lexicon_table`), modifiers and negations included.
+
+    ``key`` names a text.  Its tokens, each with the next one, meet the lexicon; the few that it holds come
+    together again per text, in order, and the same fold runs over them.  A small lexicon is broadcast,
+    so that only hits and one mark of each text are shuffled; a large one meets the tokens by word.
+    """
+    tokens = F.coalesce(lower_tokens(text_col), F.array().cast("array<string>"))
+    mark = F.struct(_mark(key).alias("t"), F.lit(None).cast("string").alias("next"))
+
+    def listed(words: Column) -> Column:
+        own = F.transform(words, lambda t, i: F.struct(t.alias("t"), F.get(words, i + 1).alias("next")))
+        return F.concat(own, F.array(mark))
+
+    rows = texts.select(*key, F.posexplode_outer(let(tokens, listed)).alias("i", "token")).select(*key, "i", F.col("token.t").alias("word"), F.col("token.next").alias("next"))
+    met = rows.join(lexicon.where(~_is_mark("word")).withColumn("known", F.lit(True)), "word", "left").where(F.col("known") | _is_mark("word"))
+    second = F.get(F.filter("pairs", lambda p: p["second"] == F.col("next")), F.lit(0))["factor"]
+    hit = F.struct(
+        "i", F.col("word").alias("t"), F.col("weight").alias("w"), F.col("factor").alias("m1"), F.coalesce(second, F.lit(0.0)).alias("m2"),
+        F.col("negation").alias("neg"))
+    # The mark stands behind the last token, so its place is the number of tokens.
+    gathered = met.groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.when(F.col("known"), hit))).alias("hits"), F.max(F.when(_is_mark("word"), F.col("i"))).alias("n_words"))
+    return gathered.select(*key, F.expr(scored_sql("hits", "n_words")).alias("s")).select(*key, "s.*")

@@ -330,6 +330,8 @@ FROM records WHERE batch_id <> 'b3' AND (batch_id <> 'b2' OR sentiment_label = '
         "q_tags_documents": rows_of("documents", f"SELECT file_name, chunk_index, array_to_string({tag_list('text')}, ',') AS tags FROM rows"),
         "q_line_records": over("lines", f"SELECT {RECORD} FROM records"),
         "q_chunk_records": over("documents", f"SELECT {RECORD} FROM records"),
+        "q_sentiment_by_lexicon_table": over("documents", """SELECT file_name, chunk_index, raw_score, sentiment_score, sentiment_label,
+  positive_words, negative_words, negated_words, word_count FROM records"""),
         "q_feedback_chunk_records": over("chunks", f"SELECT {RECORD} FROM records"),
         # statistics
         "q_stats": over("documents", f"SELECT {STATS} FROM records"),

@@ -13,14 +13,14 @@ from tonegrain.functions.sql import is_in
 from tonegrain.lexicon import DEFAULT_LEXICON as LEX
 from tonegrain.operators import dashboard, gram_index, jobs, maintain, search, stats, store, summaries, swap
 from tonegrain.operators.chunking import chunk_index, chunk_size
-from tonegrain.operators.lookup import lexicon_counts, word_scores
+from tonegrain.operators.lookup import lexicon_counts, lexicon_table, sentiment_by_table, word_scores
 from tonegrain.operators.records import filterable
 from tonegrain.operators.unnest import each, each_struct
 from tonegrain.plans.tables import (
     conversation_lines_scored, document_chunks, document_chunks_scored, documents, feedback, feedback_chunks_scored,
     feedback_lines_scored, feedback_numbered, page_sentences_scored, table,
 )
-from tonegrain.session import shared_folder
+from tonegrain.session import shared_folder, shared_table
 from tonegrain.sources.lines import lines_from_column
 from tonegrain.sources.tables import read_records, rows_to_lines, spread
 from tonegrain.streaming.live import score_by_window
@@ -287,6 +287,17 @@ def archive_in_place(spark, sf):
     return _hit(read_records(spark, archive))
 
 
+@query
+def sentiment_by_lexicon_table(spark, sf):
+    """Every chunk record of the documents, scored with the lexicon as a table that is read from the shared folder."""
+    lexicon = shared_table(lexicon_table(spark), "lexicon")
+    scored = sentiment_by_table(document_chunks(spark, sf), ["file_name", "chunk_index"], lexicon)
+    lists = [F.array_join(c, ",").alias(c) for c in ("positive_words", "negative_words", "negated_words")]
+    return scored.select(
+        "file_name", "chunk_index", F.round("raw_score", 4).alias("raw_score"), F.round("sentiment_score", 4).alias("sentiment_score"),
+        "sentiment_label", *lists, F.col("word_count").cast("long").alias("word_count"))
+
+
 @query
 def raw_score(spark, sf):
     scored = feedback(spark, sf).select("event_id", sentiment("line").alias("s"))
