@@ -11,9 +11,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tonegrain.llm.bitset import filter_of, has
 from tonegrain.llm.common import SPACES, cut_lineage, pieces, written
 
 WINDOW_LINES = 3
@@ -77,9 +79,24 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW_LINES, removed: str | None
         raise ValueError(f"a column is called {removed} already")
     keyed = docs.select(_row_key("doc_id", "text").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
     slim = keyed.select(F.col("record.doc_id").cast("long").alias("doc_id"), "key", F.col("record.text").alias("text"))
-    # A table of its own: where it measures below Spark's threshold, the texts stay where they are.
     gone = written(covered_lines(slim, width), "covered-lines")
-    joined = keyed.join(gone, "key", "left").select("record", "covered")
+    # Most rows lose nothing.  A filter of bounded size tells them, and their texts stay where they are; the
+    # other ones, and the few that it mistakes for them, meet their lines by a shuffle.
+    bits = docs.sparkSession.sparkContext.broadcast(filter_of(gone.select(F.xxhash64("key").alias("name")), gone.count()))
+
+    def picked(touched: bool):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = has(bits.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+                yield batch.filter(pa.array(found == touched))
+
+        return pick
+
+    record = T.StructField("record", docs.schema, False)
+    named = keyed.select("record", "key", F.xxhash64("key").alias("name"))
+    schema = T.StructType([record, T.StructField("key", T.BinaryType()), T.StructField("name", T.LongType())])
+    same = named.mapInArrow(picked(False), schema).select("record", F.lit(0).cast("long").alias("removed"))
+    joined = named.mapInArrow(picked(True), schema).join(gone, "key", "left").select("record", "covered")
     text_at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,6 +112,5 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW_LINES, removed: str | None
             counts = pa.array([len(c) if c else 0 for c in covered], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=list(kind)), counts], ["record", "removed"])
 
-    schema = T.StructType([T.StructField("record", docs.schema, False), T.StructField("removed", T.LongType())])
-    out = joined.mapInArrow(run, schema)
+    out = same.union(joined.mapInArrow(run, T.StructType([record, T.StructField("removed", T.LongType())])))
     return out.select("record.*", *([F.col("removed").alias(removed)] if removed else []))
