@@ -292,7 +292,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row: the texts encoded, and the ids decoded.
 
-    ``keep_ids`` adds the ids as 32-bit little-endian bytes.
+    ``keep_ids`` adds the ids as 32-bit little-endian bytes.  A null text counts as empty: no ids, and the
+    digests of nothing.  Texts of any length are encoded whole.  Each row is encoded by itself, so repeated
+    rows and rows of null or equal ids come out alike and as often as they are there.  An empty table gives no
+    rows; columns other than doc_id and text are not looked at, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -202,7 +202,9 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **optio
 
     Labels of null id or quality are left out, as are ids whose labels differ.  At most ``most``
     labelled ids are used, those of the lowest hash.  Of several rows of one id, the one of the
-    smallest statistics teaches, so that no more rows than ids reach the driver.
+    smallest statistics teaches, so that no more rows than ids reach the driver.  Null, empty and very
+    long texts have statistics like others; most of the former fail the base rules.  Empty tables, and labels
+    of one kind only, give no rule.  Other columns are not looked at.
     """
     one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
@@ -215,6 +217,11 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **optio
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(doc_id, ``STATS``, ``FEATURES``, base_failed, kept) of each row."""
+    """(doc_id, ``STATS``, ``FEATURES``, base_failed, kept) of each row.
+
+    A null or empty text has no words, so it fails the base rules.  Texts of any length are read whole;
+    repeated rows are judged alike, each by itself; an empty table gives no rows; without rules what passes the
+    base rules is kept.  Columns other than doc_id and text do not come through.
+    """
     rated = with_features(text_stats(docs)).withColumn("base_failed", base_failed())
     return rated.withColumn("kept", ~F.col("base_failed") & kept_by(rules))
