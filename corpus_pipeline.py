@@ -1,7 +1,8 @@
 """The corpus pipeline: language ID, line dedup, near-duplicate join, mixing, tokenizing.
 
 Each stage takes what its predecessor kept and returns a DataFrame, which is written as Parquet
-and read again; all but the last return the columns of ``documents``.
+and read again; all but the last return the columns of ``documents``, in their order and with their
+types, and drop any other column whatever its name.  Every stage takes an empty table to an empty one.
 """
 
 from __future__ import annotations
@@ -21,27 +22,42 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents whose text has a language; those without a letter or in unlearned letters go."""
+    """Keep the documents whose text has a language; those without a letter or in unlearned letters go.
+
+    Null and empty texts go.  Repeated rows, and rows of null or equal ids, fare by their texts alone.
+    """
     return with_language(docs).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines of passages that an earlier one has."""
+    """Every document, without the lines of passages that an earlier one has.
+
+    Documents stay even if no line does, a null text stays null; rows equal in id and text fare alike.
+    """
     return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest doc_id of each group of near copies."""
+    """Keep the document of the smallest doc_id of each group of near copies.
+
+    Null ids come last; of repeated rows one stays; null texts and texts without words all stay.
+    """
     return drop_near_duplicates(docs).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of the sources takes it."""
+    """Each document as often as the mix of the sources takes it.
+
+    A null source is a source; null and empty texts have size 0; rows equal in id, source and size fare alike.
+    """
     return mixed_documents(docs).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of each document of the mix, with the digest of what they decode to."""
+    """The token ids of each document of the mix, with the digest of what they decode to.
+
+    A null text counts as empty; every row is encoded by itself, repeated ones too.
+    """
     return round_trip(docs, RANKS, public_tokenizers.PATTERN, keep_ids=True)
 
 
