@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from tonegrain.functions.patterns import tags
 from tonegrain.functions.scoring import sentiment, with_preview
 from tonegrain.functions.text import highlight
 from tonegrain.operators import dashboard, jobs, lookup, maintain, search, stats, store, swap
@@ -366,3 +367,23 @@ def test_sentiment_by_a_lexicon_of_100_000_words(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, chunk_text string")
     for r in lookup.sentiment_by_table(df, ["id"], lookup.lexicon_table(spark, big)).collect():
         assert (r.raw_score, r.positive_words, r.negative_words, r.negated_words, r.word_count) == rules.walk(texts[r.id])
+
+
+def test_tags_by_a_keyword_table(spark, monkeypatch):
+    rnd = random.Random(4)
+    bits = ["ai", "said", "AI", "happy", "app", "machine learning", "machine  learning", "mental health", "x", "é", "Bank", "gdp", "human rights", "\n", ". "]
+    texts = ["".join(rnd.choice(bits) + rnd.choice(["", " "]) for _ in range(rnd.randint(0, 30))) for _ in range(300)] + ["", None, "machine learning" * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, chunk_text string")
+    want = {(r.id, d) for r in df.select("id", tags("chunk_text").alias("t")).collect() for d in r.t}
+    for block in (1 << 16, 7):   # long texts in blocks: a keyword may lie across two
+        monkeypatch.setattr(lookup, "BLOCK_LETTERS", block)
+        assert {tuple(r) for r in lookup.tags_by_table(df, ["id"], lookup.keyword_table(spark)).collect()} == want
+    assert len(want) > 300
+    # 50,000 keywords, one of them a single letter, some null or empty
+    many = [(f"d{i % 7}", f"word{i:05d}") for i in range(50_000)] + [("one", "é"), ("none", ""), ("none", None)]
+    texts = [" ".join(f"WORD{rnd.randrange(60_000):05d}" for _ in range(20)) + "é" * (k % 2) for k in range(100)]
+    got = {tuple(r) for r in lookup.tags_by_table(
+        spark.createDataFrame(list(enumerate(texts)), "id long, chunk_text string"), ["id"], spark.createDataFrame(many, "domain string, keyword string")).collect()}
+    known = {k: d for d, k in many if k}
+    assert got == {(i, known[w]) for i, t in enumerate(texts) for w in [x.lower().rstrip("é") for x in t.split()] + ["é"] * (i % 2) if w in known}
+    assert lookup.tags_by_table(df, ["id"], spark.createDataFrame([], "domain string, keyword string")).count() == 0

@@ -85,3 +85,38 @@ def sentiment_by_table(texts: DataFrame, key: list[str], lexicon: DataFrame, tex
     gathered = met.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.when(F.col("known"), hit))).alias("hits"), F.max(F.when(_is_mark("word"), F.col("i"))).alias("n_words"))
     return gathered.select(*key, F.expr(scored_sql("hits", "n_words")).alias("s")).select(*key, "s.*")
+
+
+#: Letters that a keyword is looked up by, and letters of a text that are cut into windows at once.
+ANCHOR_LETTERS, BLOCK_LETTERS = 3, 1 << 16
+
+
+def keyword_table(spark: SparkSession, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
+    """The domains of a lexicon as a table (domain, keyword)."""
+    return spark.createDataFrame([(d, k) for d, ks in lexicon.domains.items() for k in ks], "domain string, keyword string")
+
+
+def tags_by_table(texts: DataFrame, key: list[str], keywords: DataFrame, text_col: str = "chunk_text") -> DataFrame:
+    """(``key``, domain): the domains with a keyword that the text holds, case ignored, by a table of any size.
+
+    Each keyword is anchored at its first letters.  A text gives the letters from each of its places on, as
+    many as the longest keyword has; those that start like an anchor meet its keywords, and one comparison
+    tells whether the whole keyword stands there.  The work follows the length of the text and the
+    anchors it holds, not the number of keywords.  Keywords of null or no letters match nothing.
+    """
+    words = keywords.where("keyword <> ''").select("domain", F.lower("keyword").alias("keyword")).distinct()
+    words = words.withColumn("letters", F.least(F.length("keyword"), F.lit(ANCHOR_LETTERS)))
+    words = words.withColumn("anchor", F.expr("left(keyword, letters)"))
+    sizes = words.agg(F.max(F.length("keyword")).alias("most"), F.collect_set("letters").alias("letters")).first()
+    if not sizes["most"]:
+        return texts.select(*key, F.lit(None).cast("string").alias("domain")).where("false")
+    most, text = int(sizes["most"]), F.lower(F.col(text_col))
+    # Long texts in blocks, each with the letters that a keyword may take from the next one.
+    starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text), F.lit(BLOCK_LETTERS)))
+    blocks = F.transform(starts, lambda at: F.substring(text, at, BLOCK_LETTERS + most))
+    windows = F.regexp_extract_all(F.col("block"), F.lit(f"(?s)(?=(.{{1,{most}}}))"), F.lit(1))
+    rows = each(each(texts, key, blocks, "block"), key, F.array_distinct(windows), "window")
+    ends = F.array(*[F.struct(F.lit(n).alias("letters"), F.left("window", F.lit(n)).alias("anchor")) for n in sorted(sizes["letters"])])
+    anchored = rows.select(*key, "window", F.explode(ends).alias("a")).select(*key, "window", "a.letters", "a.anchor")
+    met = anchored.join(words, ["letters", "anchor"]).where(F.startswith("window", F.col("keyword")))
+    return met.select(*key, "domain").distinct()

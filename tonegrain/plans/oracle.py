@@ -328,6 +328,7 @@ FROM records WHERE batch_id <> 'b3' AND (batch_id <> 'b2' OR sentiment_label = '
         "q_patterns_documents": rows_of("documents", f"SELECT file_name, chunk_index, unnest({pattern_list('text')}) AS pattern FROM rows"),
         "q_tags": rows_of("lines", f"SELECT chunk_index AS event_id, array_to_string({tag_list('text')}, ',') AS tags FROM rows"),
         "q_tags_documents": rows_of("documents", f"SELECT file_name, chunk_index, array_to_string({tag_list('text')}, ',') AS tags FROM rows"),
+        "q_tags_by_keyword_table": rows_of("documents", f"SELECT file_name, chunk_index, unnest({tag_list('text')}) AS domain FROM rows"),
         "q_line_records": over("lines", f"SELECT {RECORD} FROM records"),
         "q_chunk_records": over("documents", f"SELECT {RECORD} FROM records"),
         "q_sentiment_by_lexicon_table": over("documents", """SELECT file_name, chunk_index, raw_score, sentiment_score, sentiment_label,

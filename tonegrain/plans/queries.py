@@ -13,7 +13,7 @@ from tonegrain.functions.sql import is_in
 from tonegrain.lexicon import DEFAULT_LEXICON as LEX
 from tonegrain.operators import dashboard, gram_index, jobs, maintain, search, stats, store, summaries, swap
 from tonegrain.operators.chunking import chunk_index, chunk_size
-from tonegrain.operators.lookup import lexicon_counts, lexicon_table, sentiment_by_table, word_scores
+from tonegrain.operators.lookup import keyword_table, lexicon_counts, lexicon_table, sentiment_by_table, tags_by_table, word_scores
 from tonegrain.operators.records import filterable
 from tonegrain.operators.unnest import each, each_struct
 from tonegrain.plans.tables import (
@@ -345,6 +345,12 @@ def tags_documents(spark, sf):
     return chunks.select("file_name", "chunk_index", F.array_join(tags("chunk_text"), ",").alias("tags"))
 
 
+@query
+def tags_by_keyword_table(spark, sf):
+    keywords = shared_table(keyword_table(spark), "keywords")
+    return tags_by_table(document_chunks(spark, sf), ["file_name", "chunk_index"], keywords)
+
+
 @query
 def line_records(spark, sf):
     return _record(feedback_lines_scored(spark, sf, with_details=True))
