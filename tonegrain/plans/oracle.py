@@ -270,6 +270,12 @@ FROM (SELECT source, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13)
   c_custkey::VARCHAR || ' ' || c_name || ', "retail"' || ' ' || c_mktsegment AS line FROM customer""",
         "q_row_to_line_sheet": """SELECT p_partkey,
   trim(concat_ws(' ', p_partkey, p_name, p_brand, p_type, CASE WHEN p_size > 10 THEN p_size END)) AS line FROM part""",
+        "q_csv_files": f"""SELECT line, count(*) AS n FROM (
+  SELECT concat_ws(' ', conv_id::VARCHAR, turn::VARCHAR, nullif({strip("role")}, ''), nullif({strip("text")}, '')) AS line FROM conversations)
+WHERE line <> '' GROUP BY line""",
+        "q_json_files": f"""SELECT line, count(*) AS n FROM (SELECT {strip("joined")} AS line FROM (
+  SELECT concat_ws(' ', CASE WHEN doc_id <> 0 THEN doc_id::VARCHAR END, nullif(text, ''), nullif(lang, ''), nullif(source, ''),
+    CASE WHEN n_chars <> 0 THEN n_chars::VARCHAR END) AS joined FROM documents)) WHERE line <> '' GROUP BY line""",
         "q_json_values_line": """SELECT event_id, CASE WHEN json_extract_string(props, '$.k') = '0' THEN '' ELSE json_extract_string(props, '$.k') END AS props_line,
   event_type || CASE WHEN event_id % 3 = 0 THEN '' ELSE ' ' || (event_id % 3)::VARCHAR END
     || CASE WHEN event_id % 2 = 0 THEN ' True' ELSE '' END || ' 0' || CASE WHEN event_id = 0 THEN '' ELSE ' ' || event_id::VARCHAR END AS row_line FROM events""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tonegrain.functions import structured, text as tx
@@ -21,7 +22,7 @@ from tonegrain.plans.tables import (
     feedback_lines_scored, feedback_numbered, page_sentences_scored, table,
 )
 from tonegrain.session import shared_folder, shared_table
-from tonegrain.sources.lines import lines_from_column
+from tonegrain.sources.lines import lines_from_column, read_lines
 from tonegrain.sources.tables import read_records, rows_to_lines, spread
 from tonegrain.streaming.live import score_by_window
 
@@ -98,6 +99,37 @@ def row_to_line_sheet(spark, sf):
     return rows_to_lines(table(spark, sf, "part"), cells, ["p_partkey"])
 
 
+@query
+def csv_files(spark, sf):
+    """The conversations as delimited files, quoted line breaks included, read by splits."""
+    folder = shared_folder(spark, "csv")
+    keep = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").write.options(**keep).csv(folder)
+    return read_lines(spark, folder, whole_file_limit=0).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _array_files(rows: DataFrame, folder: str) -> None:
+    """Write each partition as a text file that is one JSON array."""
+    def lines(batches):
+        first = True
+        for batch in batches:
+            objects = batch.column(0).to_pylist()
+            if objects:
+                yield pa.RecordBatch.from_pydict({"value": [("[" if first and not i else ",") + o for i, o in enumerate(objects)]})
+                first = False
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if first else "]"]})
+
+    rows.select(F.to_json(F.struct("*"))).mapInArrow(lines, "value string").write.text(folder)
+
+
+@query
+def json_files(spark, sf):
+    """The documents as files of one JSON array each, read by splits."""
+    folder = shared_folder(spark, "json")
+    _array_files(table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars"), folder)
+    return read_lines(spark, folder, "json", whole_file_limit=0).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def json_values_line(spark, sf):
     event = F.col("event_id")
