@@ -32,20 +32,29 @@ def _rows(n=400, dim=8):
 @pytest.mark.parametrize("cell", [10_000, 20])
 def test_equal_to_brute_force(spark, monkeypatch, cell):
     monkeypatch.setattr(vector_join, "CELL_VECTORS", cell)
-    monkeypatch.setattr(vector_join, "OWN_BLOCK", max(10, cell // 2))
-    monkeypatch.setattr(vector_join, "OTHER_BLOCK", max(100, cell))
+    monkeypatch.setattr(vector_join, "BLOCK_VECTORS", max(10, cell // 2))
+    monkeypatch.setattr(vector_join, "TASK_BLOCKS", 5)
+    monkeypatch.setattr(vector_join, "SEEN_CLASSES", 30)
     rows = _rows()
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, class int, dim string")
     assert rows_of(near_vectors(df.repartition(3)), "vec_id", "n_links", "component_id", "kept") == brute(rows)
 
 
-def test_copies_reach_only_near_cells(monkeypatch):
+def test_copies_reach_only_near_cells():
     rng = np.random.default_rng(0)
     units = vector_join._units(rng.normal(size=(3, 4)).repeat(50, axis=0) + rng.normal(scale=.02, size=(150, 4)))
     cells = vector_join.Cells(4, units[[0, 50, 100]], 0.1)
     distances, own = cells.nearest(units)
     cells.reach = np.array([distances[own == c, c].max() for c in range(3)])
-    assert cells.copies(units)[1].sum() == 150  # far apart: no copies at all
+    far = [(a, b) for a in range(3) for b in range(3) if a != b]
+    assert not any(cells.may_meet(a, b) for a, b in far) and all(cells.may_meet(c, c) for c in range(3))
+    assert sum(cells.copies(units[own == a], a, b).sum() for a, b in far) == 0  # far apart: nothing is compared
+
+
+def test_pivots_are_far_apart():
+    units = vector_join._units(np.array([[1, 0], [1, .01], [1, .02], [0, 1], [-1, 0], [0, -1.0]]))
+    assert sorted(map(tuple, np.round(vector_join.far_apart(units, 4)).tolist())) == [(-1.0, 0.0), (0.0, -1.0), (0.0, 1.0), (1.0, 0.0)]
+    assert len(vector_join.far_apart(units, 99)) == 6
 
 
 def test_edges(spark):
