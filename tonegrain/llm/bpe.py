@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tonegrain.llm.common import pieces, ragged, texts_of
+from tonegrain.llm.common import pieces, ragged, released, texts_of
 
 #: Entries of a worker's cache of parts, and bytes of a part that is kept in it.
 CACHE_PARTS, CACHE_BYTES = 1 << 17, 48
@@ -320,4 +320,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
     # One Python step: two would be two workers for each task, and both keep their memory.
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(lambda batches: released(run(batches)), schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -86,6 +87,21 @@ def write_file(folder: str, name: str, chunks: Iterator[bytes]) -> int:
 
 
 # ---------------------------------------------------------------------- batches
+def release_memory() -> None:
+    """Give what a task has freed back to the machine: its worker stays for later stages, and idles beside theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches, and :func:`release_memory` behind the last one."""
+    yield from batches
+    release_memory()
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each piece has about ``most`` bytes in ``column``, one row at least."""
     if batch.num_rows == 0:

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonegrain.llm.common import pieces
+from tonegrain.llm.common import pieces, released
 
 DIMENSIONS = 1024
 #: A language's bundle is collected to the driver, so there must not be many.
@@ -30,7 +30,7 @@ UNKNOWN = "und"
 #: Texts whose counts are held at once, a row of trigrams each.
 ROWS = 256
 #: Letters that are looked at at once, and different trigrams whose vectors are held at once.
-BLOCK_LETTERS, BLOCK_GRAMS = 1 << 20, 1 << 11
+BLOCK_LETTERS, BLOCK_GRAMS = 1 << 19, 1 << 11
 #: A cosine of so many times 1 / sqrt(dimensions) is no noise.
 NOISE = 6
 #: A letter is known if a language has it this often among its letters; strays are not.
@@ -173,7 +173,7 @@ def learn_letters(docs: DataFrame, may_learn: Column, dimensions: int = DIMENSIO
 
     schema = "lang string, bundle binary, letters binary"
     usable = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    parts = usable.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, schema)
+    parts = usable.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(lambda batches: released(run(batches)), schema)
     for keys in ([F.col("lang"), F.pmod(F.spark_partition_id(), F.lit(64))], [F.col("lang")]):
         parts = parts.groupBy(*keys).applyInPandas(add, schema)
     rows = parts.limit(MOST_LANGUAGES + 1).collect()
@@ -237,7 +237,8 @@ def predict(docs: DataFrame, bundles: dict[str, np.ndarray], dimensions: int = D
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id").cast(pa.int64()), pa.array(langs), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        lambda batches: released(run(batches)), "doc_id long, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
@@ -279,4 +280,4 @@ def with_language(docs: DataFrame, min_score: float | None = None, dimensions: i
                 kept = shared.value.alike(encoder, [t or "" for t in piece.column("text").to_pylist()], least)
                 yield piece.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: released(run(batches)), docs.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonegrain.llm.bitset import filter_of, has
-from tonegrain.llm.common import SPACES, cut_lineage, pieces, written
+from tonegrain.llm.common import SPACES, cut_lineage, pieces, release_memory, released, written
 
 WINDOW_LINES = 3
 
@@ -46,7 +46,7 @@ def line_windows(docs: DataFrame, width: int = WINDOW_LINES) -> DataFrame:
                     pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.list_(pa.int32())),
                 ], ["hash", "doc_id", "key", "lines"])
 
-    return docs.mapInArrow(run, "hash binary, doc_id long, key binary, lines array<int>")
+    return docs.mapInArrow(lambda batches: released(run(batches)), "hash binary, doc_id long, key binary, lines array<int>")
 
 
 def covered_lines(docs: DataFrame, width: int = WINDOW_LINES) -> DataFrame:
@@ -89,6 +89,7 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW_LINES, removed: str | None
             for batch in batches:
                 found = has(bits.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
                 yield batch.filter(pa.array(found == touched))
+            release_memory()
 
         return pick
 
@@ -112,5 +113,5 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW_LINES, removed: str | None
             counts = pa.array([len(c) if c else 0 for c in covered], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=list(kind)), counts], ["record", "removed"])
 
-    out = same.union(joined.mapInArrow(run, T.StructType([record, T.StructField("removed", T.LongType())])))
+    out = same.union(joined.mapInArrow(lambda batches: released(run(batches)), T.StructType([record, T.StructField("removed", T.LongType())])))
     return out.select("record.*", *([F.col("removed").alias(removed)] if removed else []))

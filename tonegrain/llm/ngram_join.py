@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonegrain.llm.common import (
-    SHINGLE_WORDS, cut_lineage, distinct_sorted, hashed_words, mix64, pieces, texts_of, windows, written,
+    SHINGLE_WORDS, cut_lineage, distinct_sorted, hashed_words, mix64, pieces, released, texts_of, windows, written,
 )
 from tonegrain.llm.components import connected_components
 
@@ -97,7 +97,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
         if gathered:
             yield hot()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind string, id long, class long, n long")
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: released(run(batches)), "kind string, id long, class long, n long")
 
 
 _BLOCK = "part int, classes binary, sizes binary, counts binary, grams binary, hot boolean"
@@ -211,7 +211,7 @@ def repeated_grams(docs: DataFrame, width: int, n_parts: int, hot: dict[int, int
                 ("frequencies", np.minimum(frequency, 2**31 - 1).astype(np.int32)))},
         })
 
-    blocks = docs.select("doc_id", "text").mapInArrow(scatter, _BLOCK)
+    blocks = docs.select("doc_id", "text").mapInArrow(lambda batches: released(scatter(batches)), _BLOCK)
     # Part i is partition i: parts do not meet in one task, however many there are.
     return blocks.repartitionById(n_parts, "part").groupBy("part").applyInArrow(
         count, "part int, classes binary, sizes binary, grams binary, frequencies binary"
@@ -408,7 +408,7 @@ def _with_class(docs: DataFrame, width: int) -> DataFrame:
 
     schema = T.StructType([T.StructField("record", docs.schema), T.StructField("class", T.LongType())])
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.select(F.col("text").cast("string").alias("text"), record.alias("record")).mapInArrow(run, schema)
+    return docs.select(F.col("text").cast("string").alias("text"), record.alias("record")).mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: Fraction | float | str = Fraction(4, 5), width: int = SHINGLE_WORDS) -> DataFrame:
