@@ -387,3 +387,22 @@ def test_tags_by_a_keyword_table(spark, monkeypatch):
     known = {k: d for d, k in many if k}
     assert got == {(i, known[w]) for i, t in enumerate(texts) for w in [x.lower().rstrip("é") for x in t.split()] + ["é"] * (i % 2) if w in known}
     assert lookup.tags_by_table(df, ["id"], spark.createDataFrame([], "domain string, keyword string")).count() == 0
+
+
+def test_tags_by_odd_keywords(spark, monkeypatch):
+    keywords = ["ab", "abc", "a.c", "(x", "x]", "it's", "^-^", "\\d", "İz", "é", "zz top", "b\nc", "#", "[a", "ss", "straße", "\U0001f600!", "tab\t"]
+    table = spark.createDataFrame([(f"d{i}", k) for i, k in enumerate(keywords)], "domain string, keyword string")
+    texts = ["xabcx", "AB", "a.c axc", "(x] (X]", "IT'S it\"s", "^-^ ^^", r"\d 5", "i̇z iz", "cafÉ", "zz\ttop zz top", "b\nc", "##", "[A", "STRASSE straße", "\U0001f600\U0001f600!", "tab\ttab", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, chunk_text string")
+    lowered = dict(rows.selectExpr("i", "lower(chunk_text)").collect())
+    low = dict(table.selectExpr("domain", "lower(keyword)").collect())
+    expected = sorted((i, d) for i, t in lowered.items() for d, k in low.items() if t is not None and k in t)
+    for most in (5000, 3):
+        monkeypatch.setattr(lookup, "MOST_ANCHORS", most)
+        assert sorted(map(tuple, lookup.tags_by_table(rows, ["i"], table).collect())) == expected
+
+
+def test_only_anchored_places_of_a_text_meet_the_keywords(spark):
+    table = spark.createDataFrame([("d", "bank"), ("d", "bar"), ("e", "ba")], "domain string, keyword string")
+    plan = plan_of(lookup.tags_by_table(spark.createDataFrame([(1, "a bank")], "i int, chunk_text string"), ["i"], table))
+    assert r"(?s)(?=(?:[b](?:[a])))(?=(.{1,4}))" in plan

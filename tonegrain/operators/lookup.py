@@ -89,6 +89,8 @@ def sentiment_by_table(texts: DataFrame, key: list[str], lexicon: DataFrame, tex
 
 #: Letters that a keyword is looked up by, and letters of a text that are cut into windows at once.
 ANCHOR_LETTERS, BLOCK_LETTERS = 3, 1 << 16
+#: Anchors that one pattern looks for, and ways on from a letter that it tries one by one.
+MOST_ANCHORS, MOST_WAYS = 5000, 5
 
 
 def keyword_table(spark: SparkSession, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
@@ -96,12 +98,35 @@ def keyword_table(spark: SparkSession, lexicon: Lexicon = DEFAULT_LEXICON) -> Da
     return spark.createDataFrame([(d, k) for d, ks in lexicon.domains.items() for k in ks], "domain string, keyword string")
 
 
+def _letter(letters: list[str]) -> str:
+    return "[" + "".join(c if c.isalnum() or not c.isascii() else f"\\{c}" for c in sorted(letters)) + "]"
+
+
+def _starts_with(anchors: set[str]) -> str:
+    """A pattern for any of some short texts, as a tree over their letters; one that starts like another is found by that."""
+    if "" in anchors:
+        return ""
+    ends: dict[str, set[str]] = {}
+    for anchor in anchors:
+        ends.setdefault(anchor[0], set()).add(anchor[1:])
+    ways: dict[str, list[str]] = {}
+    for letter, rest in sorted(ends.items()):
+        ways.setdefault(_starts_with(rest), []).append(letter)
+    found = [(letters, _letter(letters) + rest) for rest, letters in ways.items()]
+    while len(found) > MOST_WAYS:
+        some = [found[i:i + MOST_WAYS] for i in range(0, len(found), MOST_WAYS)]
+        letters = [[c for cs, _ in part for c in cs] for part in some]
+        found = [(cs, f"(?={_letter(cs)})(?:{'|'.join(p for _, p in part)})") for cs, part in zip(letters, some)]
+    return f"(?:{'|'.join(p for _, p in found)})"
+
+
 def tags_by_table(texts: DataFrame, key: list[str], keywords: DataFrame, text_col: str = "chunk_text") -> DataFrame:
     """(``key``, domain): the domains with a keyword that the text holds, case ignored, by a table of any size.
 
-    Each keyword is anchored at its first letters.  A text gives the letters from each of its places on, as
-    many as the longest keyword has; those that start like an anchor meet its keywords, and one comparison
-    tells whether the whole keyword stands there.  The work follows the length of the text and the
+    Each keyword is anchored at its first letters.  A text gives the letters from each place on that starts
+    like an anchor, as many as the longest keyword has; they meet the keywords of the anchor, and one comparison
+    tells whether the whole keyword stands there.  Up to ``MOST_ANCHORS`` different anchors are found by one
+    pattern over the text; with more, all places meet the anchors.  The work follows the length of the text and the
     anchors it holds, not the number of keywords.  Keywords of null or no letters match nothing.
     """
     words = keywords.where("keyword <> ''").select("domain", F.lower("keyword").alias("keyword")).distinct()
@@ -114,7 +139,9 @@ def tags_by_table(texts: DataFrame, key: list[str], keywords: DataFrame, text_co
     # Long texts in blocks, each with the letters that a keyword may take from the next one.
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text), F.lit(BLOCK_LETTERS)))
     blocks = F.transform(starts, lambda at: F.substring(text, at, BLOCK_LETTERS + most))
-    windows = F.regexp_extract_all(F.col("block"), F.lit(f"(?s)(?=(.{{1,{most}}}))"), F.lit(1))
+    anchors = {r[0] for r in words.select("anchor").distinct().limit(MOST_ANCHORS + 1).collect()}
+    at = f"(?={_starts_with(anchors)})" if len(anchors) <= MOST_ANCHORS else ""
+    windows = F.regexp_extract_all(F.col("block"), F.lit(f"(?s){at}(?=(.{{1,{most}}}))"), F.lit(1))
     rows = each(each(texts, key, blocks, "block"), key, F.array_distinct(windows), "window")
     ends = F.array(*[F.struct(F.lit(n).alias("letters"), F.left("window", F.lit(n)).alias("anchor")) for n in sorted(sizes["letters"])])
     anchored = rows.select(*key, "window", F.explode(ends).alias("a")).select(*key, "window", "a.letters", "a.anchor")
