@@ -1,6 +1,7 @@
 """Summaries and the gram index beside the stored table, against answers from the chunks themselves."""
 
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,25 @@ def test_indexed_search_equals_the_scan(spark, records, tmp_path):
     store.replace_batch(special.withColumn("chunk_text", F.lit("another quagga")), path, "b0")
     assert rows(gram_index.search_indexed(spark, path, index, "quagga")) == rows(search.search(read_records(spark, path), keyword="quagga")) != []
     assert gram_index.search_indexed(spark, path, index, "good", batch_id="b1").count() == search.search(table, keyword="good", batch_id="b1").count()
+
+
+def test_records_are_read_once_for_their_summaries(spark, records, tmp_path):
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def noted(batches):
+        (seen / uuid.uuid4().hex).touch()
+        yield from batches
+
+    summaries.summarise(records.coalesce(1).mapInArrow(noted, records.schema), str(tmp_path / "kept"))
+    assert len(list(seen.iterdir())) == 1
+
+
+def test_summaries_of_odd_records(spark, tmp_path):
+    columns = "batch_id string, chunk_text string, sentiment_score double, sentiment_label string, word_count int, positive_words array<string>, negative_words array<string>, pattern_matches array<string>, tags array<string>"
+    odd = [
+        (None, None, None, None, None, None, [], None, ["the", "a b"]), (None, "The cat, the CAT and that", 0.1234, "positive", 6, ["the"], ["cat"], ["x"], None),
+        ("b", "", -0.0, "neutral", 0, [], [], [], []), ("b", "record", 1.0, "positive", 1, ["record"], [], [], []), ("c", None, None, "negative", 3, [], [], [], [])]
+    rows_ = spark.createDataFrame([*odd, odd[1], odd[3]], columns)
+    summaries.summarise(rows_, str(tmp_path / "kept"))
+    same_answers(spark, rows_, str(tmp_path / "kept"))

@@ -124,8 +124,9 @@ def tags(
     if whole_word:
         found = _names_found({domain: whole(keywords) for domain, keywords in lexicon.domains.items()})
         return _unless_blank(text_col, let("lowered", f"lower({text})", found))
+    # Short keywords are the likely ones; a domain that is found is not looked for any further.
     found = _names_found({
-        domain: " OR ".join(f"({inside(k)})" for k in _shortest(keywords)) for domain, keywords in lexicon.domains.items()
+        domain: " OR ".join(f"({inside(k)})" for k in sorted(_shortest(keywords), key=len)) for domain, keywords in lexicon.domains.items()
     })
     tokens = name(words_col) if words_col else words_sql(text)
     # Tokens spell U+0130 differently from plain lower-casing; such a text stands for itself.

@@ -107,15 +107,11 @@ def word_panel(records: DataFrame, k: int = 8) -> DataFrame:
     return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def _ascii_words(text_col: str) -> Column:
+def ascii_words(text_col: str) -> Column:
+    """Every word of three or more ASCII letters in lower case, as a list."""
     return F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(KEYWORD_PATTERN), F.lit(0))
 
 
-def keyword_words(text_col: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """Every word of three or more ASCII letters that is no stopword, as a list."""
-    return F.filter(_ascii_words(text_col), lambda w: ~w.isin(*sorted(lexicon.stopwords)))
-
-
 def keyword_counts(
     records: DataFrame, text_col: str = "chunk_text", lexicon: Lexicon = DEFAULT_LEXICON,
     newest_n: int | None = None,
@@ -126,7 +122,7 @@ def keyword_counts(
     """
     rows = records if newest_n is None else top_n(records, [F.desc(c) for c in ORDER_KEY], newest_n)
     return (
-        each(rows, [], _ascii_words(text_col), "word")
+        each(rows, [], ascii_words(text_col), "word")
         .filter(~F.col("word").isin(*sorted(lexicon.stopwords)))
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )

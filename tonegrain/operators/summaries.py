@@ -12,14 +12,33 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tonegrain.lexicon import DEFAULT_LEXICON, Lexicon
 from tonegrain.operators.search import suggest
-from tonegrain.operators.stats import keyword_words, most_common
-from tonegrain.operators.unnest import each_struct
+from tonegrain.operators.stats import ascii_words, most_common
+from tonegrain.operators.unnest import each
+from tonegrain.session import shared_table
 from tonegrain.sources.tables import folder_of, has_files
 
 SUMS = "total_chunks long, scores long, scored long, max_score double, min_score double, total_words long, positive long, negative long, neutral long"
 COUNTS = "kind string, word string, n long"
 #: Kinds of counts, with the list of a record that they count; keywords are cut out of the text.
 LISTS = {"positive": "positive_words", "negative": "negative_words", "pattern": "pattern_matches", "domain": "tags"}
+#: The kind of the digests of records, while words are counted.
+_RECORD = "record"
+
+
+def _digest() -> Column:
+    """What the sums need of a record, as a word."""
+    return F.concat_ws("\0", F.lit(_RECORD), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("sentiment_score", "word_count", "sentiment_label")])
+
+
+def _sums(digests: DataFrame) -> DataFrame:
+    """SUMS of each batch out of (batch_id, word, n): each digest and how many records have it."""
+    part = F.split("word", "\0")
+    rows = digests.select("batch_id", "n", F.nullif(part[0], F.lit("")).cast("double").alias("score"), F.nullif(part[1], F.lit("")).cast("long").alias("words"), part[2].alias("label"))
+    label = lambda name: F.sum(F.when(F.col("label") == name, F.col("n")).otherwise(0))
+    return rows.groupBy("batch_id").agg(
+        F.sum("n").alias("total_chunks"), F.sum(F.round(F.col("score") * 10_000).cast("long") * F.col("n")).alias("scores"),
+        F.sum(F.when(F.col("score").isNotNull(), F.col("n")).otherwise(0)).alias("scored"), F.max("score").alias("max_score"), F.min("score").alias("min_score"),
+        F.sum(F.col("words") * F.col("n")).alias("total_words"), label("positive").alias("positive"), label("negative").alias("negative"), label("neutral").alias("neutral"))
 
 
 def summarise(records: DataFrame, path: str, lexicon: Lexicon = DEFAULT_LEXICON) -> None:
@@ -27,17 +46,18 @@ def summarise(records: DataFrame, path: str, lexicon: Lexicon = DEFAULT_LEXICON)
 
     ``records`` must be complete for each batch it touches.
     """
-    label = lambda name: F.sum(F.when(F.col("sentiment_label") == name, 1).otherwise(0))
-    sums = records.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("total_chunks"), F.sum(F.round(F.col("sentiment_score") * 10_000).cast("long")).alias("scores"),
-        F.count("sentiment_score").alias("scored"), F.max("sentiment_score").alias("max_score"), F.min("sentiment_score").alias("min_score"),
-        F.sum("word_count").cast("long").alias("total_words"), label("positive").alias("positive"), label("negative").alias("negative"), label("neutral").alias("neutral"))
-    named = lambda kind, words: F.transform(words, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
     empty = F.array().cast("array<string>")
+    named = lambda kind, words: F.transform(words, lambda w: F.concat(F.lit(f"{kind}\0"), w))
     lists = [named(kind, F.coalesce(F.col(c), empty)) for kind, c in LISTS.items()]
-    # One pass for all kinds; each count is added up before it is shuffled.
-    counts = each_struct(records, ["batch_id"], F.concat(*lists, named("keyword", keyword_words("chunk_text", lexicon))), "word")
-    counts = counts.groupBy("batch_id", "kind", "word").agg(F.count(F.lit(1)).alias("n"))
+    # One pass over the records for all kinds and the sums, which may have to be scored first.  What is counted is plain
+    # words, the kind in front of all but keywords, and each count is added up before it is shuffled.
+    words = each(records, ["batch_id"], F.concat(F.array(_digest()), *lists, ascii_words("chunk_text")), "word")
+    words = words.where(~F.col("word").isin(*sorted(lexicon.stopwords)))
+    place = F.instr("word", "\0")
+    kind = F.when(place == 0, F.lit("keyword")).otherwise(F.left("word", place - 1))
+    counted = shared_table(words.groupBy("batch_id", "word").agg(F.count(F.lit(1)).alias("n")).select(
+        "batch_id", kind.alias("kind"), F.expr("substring(word, instr(word, '\\0') + 1)").alias("word"), "n"), "counted")
+    sums, counts = _sums(counted.where(F.col("kind") == _RECORD)), counted.where(F.col("kind") != _RECORD)
     for name, rows, order in (("statistics", sums, []), ("counts", counts, ["kind", "word"])):
         rows.hint("rebalance", "batch_id").sortWithinPartitions("batch_id", *order).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/{name}")
