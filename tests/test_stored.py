@@ -3,6 +3,8 @@
 import random
 import uuid
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +104,24 @@ def test_summaries_of_odd_records(spark, tmp_path):
     rows_ = spark.createDataFrame([*odd, odd[1], odd[3]], columns)
     summaries.summarise(rows_, str(tmp_path / "kept"))
     same_answers(spark, rows_, str(tmp_path / "kept"))
+
+
+@pytest.mark.parametrize("block", [7, 1 << 22])
+def test_bitmaps_of_many_texts(monkeypatch, block):
+    monkeypatch.setattr(gram_index, "_BLOCK", block)
+    rnd = random.Random(8)
+    texts = [None if rnd.random() < 0.1 else "".join(rnd.choice("aBcé ") for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    files = [f"f{rnd.randrange(3)}" for _ in texts]
+    batch = pa.RecordBatch.from_pydict({"file": files, "text": pa.array(texts, pa.string())})
+    found = pa.Table.from_batches(gram_index._bitmaps(iter([batch.slice(0, 100), batch.slice(100)]))).to_pylist()
+    for row in found:
+        want = {int(p) for f, t in zip(files, texts) if f == row["file"] and t for p in gram_index._places(t.encode())}
+        assert set(np.flatnonzero(np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")).tolist()) == want
+    assert len(found) == 3
+
+
+def test_grams_of_many_texts_are_hashed_together(monkeypatch):
+    calls = []
+    monkeypatch.setattr(gram_index, "_hashed", lambda codes, hashed=gram_index._hashed: calls.append(1) or hashed(codes))
+    list(gram_index._bitmaps(iter([pa.RecordBatch.from_pydict({"file": ["f"] * 1000, "text": ["some text"] * 1000})])))
+    assert len(calls) == 1

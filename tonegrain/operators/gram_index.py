@@ -15,6 +15,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tonegrain.operators.records import RECORD_COLUMNS, RECORD_SCHEMA
@@ -23,26 +24,46 @@ from tonegrain.sources.tables import has_files, read_records
 
 BITS = 1 << 18
 _SCHEMA = "file string, bits binary"
-_FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_FOLD = np.frombuffer(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)), dtype=np.uint8)
 #: Bytes of text that are hashed at a time.
 _BLOCK = 1 << 22
 
 
+def _hashed(codes: np.ndarray) -> np.ndarray:
+    """The bit of every gram of folded bytes."""
+    codes = codes.astype(np.uint32)
+    return ((codes[:-2] | codes[1:-1] << np.uint32(8) | codes[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(14)
+
+
 def _places(text: bytes) -> np.ndarray:
     """The bit of every gram of a text."""
-    codes = np.frombuffer(text.translate(_FOLD), dtype=np.uint8).astype(np.uint32)
-    if len(codes) < 3:
-        return np.empty(0, dtype=np.uint32)
-    return ((codes[:-2] | codes[1:-1] << np.uint32(8) | codes[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(14)
+    return _hashed(_FOLD[np.frombuffer(text, dtype=np.uint8)])
+
+
+def _mark(flags: np.ndarray, texts: pa.Array) -> None:
+    """Set the bits of all grams of some texts, which lie behind each other in memory."""
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if ends[-1] == ends[0]:
+        return
+    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)
+    for at in range(ends[0], ends[-1], _BLOCK):
+        block = _FOLD[data[at:min(at + _BLOCK + 2, ends[-1])]]
+        # No gram runs from one text into the next.
+        inner = ends[np.searchsorted(ends, at, "right"):np.searchsorted(ends, at + len(block))] - at
+        own = np.ones(max(len(block) - 2, 0), dtype=bool)
+        for back in (1, 2):
+            starts = inner - back
+            own[starts[(starts >= 0) & (starts < len(own))]] = False
+        flags[_hashed(block)[own]] = True
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, np.ndarray] = {}
     for batch in batches:
-        for path, text in zip(batch.column("file").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        files, texts = batch.column("file").dictionary_encode(), batch.column("text").cast(pa.large_binary()).fill_null(b"")
+        for k, path in enumerate(files.dictionary.to_pylist()):
             flags = held.setdefault(path, np.zeros(BITS, dtype=bool))
-            for at in range(0, len(text or b""), _BLOCK):
-                flags[_places(text[at:at + _BLOCK + 2])] = True
+            _mark(flags, texts if len(files.dictionary) == 1 else texts.filter(pc.equal(files.indices, k)))
     bits = [np.packbits(f, bitorder="little").tobytes() for f in held.values()]
     yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(bits, pa.binary())], names=["file", "bits"])
 
