@@ -6,6 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from tonegrain.functions import structured as sx
 from tonegrain.operators.chunking import assemble_chunks, chunk_array, chunk_count, chunk_size
 from tonegrain.operators.numbering import number_lines
@@ -394,3 +395,14 @@ def test_same_lines_at_every_file_size(spark, tmp_path):
     whole = rows()
     assert whole == rows(whole_file_limit=0) and ("bom.txt", 0, "first", 3) in whole
     assert {line for name, _, line, _ in whole if name == "rows.csv"} == {"a b, c d", 'e "f"'}
+
+
+def test_records_by_splits_are_put_together_once(spark, tmp_path):
+    folder = tmp_path / "once"
+    folder.mkdir()
+    (folder / "a.json").write_text('[{"a": "x"}, 1, "y", {"b": null}, {"a": "z"}]')
+    lines = src.read_lines(spark, str(folder), whole_file_limit=0)
+    plan = plan_of(lines)
+    # The lines come from a stored table: no file is scanned or parsed again for them.
+    assert "from_json" not in plan and "MapInArrow" not in plan and "FileScan text" not in plan
+    assert sorted(map(tuple, lines.select("line_no", "line", "total_lines").collect())) == [(0, "x", 3), (1, "y", 3), (2, "z", 3)]

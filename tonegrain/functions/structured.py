@@ -70,17 +70,20 @@ def delimited_lines(content: Column | str, sep: str = ",") -> Column:
 _SENTINEL = "end"
 
 
-def _root(text: Column, schema: str) -> Column:
-    """The text parsed as exactly one JSON value, or NULL."""
+def _root(text: Column) -> Column:
+    """The text parsed as exactly one JSON value, as text, or NULL."""
     wrapped = F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]'))
-    ends = F.from_json(wrapped, "array<string>")
-    whole = (F.size(ends) == 2) & (F.element_at(ends, -1) == _SENTINEL)
-    return F.when(whole, F.get(F.from_json(wrapped, f"array<{schema}>"), F.lit(0)))
+
+    def value(ends: Column) -> Column:
+        whole = (F.size(ends) == 2) & (F.element_at(ends, -1) == _SENTINEL)
+        return F.when(whole, F.get(ends, F.lit(0)))
+
+    return let(F.from_json(wrapped, "array<string>"), value)
 
 
 def is_json_value(text: Column | str) -> Column:
     """True when the whole text is one JSON value."""
-    return _root(as_column(text), "string").isNotNull() | (strip(text) == "null")
+    return _root(as_column(text)).isNotNull() | (strip(text) == "null")
 
 
 def plain_float(text: Column) -> Column:
@@ -146,7 +149,7 @@ def json_line(text: Column | str) -> Column:
         return (
             F.when(line == "", F.lit(None))
             .when(~is_json_value(line), line)
-            .when(kind == '"', _root(line, "string"))
+            .when(kind == '"', _root(line))
             .when(kind == "{", F.nullif(object_to_line(line), F.lit("")))
         )
 
@@ -161,7 +164,7 @@ def _element_line(value: Column, kind: Column, text: Column) -> Column:
 def json_element_line(text: Column | str) -> Column:
     """One element of a JSON array, as JSON text -> its line, or NULL when it gives none."""
     return let(strip(as_column(text)), lambda t: _element_line(
-        _root(t, "string"), F.when(_first_char(t) == '"', F.lit("STRING")).when(_first_char(t) == "{", F.lit("OBJECT")), t))
+        _root(t), F.when(_first_char(t) == '"', F.lit("STRING")).when(_first_char(t) == "{", F.lit("OBJECT")), t))
 
 
 def _array_lines(text: Column) -> Column:

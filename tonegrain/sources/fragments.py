@@ -178,11 +178,11 @@ def _joined(fragments: DataFrame) -> DataFrame:
     """Fragments with heads and tails put together, at the tail that began them."""
     rows = fragments.withColumn("rid", F.monotonically_increasing_id())
     upto = Window.partitionBy("file_path").orderBy("block_start", "rid").rowsBetween(Window.unboundedPreceding, 0)
-    # Two rows a split at most; their texts do not come along.
-    edges = rows.where("head OR open").select(*_SPLIT, "rid", "head")
+    # Two rows a split at most.  They are stored with their texts, so that no other row is scanned for them again.
+    edges = shared_table(rows.where("head OR open").select(*_SPLIT, "rid", "head", "value"), "fragment-edges")
     first = F.last(F.when(~F.col("head"), F.struct("block_start", "rid")), ignorenulls=True).over(upto)
-    parts = shared_table(edges.select(*_SPLIT, "rid", first.alias("first")).where("first IS NOT NULL"), "fragment-edges")
-    return merge_parts(rows, parts, "")
+    parts = shared_table(edges.select(*_SPLIT, "rid", first.alias("first")).where("first IS NOT NULL"), "fragment-parts")
+    return merge_parts(rows, parts, "", edges)
 
 
 def json_by_splits(reader: Reader, keep: list[str]) -> DataFrame:
@@ -213,8 +213,7 @@ def json_by_splits(reader: Reader, keep: list[str]) -> DataFrame:
     closed = ends.select("file_path", (~(F.col("file_size") - F.col("read")).isin(0, 3)).alias("closed"))
     fine = (F.col("wrong") == 0) & (F.col("around") == 2) & F.col("closed") & ((F.col("blank") == 0) | (F.col("elements") == 1))
     arrays = shared_table(judged.join(closed, "file_path").select("file_path", fine.alias("array")), "json-arrays")
-    lines = attach(fragments.where(element), arrays, ["file_path"]).where("array").withColumn("line", json_element_line(value)).where("line IS NOT NULL")
-    parts = [lines.select(*keep, "line")]
+    parts = [each(attach(fragments.where(element), arrays, ["file_path"]).where("array"), keep, F.array(json_element_line(value)), "line")]
     other = arrays.where("NOT array")
     if not other.isEmpty():
         # An object over several lines: its first line is no value by itself, and the last one closes it.
@@ -228,7 +227,7 @@ def json_by_splits(reader: Reader, keep: list[str]) -> DataFrame:
             whole = reader.whole().join(one.where("one"), "file_path", "left_semi")
             parts.append(each(whole.withColumn("block_start", F.lit(0).cast("long")), keep, json_lines("value"), "line"))
         rest = each(attach(texts, one, ["file_path"]).where("NOT one"), keep, F.split("value", "\r"), "value")
-        parts.append(rest.withColumn("line", json_line("value")).where("line IS NOT NULL").select(*keep, "line"))
+        parts.append(each(rest, keep, F.array(json_line("value")), "line"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

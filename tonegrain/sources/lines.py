@@ -123,6 +123,9 @@ def _numbered_lines(spark, paths, glob, fmt: LineFormat, encoding: str, limit: i
     """Lines of large files with file-wide numbers, without sorting a file anywhere."""
     pin_file_splits(spark)
     kept = _split_lines(spark, paths, glob, fmt, encoding, limit).withColumn("_id", F.monotonically_increasing_id())
+    if fmt.by_splits:
+        # Records were put together over several scans; that is done once, for the counts and for the lines.
+        kept = shared_table(kept, "split-records")
     # Lines of one split follow each other in one task, so their ids are consecutive.
     counts = shared_table(kept.groupBy("file_path", "block_start").agg(
         F.count(F.lit(1)).alias("piece_lines"), F.min("_id").alias("_first")

@@ -95,14 +95,15 @@ def merge_runs(raw: DataFrame, step: Column, modulus: int, glue: str) -> DataFra
     return merge_parts(raw, shared_table(_run_lines(raw, step, modulus), "run-lines"), glue)
 
 
-def merge_parts(raw: DataFrame, parts: DataFrame, glue: str) -> DataFrame:
+def merge_parts(raw: DataFrame, parts: DataFrame, glue: str, stored: DataFrame | None = None) -> DataFrame:
     """``raw`` with the lines of each group of ``parts`` as one value at the first of them.
 
-    ``parts`` is a stored table of (file_path, block_start, rid, first); see :func:`merge_runs`.
+    ``parts`` is a stored table of (file_path, block_start, rid, first); see :func:`merge_runs`.  ``stored``
+    has the lines of ``parts``, where they are stored apart from the other ones.
     """
     pieces = F.array_sort(F.collect_list(F.struct("block_start", "rid", "value")))
     text = F.array_join(F.transform(pieces, lambda p: p["value"]), glue)
-    merged = raw.join(parts, _LINE).groupBy("file_path", "first").agg(text.alias("whole")).select("file_path", "first.*", "whole")
+    merged = (raw if stored is None else stored).join(parts, _LINE).groupBy("file_path", "first").agg(text.alias("whole")).select("file_path", "first.*", "whole")
     rest = parts.where("rid <> first.rid or block_start <> first.block_start").select(*_LINE, F.lit(None).cast("string").alias("whole"))
     changed = shared_table(merged.unionByName(rest).withColumn("changed", F.lit(True)), "runs")
     joined = attach(raw, changed, _LINE)
